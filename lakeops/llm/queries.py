@@ -6,6 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from lakeops.llm.near_dedup import near_duplicate_classes
 from lakeops.llm.storage import table
 from lakeops.llm.substring_dedup import remove_repeated_windows
 
@@ -40,3 +41,8 @@ kept as (
 select d.doc_id, len(d.w)::bigint as n_words, coalesce(s.n, 0)::bigint as n_removed, sha256(coalesce(k.t, '')) as kept_sha256
 from d left join spans s using (doc_id) left join kept k using (doc_id)
 """
+
+
+@query
+def op8_minhash_near_dedup(spark, sf_dir):
+    return near_duplicate_classes(table(spark, sf_dir, "documents"))

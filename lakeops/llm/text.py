@@ -113,8 +113,8 @@ def words(texts: pa.Array) -> Words:
     return Words(buf, offsets, starts, ends, np.searchsorted(starts, offsets))
 
 
-def slices(batch: pa.RecordBatch, column: str = "text", most: int = CHUNK_BYTES) -> Iterator[pa.RecordBatch]:
-    """Cut a batch into runs of rows with about ``most`` bytes of text each."""
+def slices(batch: pa.RecordBatch, column: str = "text", most: int = CHUNK_BYTES, rows: int = 1 << 20) -> Iterator[pa.RecordBatch]:
+    """Cut a batch into runs of at most ``rows`` rows with about ``most`` bytes of text each."""
     if batch.num_rows == 0:
         return
     texts = batch.column(batch.schema.get_field_index(column))
@@ -123,7 +123,7 @@ def slices(batch: pa.RecordBatch, column: str = "text", most: int = CHUNK_BYTES)
     start = 0
     while start < len(sizes):
         done = at[start - 1] if start else 0
-        end = max(start + 1, int(np.searchsorted(at, done + most, "right")))
+        end = min(max(start + 1, int(np.searchsorted(at, done + most, "right"))), start + rows)
         yield batch.slice(start, end - start)
         start = end
 
