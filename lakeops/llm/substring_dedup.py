@@ -4,7 +4,7 @@ A window is ``WINDOW`` consecutive words of one document; its minimiser is the s
 ``MMER``-word runs. Consecutive windows with the same minimiser position form a super-k-mer. Equal windows
 have equal minimisers, so only super-k-mers of one minimiser need to meet:
 
-1. one scan lists the super-k-mers as (minimiser, hash of the words, doc_id, place);
+1. the super-k-mers are listed as (minimiser, hash of the words, doc_id, place), and those whose minimiser occurs once go;
 2. equal super-k-mers are pre-aggregated to their first document: every later copy goes whole, without its words
    being moved at all;
 3. where a minimiser has several different super-k-mers, their words travel, once for each different one, as one packed
@@ -35,8 +35,8 @@ MMER = 8
 #: Different super-k-mers of one minimiser from which they travel as single windows.
 COMMON = 500
 
-_PLACE = "minimiser long, key long, doc_id long, copy long, start int, n int"
-_PACKED = "bucket long, doc_id long, copy long, start int, packed binary"
+_PLACE = "minimiser long, key long, doc_id long, copy int, start int, n int"
+_PACKED = "bucket long, doc_id long, copy int, start int, packed binary"
 
 
 def _super_kmers(found: Words, window: int, mmer: int) -> tuple[np.ndarray, ...]:
@@ -107,7 +107,7 @@ def _pack(window: int):
                             rows.append((p["minimiser"], doc, copy, p["start"], text[starts[a] : ends[a + n + window - 2]]))
                 if rows:
                     yield pa.RecordBatch.from_arrays(
-                        [pa.array(c, t) for c, t in zip(zip(*rows, strict=True), (pa.int64(), pa.int64(), pa.int64(), pa.int32(), pa.binary()), strict=True)],
+                        [pa.array(c, t) for c, t in zip(zip(*rows, strict=True), (pa.int64(), pa.int64(), pa.int32(), pa.int32(), pa.binary()), strict=True)],
                         ["bucket", "doc_id", "copy", "start", "packed"],
                     )
 
@@ -139,7 +139,7 @@ def _marked(window: int):
                 if since is not None:
                     out.append((doc, copy, start + since, n - since))
             if out:
-                yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*out, strict=True), (pa.int64(), pa.int64(), pa.int32(), pa.int32()), strict=True)], ["doc_id", "copy", "start", "n"])
+                yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*out, strict=True), (pa.int64(), pa.int32(), pa.int32(), pa.int32()), strict=True)], ["doc_id", "copy", "start", "n"])
 
     return run
 
@@ -179,8 +179,11 @@ def _cut(window: int):
 def remove_repeated_windows(docs: DataFrame, window: int = WINDOW, mmer: int = MMER, common: int = COMMON) -> DataFrame:
     """One row per row of ``docs``: doc_id, copy (a hash of the text, to tell rows of one doc_id apart), n_words, n_removed,
     kept_sha256 (of the kept words joined by one space) and kept_text (those words; null where nothing was removed)."""
-    docs = docs.select("doc_id", F.col("text").cast("string").alias("text"), F.xxhash64("text").alias("copy"))
-    places = stored(docs.where("doc_id is not null").mapInArrow(_places(window, mmer), _PLACE), "super-kmers")
+    docs = docs.select("doc_id", F.col("text").cast("string").alias("text"), F.hash("text").alias("copy"))
+    places = docs.where("doc_id is not null").mapInArrow(_places(window, mmer), _PLACE)
+    # most minimisers occur once: they are dropped on (minimiser, count) alone; listing the places twice is cheaper than keeping them
+    frequent = places.groupBy("minimiser").agg(F.count("*").alias("uses")).where("uses > 1").select("minimiser")
+    places = stored(places.join(frequent, "minimiser"), "super-kmers")
     # the different super-k-mers: their first and last document, and a place to read the words from
     distinct = stored(places.groupBy("minimiser", "key").agg(F.min(F.struct("doc_id", "copy", "start", "n")).alias("rep"), F.max("doc_id").alias("last"), F.count("*").alias("times")), "distinct-super-kmers")
     several = distinct.groupBy("minimiser").agg(F.count("*").alias("keys"), F.min("rep.doc_id").alias("low"), F.max("last").alias("high")).where("keys > 1 and low < high")
@@ -191,7 +194,7 @@ def remove_repeated_windows(docs: DataFrame, window: int = WINDOW, mmer: int = M
         docs.join(wanted, ["doc_id", "copy"], "left").select("doc_id", "text", "copy", "places").mapInArrow(_pack(window), _PACKED)
         .repartition("bucket").sortWithinPartitions("bucket", "doc_id")
     )
-    marked = stored(packed.mapInArrow(_marked(window), "doc_id long, copy long, start int, n int"), "marked-windows")
+    marked = packed.mapInArrow(_marked(window), "doc_id long, copy int, start int, n int")
     # other places of a super-k-mer: later documents lose it whole; in the first document they share the marks of its place
     repeated = distinct.where("times > 1").select("minimiser", "key", "rep")
     others = places.join(repeated, ["minimiser", "key"]).where("doc_id > rep.doc_id or copy <> rep.copy or start <> rep.start")
@@ -205,5 +208,5 @@ def remove_repeated_windows(docs: DataFrame, window: int = WINDOW, mmer: int = M
     spans = whole.unionByName(marked).unionByName(echoed).groupBy("doc_id", "copy").agg(F.collect_list(F.struct("start", "n")).alias("spans"))
     return (
         docs.join(spans, ["doc_id", "copy"], "left").select("doc_id", "text", "copy", "spans")
-        .mapInArrow(_cut(window), "doc_id long, copy long, n_words long, n_removed long, kept_sha256 string, kept_text string")
+        .mapInArrow(_cut(window), "doc_id long, copy int, n_words long, n_removed long, kept_sha256 string, kept_text string")
     )
