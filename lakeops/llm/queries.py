@@ -7,6 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from lakeops.llm.near_dedup import near_duplicate_classes
+from lakeops.llm.quality import quality_verdicts
 from lakeops.llm.storage import table
 from lakeops.llm.substring_dedup import remove_repeated_windows
 
@@ -46,3 +47,8 @@ from d left join spans s using (doc_id) left join kept k using (doc_id)
 @query
 def op8_minhash_near_dedup(spark, sf_dir):
     return near_duplicate_classes(table(spark, sf_dir, "documents"))
+
+
+@query
+def op1_quality_outliers(spark, sf_dir):
+    return quality_verdicts(table(spark, sf_dir, "documents"))
