@@ -4,8 +4,10 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
+from lakeops.llm.bpe import encode_documents
 from lakeops.llm.near_dedup import near_duplicate_classes
 from lakeops.llm.quality import quality_verdicts
 from lakeops.llm.storage import table
@@ -52,3 +54,8 @@ def op8_minhash_near_dedup(spark, sf_dir):
 @query
 def op1_quality_outliers(spark, sf_dir):
     return quality_verdicts(table(spark, sf_dir, "documents"))
+
+
+@query
+def op3_byte_bpe(spark, sf_dir):
+    return encode_documents(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_multi_50k.tiktoken"), public_tokenizers.PATTERN)
