@@ -7,6 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
+from lakeops.llm import mixing
 from lakeops.llm.bpe import encode_documents
 from lakeops.llm.near_dedup import near_duplicate_classes
 from lakeops.llm.quality import quality_verdicts
@@ -59,3 +60,11 @@ def op1_quality_outliers(spark, sf_dir):
 @query
 def op3_byte_bpe(spark, sf_dir):
     return encode_documents(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_multi_50k.tiktoken"), public_tokenizers.PATTERN)
+
+
+@query
+def op7_mix_sources(spark, sf_dir):
+    return mixing.mix(table(spark, sf_dir, "documents"))
+
+
+SQL["op7_mix_sources"] = mixing.SQL
