@@ -87,16 +87,16 @@ def _places(window: int, mmer: int):
 
 
 def _pack(window: int):
-    """(doc_id, copy, text, places) to packed super-k-mers with their buckets."""
+    """(doc_id, text, copy, ..., places) to packed super-k-mers with their buckets."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for part in slices(batch.filter(batch.column(3).is_valid())):
+            for part in slices(batch.filter(batch.column(batch.num_columns - 1).is_valid())):
                 found = words(part.column(1))
                 text, starts, ends = found.joined()
                 hashes = found.hashes()
                 rows = []
-                for i, (doc, copy, places) in enumerate(zip(part.column(0).to_pylist(), part.column(2).to_pylist(), part.column(3).to_pylist(), strict=True)):
+                for i, (doc, copy, places) in enumerate(zip(part.column(0).to_pylist(), part.column(2).to_pylist(), part.column(part.num_columns - 1).to_pylist(), strict=True)):
                     base = int(found.first[i])
                     for p in places:
                         a, n = base + p["start"], p["n"]
@@ -150,7 +150,7 @@ def _cut(window: int):
             for part in slices(batch):
                 found = words(part.column(1))
                 drop = np.zeros(len(found.starts) + 1, np.int64)
-                for i, spans in enumerate(part.column(3)):
+                for i, spans in enumerate(part.column(part.num_columns - 1)):
                     if spans.is_valid and len(spans):
                         got = np.array([(s["start"], s["n"]) for s in spans.as_py()], np.int64) + [found.first[i], 0]
                         np.add.at(drop, got[:, 0], 1)
@@ -169,29 +169,32 @@ def _cut(window: int):
                         left = ~gone[a:b]
                         kept.append(b" ".join([text[s:e] for s, e in zip(starts[a:b][left], ends[a:b][left], strict=True)]))
                 yield pa.RecordBatch.from_arrays(
-                    [part.column(0), part.column(2), pa.array(found.counts.astype(np.int64)), pa.array(removed), pa.array([hashlib.sha256(k).hexdigest() for k in kept]), pa.array([k.decode() if n else None for k, n in zip(kept, removed.tolist(), strict=True)], pa.string())],
-                    ["doc_id", "copy", "n_words", "n_removed", "kept_sha256", "kept_text"],
+                    [*part.columns[:-1], pa.array(found.counts.astype(np.int64)), pa.array(removed), pa.array([hashlib.sha256(k).hexdigest() for k in kept]), pa.array([k.decode() if n else None for k, n in zip(kept, removed.tolist(), strict=True)], pa.string())],
+                    [*part.schema.names[:-1], "n_words", "n_removed", "kept_sha256", "kept_text"],
                 )
 
     return run
 
 
-def remove_repeated_windows(docs: DataFrame, window: int = WINDOW, mmer: int = MMER, common: int = COMMON) -> DataFrame:
+def remove_repeated_windows(docs: DataFrame, window: int = WINDOW, mmer: int = MMER, common: int = COMMON, carry: tuple[str, ...] = ()) -> DataFrame:
     """One row per row of ``docs``: doc_id, copy (a hash of the text, to tell rows of one doc_id apart), n_words, n_removed,
-    kept_sha256 (of the kept words joined by one space) and kept_text (those words; null where nothing was removed)."""
-    docs = docs.select("doc_id", F.col("text").cast("string").alias("text"), F.hash("text").alias("copy"))
-    places = docs.where("doc_id is not null").mapInArrow(_places(window, mmer), _PLACE)
+    kept_sha256 (of the kept words joined by one space), kept_text (those words; null where nothing was removed), text and the columns in ``carry``."""
+    docs = docs.select("doc_id", F.col("text").cast("string").alias("text"), F.hash("text").alias("copy"), *(c for c in carry if c not in ("doc_id", "text")))
+    schema = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in docs.schema)
+    places = docs.where("doc_id is not null").select("doc_id", "text", "copy").mapInArrow(_places(window, mmer), _PLACE)
     # most minimisers occur once: they are dropped on (minimiser, count) alone; listing the places twice is cheaper than keeping them
     frequent = places.groupBy("minimiser").agg(F.count("*").alias("uses")).where("uses > 1").select("minimiser")
+    frequent = stored(frequent, "frequent-minimisers")  # so that both sides of the join are plain exchanges, which AQE splits where a minimiser is very common
     places = stored(places.join(frequent, "minimiser"), "super-kmers")
     # the different super-k-mers: their first and last document, and a place to read the words from
     distinct = stored(places.groupBy("minimiser", "key").agg(F.min(F.struct("doc_id", "copy", "start", "n")).alias("rep"), F.max("doc_id").alias("last"), F.count("*").alias("times")), "distinct-super-kmers")
     several = distinct.groupBy("minimiser").agg(F.count("*").alias("keys"), F.min("rep.doc_id").alias("low"), F.max("last").alias("high")).where("keys > 1 and low < high")
+    several = stored(several, "contested-minimisers")
     contested = distinct.join(several, "minimiser").select("rep.doc_id", "rep.copy", F.struct("minimiser", "rep.start", "rep.n", (F.col("keys") > common).alias("common")).alias("place"))
     wanted = contested.groupBy("doc_id", "copy").agg(F.collect_list("place").alias("places"))
     # a left join although only documents with places matter: both uses of docs then share one shuffle of the texts
     packed = (
-        docs.join(wanted, ["doc_id", "copy"], "left").select("doc_id", "text", "copy", "places").mapInArrow(_pack(window), _PACKED)
+        docs.join(wanted, ["doc_id", "copy"], "left").select(*docs.columns, "places").mapInArrow(_pack(window), _PACKED)
         .repartition("bucket").sortWithinPartitions("bucket", "doc_id")
     )
     marked = packed.mapInArrow(_marked(window), "doc_id long, copy int, start int, n int")
@@ -206,7 +209,5 @@ def remove_repeated_windows(docs: DataFrame, window: int = WINDOW, mmer: int = M
         .select("doc_id", "copy", (F.col("start") + F.col("m_start") - F.col("rep_start")).alias("start"), F.col("m_n").alias("n"))
     )
     spans = whole.unionByName(marked).unionByName(echoed).groupBy("doc_id", "copy").agg(F.collect_list(F.struct("start", "n")).alias("spans"))
-    return (
-        docs.join(spans, ["doc_id", "copy"], "left").select("doc_id", "text", "copy", "spans")
-        .mapInArrow(_cut(window), "doc_id long, copy int, n_words long, n_removed long, kept_sha256 string, kept_text string")
-    )
+    cut = docs.join(spans, ["doc_id", "copy"], "left").select(*docs.columns, "spans")
+    return cut.mapInArrow(_cut(window), f"{schema}, n_words long, n_removed long, kept_sha256 string, kept_text string")
