@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from lakeops.llm import mixing
+from lakeops.llm import mixing, url_filter
 from lakeops.llm.bpe import encode_documents
 from lakeops.llm.near_dedup import near_duplicate_classes
 from lakeops.llm.quality import quality_verdicts
@@ -68,3 +68,11 @@ def op7_mix_sources(spark, sf_dir):
 
 
 SQL["op7_mix_sources"] = mixing.SQL
+
+
+@query
+def op5_url_filter(spark, sf_dir):
+    return url_filter.judge_urls(table(spark, sf_dir, "pages"), url_filter.RULES)
+
+
+SQL["op5_url_filter"] = url_filter.SQL
