@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from lakeops.llm import mixing, url_filter
+from lakeops.llm import gif, mixing, url_filter
 from lakeops.llm.bpe import encode_documents
 from lakeops.llm.near_dedup import near_duplicate_classes
 from lakeops.llm.quality import quality_verdicts
@@ -76,3 +76,8 @@ def op5_url_filter(spark, sf_dir):
 
 
 SQL["op5_url_filter"] = url_filter.SQL
+
+
+@query
+def op10_gif_media(spark, sf_dir):
+    return gif.payload_digests(table(spark, sf_dir, "documents"))
