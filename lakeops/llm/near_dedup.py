@@ -10,9 +10,11 @@ on until every register is filled.
 
 Documents with equal multisets are collapsed to their smallest doc_id first. The rest meet in ``BANDS`` bands. In a bucket
 every member is compared with one leader, the member that meets most others; the comparison counts the true overlap of the two
-multisets. Members that are still in different components are then compared with each other, after one-bit signatures
-have ruled out pairs far below the threshold (five standard deviations). So groups of copies cost a row per member, and no
-link is lost within a bucket. Two documents at similarity 0.8 share no bucket with probability 3e-6.
+multisets, so a group of copies costs a row per member. Buckets that still hold several components are not compared pair by pair.
+Their members go through an exact prefix filter: with all shingles in order of frequency, two documents can only be similar if
+the first shingle they share stands so early in both that what follows is still enough. Only pairs of different components
+with such a shingle are compared. No link is lost within a bucket, and many dissimilar variants of one text cost next to nothing, since
+their own shingles come first. Two documents at similarity 0.8 share no bucket with probability 3e-6.
 
 Rows: one per input row. Null texts and texts without a word are never grouped: they are their own class. Rows that share a
 doc_id count as one document. A null doc_id has a null class. Columns besides doc_id and text are ignored.
@@ -24,7 +26,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from lakeops.llm.storage import stored
@@ -34,8 +36,6 @@ SHINGLE = 5
 SIMILARITY = 0.8
 REGISTERS = 96
 BANDS = 24
-#: Differing bits, of REGISTERS, at which a pair of similarity 0.8 is five standard deviations off.
-MOST_BITS = 24
 _ROWS = 4096
 _LOW = np.uint64((1 << 52) - 1)
 
@@ -105,9 +105,6 @@ def _sketch(size: int, registers: int, bands: int):
                 rows = registers // bands
                 flat = np.arange(n * bands) * rows
                 band = rolling(value.reshape(-1), flat, flat + rows)
-                bits = np.zeros((n, -(-registers // 64) * 64), np.uint8)
-                bits[:, :registers] = (value >> np.uint64(17)) & np.uint64(1)
-                packed = np.packbits(bits, axis=1).view(np.int64)
                 heads = np.searchsorted(doc, np.arange(n + 1))
                 idents = []
                 for salt in (0x1234567, 0x7654321):
@@ -116,8 +113,7 @@ def _sketch(size: int, registers: int, bands: int):
                     idents.append(pa.array((mixed[heads[1:]] - mixed[heads[:-1]]).view(np.int64)))
                 has = found.counts > 0
                 lists = pa.ListArray.from_arrays(pa.array(np.arange(n + 1) * bands, pa.int32()), pa.array(band.view(np.int64)))
-                signs = pa.ListArray.from_arrays(pa.array(np.arange(n + 1) * packed.shape[1], pa.int32()), pa.array(packed.reshape(-1)))
-                yield pa.RecordBatch.from_arrays([part.column(0), *idents, lists, signs], ["doc_id", "ident1", "ident2", "bands", "bits"]).filter(pa.array(has))
+                yield pa.RecordBatch.from_arrays([part.column(0), *idents, lists], ["doc_id", "ident1", "ident2", "bands"]).filter(pa.array(has))
 
     return run
 
@@ -143,6 +139,38 @@ def _overlaps(size: int):
     return run
 
 
+def _elements(size: int):
+    """(node, component, text) to the elements of the multiset: a shingle that occurs w times gives w different elements."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for part in slices(batch, rows=_ROWS):
+                doc, shingle, count = _bags(words(part.column(2)), size)
+                doc, shingle = np.repeat(doc, count), np.repeat(shingle, count)
+                turn = np.arange(len(doc)) - np.repeat(np.cumsum(count) - count, count)
+                flat = mix(shingle + turn.astype(np.uint64) * np.uint64(0xA24BAED4963EE407)).view(np.int64)
+                heads = np.searchsorted(doc, np.arange(part.num_rows + 1))
+                yield pa.RecordBatch.from_arrays([part.column(0), part.column(1), pa.ListArray.from_arrays(pa.array(heads, pa.int32()), pa.array(flat))], ["node", "component", "elements"])
+
+    return run
+
+
+def prefix_pairs(docs: DataFrame, nodes: DataFrame, similarity: float, size: int = SHINGLE) -> DataFrame:
+    """All pairs (a, b) of ``nodes`` (node, component) of different components that the positional prefix filter can't rule out."""
+    texts = docs.withColumnRenamed("doc_id", "node").join(nodes, "node").select("node", "component", "text")
+    bags = stored(texts.mapInArrow(_elements(size), "node long, component long, elements array<long>"), "elements")
+    flat = bags.select("node", "component", F.size("elements").alias("size"), F.explode("elements").alias("element"))
+    uses = flat.groupBy("element").agg(F.count("*").alias("uses"))
+    ranked = flat.join(uses, "element").withColumn("place", F.row_number().over(Window.partitionBy("node", "component", "size").orderBy("uses", "element")) - 1)
+    # element number `place` of a document leaves at most size - place common ones, itself included
+    heads = ranked.where((F.col("uses") > 1) & (F.col("size") - F.col("place") >= F.ceil(similarity * F.col("size") - 1e-9))).select("element", "node", "component", "size", (F.col("size") - F.col("place")).alias("left"))
+    heads = stored(heads, "prefixes")
+    x, y = heads.alias("x"), heads.alias("y")
+    enough = F.least("x.left", "y.left") >= F.ceil(similarity / (1 + similarity) * (F.col("x.size") + F.col("y.size")) - 1e-9)
+    met = x.join(y, (F.col("x.element") == F.col("y.element")) & (F.col("x.component") < F.col("y.component")) & enough)
+    return met.select(F.col("x.node").alias("a"), F.col("y.node").alias("b")).distinct()
+
+
 def verified(docs: DataFrame, pairs: DataFrame, similarity: float, size: int = SHINGLE) -> DataFrame:
     """The pairs (a, b) whose texts' multisets overlap enough."""
     left = docs.select(F.col("doc_id").alias("a"), F.col("text").alias("text_a"))
@@ -174,10 +202,10 @@ def near_duplicate_classes(docs: DataFrame, similarity: float = SIMILARITY, size
     """One row per row of ``docs``: doc_id, class_id (the smallest doc_id of its group) and kept (whether it is that document)."""
     docs = docs.select("doc_id", F.col("text").cast("string").alias("text"))
     known = docs.where("doc_id is not null")
-    sketched = stored(known.mapInArrow(_sketch(size, REGISTERS, BANDS), "doc_id long, ident1 long, ident2 long, bands array<long>, bits array<long>"), "signatures")
+    sketched = stored(known.mapInArrow(_sketch(size, REGISTERS, BANDS), "doc_id long, ident1 long, ident2 long, bands array<long>"), "signatures")
     firsts = stored(sketched.groupBy("ident1", "ident2").agg(F.min("doc_id").alias("node")), "copies")
-    nodes = sketched.join(firsts, (sketched.doc_id == firsts.node) & (sketched.ident1 == firsts.ident1) & (sketched.ident2 == firsts.ident2)).select("node", "bands", "bits")
-    rows = nodes.select("node", F.explode("bands").alias("key"), *(F.col("bits")[i].alias(f"bits{i}") for i in range(-(-REGISTERS // 64))))
+    nodes = sketched.join(firsts, (sketched.doc_id == firsts.node) & (sketched.ident1 == firsts.ident1) & (sketched.ident2 == firsts.ident2)).select("node", "bands")
+    rows = nodes.select("node", F.explode("bands").alias("key"))
     sizes = rows.groupBy("key").agg(F.count("*").alias("members")).where("members > 1")
     shared = stored(rows.join(sizes, "key"), "shared-bands")
     met = shared.groupBy("node").agg(F.sum("members").alias("met"))
@@ -187,11 +215,9 @@ def near_duplicate_classes(docs: DataFrame, similarity: float = SIMILARITY, size
     grouped = stored(components(links), "components")
     placed = shared.join(grouped, "node", "left").withColumn("component", F.coalesce("component", "node"))
     several = placed.groupBy("key").agg(F.min("component").alias("low"), F.max("component").alias("high")).where("low < high").select("key")
-    apart = stored(placed.join(several, "key"), "apart")
-    x, y = apart.alias("x"), apart.alias("y")
-    bits = sum((F.bit_count(F.col(f"x.bits{i}").bitwiseXOR(F.col(f"y.bits{i}"))) for i in range(-(-REGISTERS // 64))), F.lit(0))
-    rest = x.join(y, (F.col("x.key") == F.col("y.key")) & (F.col("x.component") < F.col("y.component")) & (bits <= MOST_BITS)).select(F.col("x.node").alias("a"), F.col("y.node").alias("b")).distinct()
-    more = stored(verified(known, rest.join(pairs, ["a", "b"], "left_anti"), similarity, size), "links").select("a", "b")
+    apart = stored(placed.join(several, "key").select("node", "component").distinct(), "apart")
+    rest = prefix_pairs(known, apart, similarity, size)
+    more = stored(verified(known, rest, similarity, size), "links").select("a", "b")
     if not more.isEmpty():
         grouped = stored(components(links.unionByName(more)), "components")
     classes = firsts.join(grouped, "node", "left").select("ident1", "ident2", F.coalesce("component", "node").alias("class_id"))

@@ -47,6 +47,20 @@ def test_classes_match_brute_force(spark):
     assert {x.doc_id: x.class_id for x in got.collect()} == brute(rows)
 
 
+def test_many_variants_of_one_text(spark):
+    r = random.Random(8)
+    base = [f"v{i}" for i in range(120)]
+    rows = []
+    for i in range(150):
+        w = list(base)
+        for _ in range(r.randrange(0, 9)):
+            w[r.randrange(len(w))] = f"e{r.randrange(9999)}"
+        rows.append((i, " ".join(w)))
+    got = near_duplicate_classes(spark.createDataFrame(rows, "doc_id long, text string"))
+    want = brute(rows)
+    assert {x.doc_id: x.class_id for x in got.collect()} == want and 10 < len(set(want.values())) < 140
+
+
 def test_register_agreement_is_the_weighted_jaccard_similarity():
     r = np.random.default_rng(1)
     a, b = r.integers(0, 7, 200), r.integers(0, 7, 200)
