@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from lakeops.llm import gif, mixing, url_filter
 from lakeops.llm.bpe import encode_documents
+from lakeops.llm.language_id import language_predictions
 from lakeops.llm.near_dedup import near_duplicate_classes
 from lakeops.llm.quality import quality_verdicts
 from lakeops.llm.storage import table
@@ -81,3 +82,8 @@ SQL["op5_url_filter"] = url_filter.SQL
 @query
 def op10_gif_media(spark, sf_dir):
     return gif.payload_digests(table(spark, sf_dir, "documents"))
+
+
+@query
+def op9_language_id(spark, sf_dir):
+    return language_predictions(table(spark, sf_dir, "documents"))
