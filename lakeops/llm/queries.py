@@ -14,6 +14,7 @@ from lakeops.llm.near_dedup import near_duplicate_classes
 from lakeops.llm.quality import quality_verdicts
 from lakeops.llm.storage import table
 from lakeops.llm.substring_dedup import remove_repeated_windows
+from lakeops.llm.toxicity import toxicity_scores
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 SQL: dict[str, str] = {}
@@ -87,3 +88,8 @@ def op10_gif_media(spark, sf_dir):
 @query
 def op9_language_id(spark, sf_dir):
     return language_predictions(table(spark, sf_dir, "documents"))
+
+
+@query
+def op6_toxicity_neighbours(spark, sf_dir):
+    return toxicity_scores(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
