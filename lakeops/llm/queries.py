@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from lakeops.llm import gif, mixing, url_filter
 from lakeops.llm.bpe import encode_documents
+from lakeops.llm.html_extract import extract_main_text
 from lakeops.llm.language_id import language_predictions
 from lakeops.llm.near_dedup import near_duplicate_classes
 from lakeops.llm.quality import quality_verdicts
@@ -93,3 +94,8 @@ def op9_language_id(spark, sf_dir):
 @query
 def op6_toxicity_neighbours(spark, sf_dir):
     return toxicity_scores(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+@query
+def op2_html_main_text(spark, sf_dir):
+    return extract_main_text(table(spark, sf_dir, "pages"))
