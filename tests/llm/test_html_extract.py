@@ -54,7 +54,7 @@ def test_decoding_never_contradicts_itself():
     tags = {t: n for n, t, _ in p.blocks}
     odds = np.full(len(p.parent), 0.0)
     odds[[1, tags["a"], tags["b"]]] = 3
-    odds[tags["c"]] = -9
+    odds[tags["c"]], odds[tags["d"]] = -9, -1
     assert p.decode(odds) == "a b"
     odds[1] = -1
     assert p.decode(odds) == "a b"
