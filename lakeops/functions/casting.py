@@ -5,6 +5,7 @@ Everything goes through ``try_`` functions: a value that can't be cast is null a
 
 from __future__ import annotations
 
+from functools import reduce
 from typing import NamedTuple
 
 from pyspark.sql import Column, DataFrame
@@ -72,6 +73,9 @@ def cast_split(df: DataFrame, columns: tuple[ColumnSpec, ...], typed: bool = Fal
     names = {c.name for c in top}
     cast = {c.name: cast_column(c, columns) for c in top}
     raw = [F.col(f"`{n}`") for n in df.columns if n not in names]
-    bad = F.array(*(F.when(F.col(f"`{c.name}`").isNotNull() & cast[c.name].isNull(), F.lit(c.name)) for c in top if c.type != STRING))
-    flagged = df.select(*(cast[c.name].alias(c.name) for c in top), *raw, F.filter(bad, lambda x: x.isNotNull()).cast("array<string>").alias(BAD))
-    return Split(flagged, flagged.where(F.size(BAD) == 0).drop(BAD), flagged.where(F.size(BAD) > 0))
+    wrong = {c.name: F.col(f"`{c.name}`").isNotNull() & cast[c.name].isNull() for c in top if c.type != STRING}
+    values = [*(cast[c.name].alias(c.name) for c in top), *raw]
+    # array_remove, unlike a lambda, stays inside generated code; the filters test the flags themselves
+    bad = F.array_remove(F.array(F.lit(""), *(F.when(w, F.lit(n)).otherwise("") for n, w in wrong.items())), "").alias(BAD)
+    failed = reduce(lambda a, b: a | b, wrong.values(), F.lit(False))
+    return Split(df.select(*values, bad), df.where(~failed).select(*values), df.where(failed).select(*values, bad))
