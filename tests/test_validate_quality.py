@@ -52,8 +52,8 @@ def test_thresholds_gates_and_outcomes(spark):
 
 def test_headers_schemas_and_columns(spark):
     assert validate.header_matches(["A", " b"], ["a", "B"]) and not validate.header_matches(["b", "a"], ["a", "b"]) and not validate.header_matches(["a"], ["a", "b"])
-    a, b = T.StructType().add("x", "int").add("y", "string"), T.StructType().add("y", "string").add("x", "int")
-    assert validate.schema_matches(a, b) and not validate.schema_matches(a, T.StructType().add("x", "int")) and not validate.schema_matches(a, T.StructType().add("x", "long").add("y", "string"))
+    a, b = T.StructType().add("x", "integer").add("y", "string"), T.StructType().add("y", "string").add("x", "integer")
+    assert validate.schema_matches(a, b) and not validate.schema_matches(a, T.StructType().add("x", "integer")) and not validate.schema_matches(a, T.StructType().add("x", "long").add("y", "string"))
     df = spark.createDataFrame([(1, 2)], "a int, b int")
     assert validate.columns_present(df, ["A"]) and not validate.columns_present(df, ["a"], exactly=True)
     assert validate.for_format("csv") is validate.structural_split and validate.for_format("orc") is validate.schema_matches
