@@ -6,6 +6,8 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from lakeops.operators.timeseries import global_row_number
+
 ROWS = T.StructType([T.StructField(n, T.LongType()) for n in ("read_valid", "read_invalid", "cast_valid", "cast_invalid", "quality_valid", "quality_invalid")])
 RUN = T.StructType([
     T.StructField("run_id", T.StringType()), T.StructField("dataset", T.StringType()), T.StructField("state", T.StringType()), T.StructField("at", T.TimestampType()),
@@ -36,9 +38,8 @@ def latest_state(runs: DataFrame) -> DataFrame:
 
 
 def pending(batches: DataFrame, flag: str, order: list[str]) -> DataFrame:
-    """Batches that wait, numbered in the order of completion."""
-    waiting = batches.where(F.col(flag))
-    return waiting.withColumn("place", F.row_number().over(Window.orderBy(*order)))
+    """Batches that wait, numbered in the order of completion; the order is global, but no task holds all of them."""
+    return global_row_number(batches.where(F.col(flag)), order, "place")
 
 
 def running_within(runs: DataFrame, now, seconds: int = 21_600) -> DataFrame:
