@@ -16,7 +16,7 @@ from lakeops.schema import keep_declared, persisted_view, stamp
 from lakeops.scratch import scratch
 from lakeops.sources import api, files, jdbc, sinks
 from lakeops.spec import DOUBLE, LONG, ColumnSpec, DatasetSpec
-from lakeops.streaming.topics import decode_json_events
+from lakeops.streaming import topics
 
 EVENT = T.StructType([T.StructField("event_id", T.LongType()), T.StructField("event_type", T.StringType()), T.StructField("k", T.LongType())])
 
@@ -88,12 +88,12 @@ select case when event_id % 97 = 0 then null else event_id end as event_id, case
   case when event_id % 97 = 0 then null else (props->>'$.k')::bigint end as k, case when event_id % 97 = 0 then '{"event_id": ' || event_id || ', broken' end as wrong
 from events
 """)
-def decode_json_events_permissive(spark, sf_dir):
+def decode_json_events(spark, sf_dir):
     e = table(spark, sf_dir, "events")
     good = F.to_json(F.struct("event_id", "event_type", F.get_json_object("props", "$.k").cast("long").alias("k")))
     bad = F.concat(F.lit('{"event_id": '), "event_id", F.lit(", broken"))
     # a broken payload keeps no field, as one that was cut off can't be trusted
-    got = decode_json_events(e.select(F.when(F.col("event_id") % 97 == 0, bad).otherwise(good).cast("binary").alias("value")), EVENT)
+    got = topics.decode_json_events(e.select(F.when(F.col("event_id") % 97 == 0, bad).otherwise(good).cast("binary").alias("value")), EVENT)
     fine = F.col(validate.CORRUPT).isNull()
     return got.select(*(F.when(fine, F.col(c)).alias(c) for c in EVENT.names), F.col(validate.CORRUPT).alias("wrong"))
 
