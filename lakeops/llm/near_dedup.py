@@ -183,12 +183,12 @@ def components(edges: DataFrame) -> DataFrame:
     """(node, component): the smallest node that a node is connected with, by alternating large and small stars.
     Every round is written to the shared folder; neighbours are aggregated and joined, never gathered in one row."""
     edges = stored(edges.select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v")).where("u <> v").distinct(), "edges")
-    known = None
     while True:
-        state = edges.agg(F.count("*"), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))).first()
-        if state == known:
+        # done when every node has one neighbour below it and that one has none
+        forked = edges.groupBy("u").agg(F.count("*").alias("n")).where("n > 1").select("u")
+        chained = edges.select(F.col("v").alias("u")).join(edges, "u", "left_semi")
+        if forked.unionByName(chained).isEmpty():
             break
-        known = state
         both = edges.unionByName(edges.select(F.col("v").alias("u"), F.col("u").alias("v")))
         least = both.groupBy("u").agg(F.least(F.min("v"), F.col("u")).alias("m"))
         large = both.join(least, "u").where("v > u").select(F.col("v").alias("u"), F.col("m").alias("v")).where("u <> v").distinct()
@@ -198,6 +198,12 @@ def components(edges: DataFrame) -> DataFrame:
     return edges.select(F.col("u").alias("node"), F.col("v").alias("component")).unionByName(edges.select(F.col("v").alias("node"), F.col("v").alias("component"))).distinct()
 
 
+def _rooted(links: DataFrame, side: str, grouped: DataFrame) -> DataFrame:
+    """Links with one end's component in the place of its node."""
+    roots = grouped.select(F.col("node").alias(side), F.col("component").alias("_root"))
+    return links.join(roots, side, "left").withColumn(side, F.coalesce("_root", side)).drop("_root")
+
+
 def near_duplicate_classes(docs: DataFrame, similarity: float = SIMILARITY, size: int = SHINGLE) -> DataFrame:
     """One row per row of ``docs``: doc_id, class_id (the smallest doc_id of its group) and kept (whether it is that document)."""
     docs = docs.select("doc_id", F.col("text").cast("string").alias("text"))
@@ -218,8 +224,10 @@ def near_duplicate_classes(docs: DataFrame, similarity: float = SIMILARITY, size
     apart = stored(placed.join(several, "key").select("node", "component").distinct(), "apart")
     rest = prefix_pairs(known, apart, similarity, size)
     more = stored(verified(known, rest, similarity, size), "links").select("a", "b")
-    if not more.isEmpty():
-        grouped = stored(components(links.unionByName(more)), "components")
+    # late links connect whole components: only their roots go through the rounds again
+    late = stored(components(_rooted(_rooted(more, "a", grouped), "b", grouped)), "late-components").withColumnsRenamed({"node": "root", "component": "late"})
+    nodes = grouped.unionByName(late.select(F.col("root").alias("node"), F.col("root").alias("component"))).distinct()
+    grouped = stored(nodes.join(late, nodes.component == late.root, "left").select("node", F.coalesce("late", "component").alias("component")), "components")
     classes = firsts.join(grouped, "node", "left").select("ident1", "ident2", F.coalesce("component", "node").alias("class_id"))
     of = sketched.select("doc_id", "ident1", "ident2").join(classes, ["ident1", "ident2"]).groupBy("doc_id").agg(F.min("class_id").alias("class_id"))
     return docs.select("doc_id").join(of, "doc_id", "left").select("doc_id", F.coalesce("class_id", "doc_id").alias("class_id")).withColumn("kept", F.coalesce(F.col("doc_id") == F.col("class_id"), F.lit(True)))
