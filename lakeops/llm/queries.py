@@ -99,3 +99,25 @@ def op6_toxicity_neighbours(spark, sf_dir):
 @query
 def op2_html_main_text(spark, sf_dir):
     return extract_main_text(table(spark, sf_dir, "pages"))
+
+
+SQL["op8_minhash_near_dedup"] = r"""
+with recursive d as (select doc_id, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') as w from documents),
+shingles as (
+  select doc_id, array_to_string(w[i:i + 4], ' ') as g
+  from (select doc_id, w, unnest(range(1, greatest(len(w) - 4, 1) + 1)) as i from d where len(w) > 0)),
+bags as (select doc_id, g, count(*) as n from shingles group by doc_id, g),
+totals as (select doc_id, sum(n) as total from bags group by doc_id),
+common as (
+  select x.doc_id as a, y.doc_id as b, sum(least(x.n, y.n)) as shared
+  from bags x join bags y on x.g = y.g and x.doc_id < y.doc_id group by x.doc_id, y.doc_id),
+links as (
+  select a, b from common join totals ta on ta.doc_id = a join totals tb on tb.doc_id = b
+  where shared / (ta.total + tb.total - shared) >= 0.8 - 1e-9),
+ways as (select a, b from links union all select b, a from links),
+reached(doc_id, root) as (
+  select doc_id, doc_id from d
+  union select ways.b, root from reached join ways on ways.a = reached.doc_id where root < ways.b),
+classes as (select doc_id, min(root) as class_id from reached group by doc_id)
+select d.doc_id, class_id, d.doc_id = class_id as kept from d join classes using (doc_id)
+"""
