@@ -21,7 +21,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from lakeops.llm.storage import stored
+from lakeops.llm.storage import bounded_sample, stored
 from lakeops.llm.text import slices
 
 LONGEST = 3
@@ -134,7 +134,7 @@ def _profile_counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatc
 def fit(docs: DataFrame, sample: int = SAMPLE, profile: int = PROFILE) -> DataFrame:
     """(lang, gram, place) of every learned language, from (doc_id, text, lang) rows."""
     labelled = docs.where(F.col("lang").isNotNull() & F.col("text").isNotNull()).select("lang", "text", F.xxhash64("doc_id", "text").alias("order"))
-    chosen = labelled.orderBy("order", "lang").limit(sample).select("lang", "text")
+    chosen = bounded_sample(labelled, "order", sample).repartition("order").select("lang", "text")
     counts = chosen.mapInArrow(_profile_counts, "lang string, gram string, n long").groupBy("lang", "gram").agg(F.sum("n").alias("n"))
     return counts.groupBy("lang").agg(F.slice(F.array_sort(F.collect_list(F.struct((-F.col("n")).alias("n"), F.col("gram")))), 1, profile).alias("grams")).select("lang", F.posexplode("grams.gram").alias("place", "gram"))
 
