@@ -28,7 +28,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from lakeops.llm.language_id import held_out
-from lakeops.llm.storage import stored
+from lakeops.llm.storage import bounded_sample, stored
 from lakeops.llm.text import slices
 
 SAMPLE = 8192
@@ -187,7 +187,7 @@ def toxicity_scores(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) ->
     docs = docs.select("doc_id", held_out(F.col("doc_id")).alias("held_out"), F.col("text").cast("string").alias("text"))
     known = labels.where(F.col("doc_id").isNotNull() & F.col("toxic").isNotNull() & ~held_out(F.col("doc_id"))).groupBy("doc_id").agg(F.max(F.col("toxic").cast("int")).alias("toxic"))
     # at most `sample` small rows: broadcast, so that no text is shuffled
-    chosen = stored(known.orderBy(F.xxhash64("doc_id"), "doc_id").limit(sample), "chosen-labels")
+    chosen = stored(bounded_sample(known.withColumn("order", F.xxhash64("doc_id")), "order", sample).select("doc_id", "toxic"), "chosen-labels")
     examples = stored(docs.join(F.broadcast(chosen), "doc_id").select("doc_id", "text", "toxic"), "examples")
     terms = vocabulary(examples)
     shared = spark.sparkContext.broadcast(terms)
