@@ -25,6 +25,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from lakeops.llm.storage import bounded_sample
 from lakeops.llm.text import slices
 
 SAMPLE = 200
@@ -386,7 +387,7 @@ def main_text(html: str | None, model) -> str:
 def extract_main_text(pages: DataFrame, sample: int = SAMPLE) -> DataFrame:
     """page_id, url, text and n_chars of every row."""
     pages = pages.select("page_id", "url", F.col("html").cast("string").alias("html"))
-    chosen = pages.where("html is not null").select("html", F.xxhash64("page_id", "html").alias("order")).orderBy("order", "html").limit(sample)
+    chosen = bounded_sample(pages.where("html is not null").select("html", F.xxhash64("page_id", "html").alias("order")), "order", sample)
     model = pages.sparkSession.sparkContext.broadcast(train([text for r in chosen.collect() for _, text, _ in Page(r["html"]).blocks]))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
