@@ -36,7 +36,8 @@ MMER = 8
 COMMON = 500
 
 _PLACE = "minimiser long, key long, doc_id long, copy int, start int, n int"
-_PACKED = "bucket long, doc_id long, copy int, start int, packed binary"
+_PACKED = "bucket long, doc_id long, copy int, origin int, start int, packed binary"
+_MARKED = "doc_id long, copy int, origin int, start int, n int"
 
 
 def _super_kmers(found: Words, window: int, mmer: int) -> tuple[np.ndarray, ...]:
@@ -102,13 +103,13 @@ def _pack(window: int):
                         a, n = base + p["start"], p["n"]
                         if p["common"]:
                             keys = rolling(hashes[a : a + n + window - 1], np.arange(n), np.arange(n) + window).view(np.int64)
-                            rows += [(int(keys[j]), doc, copy, p["start"] + j, text[starts[a + j] : ends[a + j + window - 1]]) for j in range(n)]
+                            rows += [(int(keys[j]), doc, copy, p["start"], p["start"] + j, text[starts[a + j] : ends[a + j + window - 1]]) for j in range(n)]
                         else:
-                            rows.append((p["minimiser"], doc, copy, p["start"], text[starts[a] : ends[a + n + window - 2]]))
+                            rows.append((p["minimiser"], doc, copy, p["start"], p["start"], text[starts[a] : ends[a + n + window - 2]]))
                 if rows:
                     yield pa.RecordBatch.from_arrays(
-                        [pa.array(c, t) for c, t in zip(zip(*rows, strict=True), (pa.int64(), pa.int64(), pa.int32(), pa.int32(), pa.binary()), strict=True)],
-                        ["bucket", "doc_id", "copy", "start", "packed"],
+                        [pa.array(c, t) for c, t in zip(zip(*rows, strict=True), (pa.int64(), pa.int64(), pa.int32(), pa.int32(), pa.int32(), pa.binary()), strict=True)],
+                        ["bucket", "doc_id", "copy", "origin", "start", "packed"],
                     )
 
     return run
@@ -121,7 +122,7 @@ def _marked(window: int):
         bucket, seen = None, {}
         for batch in batches:
             out = []
-            for b, doc, copy, start, packed in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+            for b, doc, copy, origin, start, packed in zip(*(c.to_pylist() for c in batch.columns), strict=True):
                 if b != bucket:
                     bucket, seen = b, {}
                 spaces = np.flatnonzero(np.frombuffer(packed, np.uint8) == 0x20)
@@ -134,12 +135,12 @@ def _marked(window: int):
                     if seen.setdefault(piece, doc) < doc:
                         since = j if since is None else since
                     elif since is not None:
-                        out.append((doc, copy, start + since, j - since))
+                        out.append((doc, copy, origin, start + since, j - since))
                         since = None
                 if since is not None:
-                    out.append((doc, copy, start + since, n - since))
+                    out.append((doc, copy, origin, start + since, n - since))
             if out:
-                yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*out, strict=True), (pa.int64(), pa.int32(), pa.int32(), pa.int32()), strict=True)], ["doc_id", "copy", "start", "n"])
+                yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*out, strict=True), (pa.int64(), pa.int32(), pa.int32(), pa.int32(), pa.int32()), strict=True)], ["doc_id", "copy", "origin", "start", "n"])
 
     return run
 
@@ -197,17 +198,16 @@ def remove_repeated_windows(docs: DataFrame, window: int = WINDOW, mmer: int = M
         docs.join(wanted, ["doc_id", "copy"], "left").select(*docs.columns, "places").mapInArrow(_pack(window), _PACKED)
         .repartition("bucket").sortWithinPartitions("bucket", "doc_id")
     )
-    marked = packed.mapInArrow(_marked(window), "doc_id long, copy int, start int, n int")
+    marked = packed.mapInArrow(_marked(window), _MARKED)
     # other places of a super-k-mer: later documents lose it whole; in the first document they share the marks of its place
     repeated = distinct.where("times > 1").select("minimiser", "key", "rep")
     others = places.join(repeated, ["minimiser", "key"]).where("doc_id > rep.doc_id or copy <> rep.copy or start <> rep.start")
     whole = others.where("doc_id > rep.doc_id").select("doc_id", "copy", "start", "n")
-    again = others.where("doc_id = rep.doc_id").select("doc_id", "copy", "start", F.col("rep.copy").alias("rep_copy"), F.col("rep.start").alias("rep_start"), F.col("n").alias("rep_n"))
+    again = others.where("doc_id = rep.doc_id").select("doc_id", "copy", "start", F.col("rep.copy").alias("m_copy"), F.col("rep.start").alias("origin"))
     echoed = (
-        marked.withColumnsRenamed({"copy": "m_copy", "start": "m_start", "n": "m_n"}).join(again, "doc_id")
-        .where("m_copy = rep_copy and m_start >= rep_start and m_start < rep_start + rep_n")
-        .select("doc_id", "copy", (F.col("start") + F.col("m_start") - F.col("rep_start")).alias("start"), F.col("m_n").alias("n"))
+        marked.withColumnsRenamed({"copy": "m_copy", "start": "m_start", "n": "m_n"}).join(again, ["doc_id", "m_copy", "origin"])
+        .select("doc_id", "copy", (F.col("start") + F.col("m_start") - F.col("origin")).alias("start"), F.col("m_n").alias("n"))
     )
-    spans = whole.unionByName(marked).unionByName(echoed).groupBy("doc_id", "copy").agg(F.collect_list(F.struct("start", "n")).alias("spans"))
+    spans = whole.unionByName(marked.drop("origin")).unionByName(echoed).groupBy("doc_id", "copy").agg(F.collect_list(F.struct("start", "n")).alias("spans"))
     cut = docs.join(spans, ["doc_id", "copy"], "left").select(*docs.columns, "spans")
     return cut.mapInArrow(_cut(window), f"{schema}, n_words long, n_removed long, kept_sha256 string, kept_text string")
