@@ -213,15 +213,16 @@ def near_duplicate_classes(docs: DataFrame, similarity: float = SIMILARITY, size
     nodes = sketched.join(firsts, (sketched.doc_id == firsts.node) & (sketched.ident1 == firsts.ident1) & (sketched.ident2 == firsts.ident2)).select("node", "bands")
     rows = nodes.select("node", F.explode("bands").alias("key"))
     sizes = rows.groupBy("key").agg(F.count("*").alias("members")).where("members > 1")
-    shared = stored(rows.join(sizes, "key"), "shared-bands")
+    # stored, like the leaders and mixed buckets below: both sides of the joins are then plain exchanges, which AQE splits at a large bucket
+    shared = stored(rows.join(stored(sizes, "band-sizes"), "key"), "shared-bands")
     met = shared.groupBy("node").agg(F.sum("members").alias("met"))
     leaders = shared.join(met, "node").groupBy("key").agg(F.max_by("node", F.struct("met", -F.col("node"))).alias("leader"))
-    pairs = shared.join(leaders, "key").where("node <> leader").select(F.col("node").alias("a"), F.col("leader").alias("b")).distinct()
+    pairs = shared.join(stored(leaders, "leaders"), "key").where("node <> leader").select(F.col("node").alias("a"), F.col("leader").alias("b")).distinct()
     links = stored(verified(known, pairs, similarity, size), "links").select("a", "b")
     grouped = stored(components(links), "components")
     placed = shared.join(grouped, "node", "left").withColumn("component", F.coalesce("component", "node"))
     several = placed.groupBy("key").agg(F.min("component").alias("low"), F.max("component").alias("high")).where("low < high").select("key")
-    apart = stored(placed.join(several, "key").select("node", "component").distinct(), "apart")
+    apart = stored(placed.join(stored(several, "mixed-bands"), "key").select("node", "component").distinct(), "apart")
     rest = prefix_pairs(known, apart, similarity, size)
     more = stored(verified(known, rest, similarity, size), "links").select("a", "b")
     # late links connect whole components: only their roots go through the rounds again
