@@ -31,9 +31,9 @@ def bounded_sample(df: DataFrame, order: str, most: int) -> DataFrame:
     A sort with a limit alone would send ``most`` rows of every partition to one task. So rows that are surely not among them
     (six standard deviations beyond the share that is needed) are dropped first, and the sort sees about ``most`` rows in all."""
     n = df.select(order).count()
-    if n > most:
-        share = min(1.0, (most + 6 * most**0.5 + 36) / n)
-        df = df.where(F.col(order) <= -(1 << 63) + int(share * ((1 << 64) - 1)))
+    needed = int(most + 6 * most**0.5 + 36)
+    if n > needed:
+        df = df.where(F.col(order) <= -(1 << 63) + ((1 << 64) - 1) * needed // n)
     return df.orderBy(order).limit(most)
 
 
