@@ -41,8 +41,8 @@ def repeated_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
 
 def source_mixing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """A document comes once for each epoch that takes it, and once more if the last, partial one does; at the border of a budget a document stays whole."""
-    taken = mix(docs).where("taken > 0").groupBy("doc_id").agg(F.max(F.ceil(F.col("taken") / F.col("size"))).cast("int").alias("copies"))
-    return docs.select(*COLUMNS).join(taken, "doc_id").select(*COLUMNS, F.explode(F.sequence(F.lit(1), "copies")).alias("copy")).select(*COLUMNS)
+    taken = mix(docs, carry=COLUMNS).where("taken > 0").withColumn("copies", F.ceil(F.col("taken") / F.col("size")).cast("int"))
+    return taken.select(*COLUMNS, F.explode(F.sequence(F.lit(1), "copies")).alias("copy")).select(*COLUMNS)
 
 
 def tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -11,7 +11,8 @@ the document at the border gives the words that are still missing. The order of
 about sqrt(n) ranges, running sums over the ranges find the one with the border, and only its documents are sorted.
 
 Rows: one per input row. A null or wordless text has size 0 and gives nothing. Null sources are one source, the last. Rows with
-equal doc_id and text are equal candidates. An empty table, or one without words, takes nothing. Columns besides doc_id, text and source are ignored.
+equal doc_id and text are equal candidates. An empty table, or one without words, takes nothing. Columns besides doc_id, text and source are ignored,
+unless ``carry`` names them; what is carried stays with its row, whatever the doc_id.
 """
 
 from __future__ import annotations
@@ -58,10 +59,11 @@ def source_targets(sizes: DataFrame, weights: tuple[int, ...] = WEIGHTS, total:
     return sources.select(F.col("source").alias("of_source"), "source_size", "docs", target.alias("target"))
 
 
-def mix(docs: DataFrame, weights: tuple[int, ...] = WEIGHTS, total: float = TOTAL, epochs: int = EPOCHS) -> DataFrame:
-    """doc_id, size, source_size, target (of its source) and taken, the words that the mix takes of each row."""
+def mix(docs: DataFrame, weights: tuple[int, ...] = WEIGHTS, total: float = TOTAL, epochs: int = EPOCHS, carry: tuple[str, ...] = ()) -> DataFrame:
+    """doc_id, size, source_size, target (of its source) and taken, the words that the mix takes of each row; then the carried columns besides doc_id."""
+    held = ["carried"] if carry else []
     text, whole = F.col("text").cast("string"), F.col("doc_id")
-    sizes = stored(docs.select("doc_id", F.col("source").cast("string").alias("source"), word_count(text).alias("size"), (-F.log(uniform(whole)) / quality_weight(text)).alias("key")), "sizes")
+    sizes = stored(docs.select("doc_id", F.col("source").cast("string").alias("source"), word_count(text).alias("size"), (-F.log(uniform(whole)) / quality_weight(text)).alias("key"), *(F.struct(*carry).alias(c) for c in held)), "sizes")
     targets = stored(source_targets(sizes, weights, total, epochs), "targets")
     rows = sizes.join(targets, sizes.source.eqNullSafe(targets.of_source)).drop("of_source")
     full = F.floor(F.col("target") / F.greatest("source_size", F.lit(1)))
@@ -74,11 +76,11 @@ def mix(docs: DataFrame, weights: tuple[int, ...] = WEIGHTS, total: float = TOTA
     ranges = ranges.withColumn("before", upto - F.col("words")).withColumn("border", F.col("before") + F.col("words") > F.col("missing"))
     border = stored(ranges.where("border").groupBy(F.col("source").alias("of_source")).agg(F.min("part").alias("border"), F.min_by("before", "part").alias("before")), "borders")
     rows = rows.join(border, rows.source.eqNullSafe(border.of_source), "left").drop("of_source")
-    inside = rows.where("part = border").withColumn("before", F.col("before") + F.sum("size").over(Window.partitionBy("source").orderBy("key", "doc_id", "size").rowsBetween(Window.unboundedPreceding, 0)) - F.col("size"))
+    inside = rows.where("part = border").withColumn("before", F.col("before") + F.sum("size").over(Window.partitionBy("source").orderBy("key", "doc_id", "size", *held).rowsBetween(Window.unboundedPreceding, 0)) - F.col("size"))
     inside = inside.withColumn("extra", F.greatest(F.lit(0), F.least(F.col("size"), F.col("missing") - F.col("before"))))
     others = rows.where("border is null or part <> border").withColumn("extra", F.when(F.col("border").isNull() | (F.col("part") < F.col("border")), F.col("size")).otherwise(0))
     both = others.unionByName(inside)
-    return both.select("doc_id", "size", "source_size", "target", (F.col("full") * F.col("size") + F.col("extra")).cast("long").alias("taken"))
+    return both.select("doc_id", "size", "source_size", "target", (F.col("full") * F.col("size") + F.col("extra")).cast("long").alias("taken"), *(F.col(f"carried.{c}") for c in carry if c != "doc_id"))
 
 
 SQL = r"""

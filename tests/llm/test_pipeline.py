@@ -8,6 +8,7 @@ import tiktoken
 
 import corpus_pipeline
 from lakeops.llm.bpe import load_ranks
+from lakeops.llm.mixing import mix
 from tests.llm.test_mixing import brute as mixed
 from tests.llm.test_near_dedup import brute as near
 from tests.llm.test_quality import brute as judged
@@ -75,3 +76,28 @@ def test_run_matches_brute_force(spark, tmp_path):
     got = Counter((r.doc_id, r.n_tokens, r.ids_sha256, r.decoded_sha256) for r in corpus_pipeline.run(spark, str(tmp_path)).collect())
     assert got == want and 30 < len(got) < len(left) <= len(rows)
     assert len(left) < len(rows) and any(texts[i] != t for i, t, _, _ in left) and max(want.values()) > 1
+
+
+def test_mixing_keeps_rows_with_null_and_repeated_ids(spark, tmp_path):
+    """Every row comes as often as the mix took that row, whatever its doc_id."""
+    r = random.Random(5)
+    rows = []
+    for i in range(120):
+        text = " ".join([f"w{i}", *("x" for _ in range(r.randrange(1, 60)))])
+        rows.append((None if i % 10 == 0 else i // 4, text, r.choice(["en", None]), "a" if i % 6 else "b", len(text)))
+    rows.append((None, None, None, "a", 0))
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars long")
+    # a text names its row
+    taken = {x.text: (x.size, x.taken) for x in mix(docs, carry=corpus_pipeline.COLUMNS).collect()}
+    assert len(taken) == len(rows) and sorted(taken.values()) == sorted((x.size, x.taken) for x in mix(docs).collect())
+    want = Counter()
+    for row in rows:
+        n, k = taken[row[1]]
+        if k:
+            want[row] = math.ceil(k / n)
+    got = Counter(tuple(x) for x in corpus_pipeline.source_mixing(spark, docs, str(tmp_path)).collect())
+    assert got == want
+    copies = {}
+    for row in rows:
+        copies.setdefault(row[0], set()).add(want[row])
+    assert any(x[0] is None for x in got) and any(len(c) > 1 for doc, c in copies.items() if doc is not None)
