@@ -10,7 +10,8 @@ generator with known parts: articles in many kinds of containers, menus, headers
 reader comments. The attribute tokens' log-odds are estimated on one half of them, the trees on the other. Nothing of this grows with the table.
 
 Text: character references are decoded, white space inside a block becomes one space, blocks are joined by one space in page order. Rows: one
-per input row; a null or empty page gives an empty text. Broken markup is read as far as it goes. Columns besides page_id, url and html are ignored.
+per input row; a null or empty page gives an empty text. Broken markup is read as far as it goes: a head
+without end tag ends where the body begins, another silent element at the end of the block around it at the latest. Columns besides page_id, url and html are ignored.
 """
 
 from __future__ import annotations
@@ -38,6 +39,7 @@ SWITCH = 0.5
 
 #: Elements without main text, and elements that belong to the block around them (fixed values of HTML).
 SILENT = {"script", "style", "head", "title", "noscript", "template", "svg", "iframe", "object", "canvas", "select", "textarea", "math", "audio", "video"}
+IN_HEAD = set("base basefont bgsound link meta noframes noscript script style template title".split())
 INLINE = set("a abbr acronym b bdi bdo big br cite code data del dfn em font i img input ins kbd label mark meter nobr output q ruby rt rp s samp small span strike strong sub sup time tt u var wbr link meta".split())
 VOID = set("area base br col embed hr img input link meta param source track wbr".split())
 #: An opening tag closes an open one of these on the way up to the stop tags.
@@ -57,7 +59,7 @@ class Page:
         self.parent, self.tag, self.tokens, self.depth, self.blocks, self.inline = [-1], ["#root"], [[]], [0], [], [0]
         html = html or ""
         stack, quiet, links, parts, linked = [0], 0, 0, [], 0
-        opened: list[str] = []  # silent elements
+        opened: list[str] = []  # a silent element and what is open inside it
 
         def flush():
             nonlocal parts, linked
@@ -71,6 +73,8 @@ class Page:
         while at < n:
             m = _token.search(html, at)
             end = m.start() if m else n
+            if opened == ["head"] and html[at:end].strip():
+                opened.clear()
             if end > at and not opened:
                 piece = html[at:end]
                 parts.append(piece)
@@ -82,11 +86,20 @@ class Page:
             tag = m[2] and m[2].lower()
             if not tag:
                 continue
+            # head ends without its end tag where something comes that can't stand in it, another silent element with the block around it
+            if opened and not m[1] and opened[0] == "head" and (tag == "body" or len(opened) == 1 and tag not in IN_HEAD):
+                opened.clear()
+            elif opened and m[1] and tag not in opened and any(self.tag[i] == tag for i in stack[1:]):
+                opened.clear()
             if opened:
-                if m[1] and tag == opened[-1]:
-                    opened.pop()
-                elif not m[1] and tag == opened[-1]:
-                    opened.append(tag)
+                if m[1]:
+                    if tag in opened:
+                        del opened[len(opened) - 1 - opened[::-1].index(tag) :]
+                elif tag in _raw_end and (closing := _raw_end[tag].search(html, at)):
+                    at = closing.end()
+                elif tag in SILENT or tag not in INLINE and tag not in VOID:
+                    if not m[3].endswith("/"):
+                        opened.append(tag)
                 continue
             if m[1]:
                 if tag == "a":

@@ -23,6 +23,18 @@ def test_blocks_references_and_broken_markup():
     assert [t for _, t, _ in Page("<table><tr><td>a<td>b<tr><td>c</table>d").blocks] == ["a", "b", "c", "d"]
 
 
+def test_silent_elements_without_end_tags_are_bounded():
+    def texts(html):
+        return [t for _, t, _ in Page(html).blocks]
+
+    for head in ("<head><title>x</title><body>", "<head><meta charset=utf-8><title>x</title><style>p{}</style><noscript><p>no</p></noscript>", "<head><title>x<body>", "<head><template><p>no<body>", "<head><script>'</head><p>no'</script></head><body>"):
+        assert texts(f"<html>{head}<p>one<p>two</html>") == ["one", "two"], head
+    assert texts("<head><title>x</title>one<p>two") == ["one", "two"]
+    for tag in ("select", "object", "svg", "canvas", "audio", "video", "math"):
+        assert texts(f"<body><div>a<{tag}><div>no</div>no</div><p>b</p><section><{tag}><p>no</p></{tag}>c</section></body>") == ["a", "b", "c"], tag
+    assert texts("<div><svg><g>no<svg>no</svg>no</svg>a</div>") == ["a"]
+
+
 def test_the_article_alone_is_kept(model):
     text = "Lorem ipsum dolor, sit amet. " * 12
     article = f"<article><h1>Lorem ipsum dolor</h1><p><b>{text}<br><p>{text} &amp; more</p><p>Sit.</p></article>"
