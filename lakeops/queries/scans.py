@@ -21,9 +21,16 @@ from lakeops.streaming import topics
 EVENT = T.StructType([T.StructField("event_id", T.LongType()), T.StructField("event_type", T.StringType()), T.StructField("k", T.LongType())])
 
 
-def derby() -> str:
-    """An embedded database of its own for each call."""
-    return f"jdbc:derby:memory:lakeops{uuid.uuid4().hex};create=true"
+def database(spark) -> tuple[str, str]:
+    """The JDBC URL in ``lakeops.jdbc.url``, a database that all executors reach, and an end for the call's table names, so that none of its tables is overwritten.
+    Without the setting, under a local master, an embedded database; other masters' executors share none."""
+    url, own = spark.conf.get("lakeops.jdbc.url", None), uuid.uuid4().hex[:12]
+    if url:
+        return url, f"_{own}"
+    master = spark.sparkContext.master
+    if master != "local" and not master.startswith("local["):
+        raise ValueError(f"lakeops.jdbc.url is not set, and the executors of {master} share no database in memory")
+    return f"jdbc:derby:memory:lakeops{own};create=true", f"_{own}"
 
 
 @query("select * from orders")
@@ -109,26 +116,26 @@ def api_payload_explode(spark, sf_dir):
 
 @query("select n_nationkey, n_name, n_regionkey from nation")
 def jdbc_roundtrip(spark, sf_dir):
-    url = derby()
-    sqlsync.write_sql(table(spark, sf_dir, "nation"), url, "nation", partitions=2)
-    n = sqlsync.read_sql(spark, url, table="nation")
+    url, own = database(spark)
+    sqlsync.write_sql(table(spark, sf_dir, "nation"), url, f"nation{own}", partitions=2)
+    n = sqlsync.read_sql(spark, url, table=f"nation{own}")
     return n.toDF(*(c.lower() for c in n.columns))
 
 
 @query("select o_orderkey, o_custkey, o_orderstatus from orders")
 def jdbc_partitioned_scan(spark, sf_dir):
-    url = derby()
-    sqlsync.write_sql(table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey", "o_orderstatus"), url, "orders", partitions=4)
-    o = jdbc.read_jdbc(spark, url, table="orders", partition_column="o_orderkey", partitions=4)
+    url, own = database(spark)
+    sqlsync.write_sql(table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey", "o_orderstatus"), url, f"orders{own}", partitions=4)
+    o = jdbc.read_jdbc(spark, url, table=f"orders{own}", partition_column="o_orderkey", partitions=4)
     return o.toDF(*(c.lower() for c in o.columns))
 
 
 @query("select n_regionkey, count(*) as nations, min(n_name) as first_name from nation where n_nationkey >= 3 and n_name <> 'NATION_7' group by n_regionkey")
 def sql_mart_sync(spark, sf_dir):
-    url = derby()
-    select = 'select "n_regionkey", count(*) as nations, min("n_name") as first_name from staging where "n_name" <> \'NATION_7\' group by "n_regionkey"'
-    sqlsync.sync(spark, table(spark, sf_dir, "nation").withColumn("n_name", F.col("n_name").cast("varchar(40)")), url, "staging", "n_nationkey >= 3", [(select, "mart", "overwrite")], staging_types="n_name VARCHAR(40)")
-    got = sqlsync.read_sql(spark, url, table="mart")
+    url, own = database(spark)
+    select = f'select "n_regionkey", count(*) as nations, min("n_name") as first_name from staging{own} where "n_name" <> \'NATION_7\' group by "n_regionkey"'
+    sqlsync.sync(spark, table(spark, sf_dir, "nation").withColumn("n_name", F.col("n_name").cast("varchar(40)")), url, f"staging{own}", "n_nationkey >= 3", [(select, f"mart{own}", "overwrite")], staging_types="n_name VARCHAR(40)")
+    got = sqlsync.read_sql(spark, url, table=f"mart{own}")
     return got.toDF(*(c.lower() for c in got.columns)).withColumn("nations", F.col("nations").cast("long"))
 
 
@@ -148,11 +155,11 @@ def incremental_watermark(spark, sf_dir):
 
 @query("select event_id, user_id, event_type from events where ts > timestamp '2024-01-20'")
 def incremental_watermark_query(spark, sf_dir):
-    url = derby()
+    url, own = database(spark)
     e = table(spark, sf_dir, "events").select("event_id", "user_id", F.col("event_type"), F.col("ts").cast("timestamp").alias("happened"))
-    sqlsync.write_sql(e, url, "events", partitions=4, createTableColumnTypes="event_type VARCHAR(20)")
+    sqlsync.write_sql(e, url, f"events{own}", partitions=4, createTableColumnTypes="event_type VARCHAR(20)")
     mark = spark.createDataFrame([("2024-01-20 00:00:00",)], "at string").first()["at"]
-    got = jdbc.read_jdbc(spark, url, query=f'select "event_id", "user_id", "event_type" from events where "happened" > timestamp({jdbc.WATERMARK})', watermark=mark)
+    got = jdbc.read_jdbc(spark, url, query=f'select "event_id", "user_id", "event_type" from events{own} where "happened" > timestamp({jdbc.WATERMARK})', watermark=mark)
     return got.toDF(*(c.lower() for c in got.columns))
 
 

@@ -139,3 +139,24 @@ def test_privacy(spark):
     assert df.select(privacy.mask("s").alias("m")).distinct().count() == 1
     same = spark.createDataFrame([("q",), ("q",)], "a string")
     assert same.select(privacy.encrypt("a", "k").alias("e")).distinct().count() == 2
+
+
+def test_jdbc_queries_use_the_shared_database_of_the_session(spark, tmp_path):
+    from types import SimpleNamespace
+
+    from lakeops.queries import scans
+
+    spark.createDataFrame([(i, f"N{i}", i % 2) for i in range(5)], "n_nationkey long, n_name string, n_regionkey long").write.parquet(str(tmp_path / "nation.parquet"))
+    url = "jdbc:derby:memory:lakeops_shared;create=true"
+    spark.conf.set("lakeops.jdbc.url", url)
+    try:
+        for _ in range(2):  # calls in one database don't meet
+            assert scans.jdbc_roundtrip(spark, str(tmp_path)).count() == 5
+        names = [r[0] for r in jdbc.read_jdbc(spark, url, query="select tablename from sys.systables where tabletype = 'T'").collect()]
+        assert len(names) == 2 and all(n.startswith("NATION_") for n in names)
+    finally:
+        spark.conf.unset("lakeops.jdbc.url")
+    assert scans.database(spark)[0].startswith("jdbc:derby:memory:")
+    for master in ("local-cluster[3,2,3000]", "yarn", "spark://host:7077"):
+        with pytest.raises(ValueError):
+            scans.database(SimpleNamespace(conf=spark.conf, sparkContext=SimpleNamespace(master=master)))
