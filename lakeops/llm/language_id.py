@@ -5,8 +5,8 @@ not cross words. A language's profile is its ``PROFILE`` most frequent n-grams,
 in order of the characters. The distance to a language adds up, over the document's n-grams, how far the two ranks are apart, and
 ``PROFILE`` where the language lacks the n-gram. The nearest language wins, of equal ones the first by name.
 
-Profiles are fitted on at most ``SAMPLE`` labelled documents of the training part, those with the smallest hash of their text and id; they
-hold languages x PROFILE n-grams and are broadcast (at most ``MOST_LANGUAGES`` languages, a checked bound).
+Profiles are fitted on at most ``SAMPLE`` labelled documents of each language in the training part, those with the smallest hash of their text
+and id, so that a rare language is learned at every size of the table; they hold languages x PROFILE n-grams and are broadcast (at most ``MOST_LANGUAGES`` languages, a checked bound).
 
 Rows: one per input row. ``und`` where the text is null or has no letter; documents too where nothing could be learned. The score is
 1 - distance / the largest possible one, so repeated and empty cases give the same values. Other columns are ignored.
@@ -18,10 +18,10 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from lakeops.llm.storage import bounded_sample, stored
+from lakeops.llm.storage import stored
 from lakeops.llm.text import slices
 
 LONGEST = 3
@@ -134,7 +134,12 @@ def _profile_counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatc
 def fit(docs: DataFrame, sample: int = SAMPLE, profile: int = PROFILE) -> DataFrame:
     """(lang, gram, place) of every learned language, from (doc_id, text, lang) rows."""
     labelled = docs.where(F.col("lang").isNotNull() & F.col("text").isNotNull()).select("lang", "text", F.xxhash64("doc_id", "text").alias("order"))
-    chosen = bounded_sample(labelled, "order", sample).repartition("order").select("lang", "text")
+    # hashes that are surely not among a language's smallest (six standard deviations beyond the share that is needed) are dropped before the sort
+    sizes = stored(labelled.groupBy(F.col("lang").alias("of_lang")).agg(F.count("*").alias("docs")), "language-sizes")
+    needed = sample + 6 * sample**0.5 + 36
+    likely = labelled.join(sizes, F.col("lang") == F.col("of_lang")).where((F.col("docs") <= needed) | (F.col("order").cast("double") <= 2.0**64 * needed / F.col("docs") - 2.0**63))
+    place = F.row_number().over(Window.partitionBy("lang").orderBy("order"))
+    chosen = likely.withColumn("place", place).where(F.col("place") <= sample).repartition("order").select("lang", "text")
     counts = chosen.mapInArrow(_profile_counts, "lang string, gram string, n long").groupBy("lang", "gram").agg(F.sum("n").alias("n"))
     return counts.groupBy("lang").agg(F.slice(F.array_sort(F.collect_list(F.struct((-F.col("n")).alias("n"), F.col("gram")))), 1, profile).alias("grams")).select("lang", F.posexplode("grams.gram").alias("place", "gram"))
 

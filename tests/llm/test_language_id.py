@@ -3,7 +3,7 @@ import re
 import zlib
 from collections import Counter, defaultdict
 
-from lakeops.llm.language_id import PROFILE, language_predictions
+from lakeops.llm.language_id import PROFILE, fit, language_predictions
 
 
 def words_of(text):
@@ -63,3 +63,9 @@ def test_empty_tables_repeated_rows_and_extra_columns(spark):
     assert language_predictions(spark.createDataFrame([], schema)).count() == 0
     got = language_predictions(spark.createDataFrame([(None, "abc", None, "", 1), (1, "abc", None, "", 1), (1, "abc", None, "", 1)], schema)).collect()
     assert [(r.lang_pred, r.score) for r in got] == [("und", 0.0)] * 3
+
+
+def test_a_rare_language_is_learned_from_a_bounded_sample(spark):
+    rows = [(i, "abc abd", "en") for i in range(3000)] + [(5000, "βγδ", "el"), (5001, "中", None)]
+    learned = fit(spark.createDataFrame(rows, "doc_id long, text string, lang string"), 10)
+    assert {r.lang for r in learned.select("lang").distinct().collect()} == {"en", "el"}
