@@ -8,7 +8,7 @@ grows with log w. A register keeps its earliest point: two documents agree on a
 weighted Jaccard similarity sum(min)/sum(max). Points are drawn in the order of time up to a limit per document, and
 on until every register is filled.
 
-Documents with equal multisets are collapsed to their smallest doc_id first. The rest meet in ``BANDS`` bands. In a bucket
+Documents with the same words (128-bit digests) are collapsed to their smallest doc_id first. The rest meet in ``BANDS`` bands. In a bucket
 every member is compared with one leader, the member that meets most others; the comparison counts the true overlap of the two
 multisets, so a group of copies costs a row per member. Buckets that still hold several components are not compared pair by pair.
 Their members go through an exact prefix filter: with all shingles in order of frequency, two documents can only be similar if
@@ -22,6 +22,9 @@ doc_id count as one document. A null doc_id has a null class. Columns besides do
 
 from __future__ import annotations
 
+import hashlib
+import re
+from collections import Counter
 from collections.abc import Iterator
 
 import numpy as np
@@ -30,7 +33,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from lakeops.llm.storage import stored
-from lakeops.llm.text import Words, mix, per_doc, rolling, slices, words
+from lakeops.llm.text import Words, hash_runs, hash_spans, mix, per_doc, slices, words
 
 SHINGLE = 5
 SIMILARITY = 0.8
@@ -38,20 +41,24 @@ REGISTERS = 96
 BANDS = 24
 _ROWS = 4096
 _LOW = np.uint64((1 << 52) - 1)
+_word = re.compile(rb"[^\x20\x09-\x0D]+").findall
 
 
-def _bags(found: Words, size: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Document, shingle (52 bits) and count of each different shingle, in order of document and shingle."""
-    hashes = found.hashes()
+def _shingles(found: Words, size: int, hashes: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """Document, first word, number of words and hash (52 bits) of every shingle; those of texts with fewer words come last."""
     at = found.windows(size)
-    doc = np.searchsorted(found.first, at, "right") - 1
     short = np.flatnonzero((found.counts > 0) & (found.counts < size))
+    doc = np.concatenate((np.searchsorted(found.first, at, "right") - 1, short))
     starts = np.concatenate((at, found.first[short]))
-    ends = np.concatenate((at + size, found.first[short + 1]))
-    doc = np.concatenate((doc, short)).astype(np.uint64)
-    if not len(starts):
-        return np.zeros(0, np.int64), np.zeros(0, np.uint64), np.zeros(0, np.int64)
-    key, count = np.unique((doc << np.uint64(52)) | (rolling(hashes, starts, ends) & _LOW), return_counts=True)
+    lengths = np.concatenate((np.full(len(at), size), found.counts[short]))
+    shingle = np.concatenate((hash_runs(hashes, size)[at], hash_spans(hashes, found.first[short], found.first[short + 1])))
+    return doc, starts, lengths, shingle & _LOW
+
+
+def _bags(found: Words, size: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Document, shingle (52 bits) and count of each different shingle, in order of document and shingle."""
+    doc, _, _, shingle = _shingles(found, size, found.hashes())
+    key, count = np.unique((doc.astype(np.uint64) << np.uint64(52)) | shingle, return_counts=True)
     return (key >> np.uint64(52)).astype(np.int64), key & _LOW, count
 
 
@@ -104,37 +111,44 @@ def _sketch(size: int, registers: int, bands: int):
                 value = mix(times.view(np.uint64) + np.arange(registers, dtype=np.uint64))
                 rows = registers // bands
                 flat = np.arange(n * bands) * rows
-                band = rolling(value.reshape(-1), flat, flat + rows)
-                heads = np.searchsorted(doc, np.arange(n + 1))
-                idents = []
-                for salt in (0x1234567, 0x7654321):
-                    mixed = np.zeros(len(doc) + 1, np.uint64)
-                    np.cumsum(mix(mix(shingle + np.uint64(salt)) + count.astype(np.uint64)), out=mixed[1:])
-                    idents.append(pa.array((mixed[heads[1:]] - mixed[heads[:-1]]).view(np.int64)))
+                band = hash_spans(value.reshape(-1), flat, flat + rows)
+                text, starts, ends = found.joined()
                 has = found.counts > 0
+                bounds = zip(found.first[:-1].tolist(), found.first[1:].tolist(), strict=True)
+                idents = [hashlib.blake2b(text[starts[a] : ends[b - 1]] if b > a else b"", digest_size=16).digest() for a, b in bounds]
                 lists = pa.ListArray.from_arrays(pa.array(np.arange(n + 1) * bands, pa.int32()), pa.array(band.view(np.int64)))
-                yield pa.RecordBatch.from_arrays([part.column(0), *idents, lists], ["doc_id", "ident1", "ident2", "bands"]).filter(pa.array(has))
+                yield pa.RecordBatch.from_arrays([part.column(0), pa.array(idents, pa.binary()), lists], ["doc_id", "ident", "bands"]).filter(pa.array(has))
 
     return run
 
 
 def _overlaps(size: int):
-    """Weighted Jaccard similarity of two texts of each row."""
+    """Weighted Jaccard similarity of two texts of each row. Hashes bring shingles together, their words decide."""
+
+    def exact(text: bytes | None) -> Counter:
+        w = _word(text or b"")
+        return Counter(tuple(w[i : i + size]) for i in range(max(1, len(w) - size + 1))) if w else Counter()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for part in slices(batch, column="text_a", rows=_ROWS // 2):
                 n = part.num_rows
                 found = words(pa.concat_arrays([part.column(2), part.column(3)]))
-                doc, shingle, count = _bags(found, size)
-                total = per_doc(count, np.searchsorted(doc, np.arange(2 * n + 1)))
-                key = ((doc % n).astype(np.uint64) << np.uint64(52)) | shingle
-                order = np.argsort(key, kind="stable")
-                key, count = key[order], count[order]
-                same = np.flatnonzero(key[1:] == key[:-1])
-                both = np.bincount((key[same] >> np.uint64(52)).astype(np.int64), weights=np.minimum(count[same], count[same + 1]), minlength=n)
-                union = total[:n] + total[n:] - both
-                yield pa.RecordBatch.from_arrays([part.column(0), part.column(1), pa.array(both / np.maximum(union, 1))], ["a", "b", "similarity"])
+                hashes = found.hashes()
+                doc, starts, lengths, shingle = _shingles(found, size, hashes)
+                key, first, same = np.unique(((doc % n).astype(np.uint64) << np.uint64(52)) | shingle, return_index=True, return_inverse=True)
+                a, b = (np.bincount(same[side], minlength=len(key)) for side in (doc < n, doc >= n))
+                pair = (key >> np.uint64(52)).astype(np.int64)
+                both, union = (np.bincount(pair, weights=f(a, b), minlength=n) for f in (np.minimum, np.maximum))
+                similarity = both / np.maximum(union, 1)
+                twin, number, differs = first[same], found.numbers(hashes), lengths != lengths[first[same]]
+                for k in range(size):
+                    spot = np.minimum(k, lengths - 1)
+                    differs |= number[starts + spot] != number[starts[twin] + np.minimum(k, lengths[twin] - 1)]
+                for i in np.unique(doc[differs] % n).tolist():
+                    x, y = (exact(part.column(c)[i].as_py().encode()) for c in (2, 3))
+                    similarity[i] = (x & y).total() / max(1, (x | y).total())
+                yield pa.RecordBatch.from_arrays([part.column(0), part.column(1), pa.array(similarity)], ["a", "b", "similarity"])
 
     return run
 
@@ -208,9 +222,9 @@ def near_duplicate_classes(docs: DataFrame, similarity: float = SIMILARITY, size
     """One row per row of ``docs``: doc_id, class_id (the smallest doc_id of its group) and kept (whether it is that document)."""
     docs = docs.select("doc_id", F.col("text").cast("string").alias("text"))
     known = docs.where("doc_id is not null")
-    sketched = stored(known.mapInArrow(_sketch(size, REGISTERS, BANDS), "doc_id long, ident1 long, ident2 long, bands array<long>"), "signatures")
-    firsts = stored(sketched.groupBy("ident1", "ident2").agg(F.min("doc_id").alias("node")), "copies")
-    nodes = sketched.join(firsts, (sketched.doc_id == firsts.node) & (sketched.ident1 == firsts.ident1) & (sketched.ident2 == firsts.ident2)).select("node", "bands")
+    sketched = stored(known.mapInArrow(_sketch(size, REGISTERS, BANDS), "doc_id long, ident binary, bands array<long>"), "signatures")
+    firsts = stored(sketched.groupBy("ident").agg(F.min("doc_id").alias("node")), "copies")
+    nodes = sketched.join(firsts, (sketched.doc_id == firsts.node) & (sketched.ident == firsts.ident)).select("node", "bands")
     rows = nodes.select("node", F.explode("bands").alias("key"))
     sizes = rows.groupBy("key").agg(F.count("*").alias("members")).where("members > 1")
     # stored, like the leaders and mixed buckets below: both sides of the joins are then plain exchanges, which AQE splits at a large bucket
@@ -229,6 +243,6 @@ def near_duplicate_classes(docs: DataFrame, similarity: float = SIMILARITY, size
     late = stored(components(_rooted(_rooted(more, "a", grouped), "b", grouped)), "late-components").withColumnsRenamed({"node": "root", "component": "late"})
     nodes = grouped.unionByName(late.select(F.col("root").alias("node"), F.col("root").alias("component"))).distinct()
     grouped = stored(nodes.join(late, nodes.component == late.root, "left").select("node", F.coalesce("late", "component").alias("component")), "components")
-    classes = firsts.join(grouped, "node", "left").select("ident1", "ident2", F.coalesce("component", "node").alias("class_id"))
-    of = sketched.select("doc_id", "ident1", "ident2").join(classes, ["ident1", "ident2"]).groupBy("doc_id").agg(F.min("class_id").alias("class_id"))
+    classes = firsts.join(grouped, "node", "left").select("ident", F.coalesce("component", "node").alias("class_id"))
+    of = sketched.select("doc_id", "ident").join(classes, "ident").groupBy("doc_id").agg(F.min("class_id").alias("class_id"))
     return docs.select("doc_id").join(of, "doc_id", "left").select("doc_id", F.coalesce("class_id", "doc_id").alias("class_id")).withColumn("kept", F.coalesce(F.col("doc_id") == F.col("class_id"), F.lit(True)))

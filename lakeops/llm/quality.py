@@ -23,7 +23,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from lakeops.llm.storage import stored
-from lakeops.llm.text import Words, per_doc, rolling, slices, words
+from lakeops.llm.text import Words, hash_runs, per_doc, slices, words
 
 LEAST_WORDS = 10
 MOST_REPEATED = 20
@@ -52,7 +52,7 @@ def _repeated(found: Words, n: int) -> np.ndarray:
     cover = np.zeros(len(found.starts) + 1, np.int64)
     if len(at):
         doc = (np.searchsorted(found.first, at, "right") - 1).astype(np.uint64)
-        key = (doc << np.uint64(52)) | (rolling(found.hashes(), at, at + WINDOW) & _LOW)
+        key = (doc << np.uint64(52)) | (hash_runs(found.hashes(), WINDOW)[at] & _LOW)
         order = np.sort(key)
         twice = np.unique(order[1:][order[1:] == order[:-1]])
         if len(twice):

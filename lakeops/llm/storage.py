@@ -10,19 +10,25 @@ from pyspark.sql import functions as F
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder in ``spark.checkpoint.dir``; a temporary one of our own only where that is unset (tests)."""
+    """The folder in ``spark.checkpoint.dir``; a temporary one of our own only where that is unset under a local master (tests)."""
     known = spark.conf.get("spark.checkpoint.dir", None)
     if not known:
+        if not spark.sparkContext.master.startswith("local"):
+            raise ValueError("spark.checkpoint.dir must name a folder that driver and executors share")
         known = tempfile.mkdtemp(prefix="lakeops-")
         spark.conf.set("spark.checkpoint.dir", known)
     return known
 
 
 def stored(df: DataFrame, name: str) -> DataFrame:
-    """Write ``df`` to the shared folder and read it back: cuts the lineage, and its size is then known to the planner."""
-    path = f"{shared_dir(df.sparkSession)}/{name}-{uuid.uuid4().hex}"
+    """Write ``df`` to the shared folder and read it back: cuts the lineage, and its size is then known to the planner.
+    The table goes when the driver ends, as the frames that are read from it may live as long."""
+    spark = df.sparkSession
+    path = f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex}"
     df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    place = spark._jvm.org.apache.hadoop.fs.Path(path)
+    place.getFileSystem(spark._jsc.hadoopConfiguration()).deleteOnExit(place)
+    return spark.read.schema(df.schema).parquet(path)
 
 
 def bounded_sample(df: DataFrame, order: str, most: int) -> DataFrame:

@@ -19,10 +19,8 @@ CHUNK_BYTES = 2 << 20
 SPACE = np.zeros(256, bool)
 SPACE[[0x20, 0x09, 0x0A, 0x0B, 0x0C, 0x0D]] = True
 
-_BASE = np.uint64(0x9E3779B97F4A7C15)
-_INVERSE = np.uint64(pow(0x9E3779B97F4A7C15, -1, 1 << 64))
 _BYTE = np.random.default_rng(11).integers(1, 1 << 63, 256, dtype=np.uint64)
-_powers = {"up": np.ones(1, np.uint64), "down": np.ones(1, np.uint64)}
+_factors = np.zeros(0, np.uint64)
 
 
 def mix(x: np.ndarray) -> np.ndarray:
@@ -36,20 +34,34 @@ def mix(x: np.ndarray) -> np.ndarray:
     return x
 
 
-def powers(n: int, way: str = "up") -> np.ndarray:
-    """The first ``n`` powers of the rolling hash's base, or of its inverse."""
-    if len(_powers[way]) < n:
-        steps = np.full(max(n, 1 << 16), _BASE if way == "up" else _INVERSE, np.uint64)
-        steps[0] = 1
-        _powers[way] = np.cumprod(steps)
-    return _powers[way][:n]
+def factors(n: int) -> np.ndarray:
+    """A factor of its own for each of the first ``n`` places; unlike powers of a base they have no relations that repetitive input could meet."""
+    global _factors
+    if len(_factors) < n:
+        _factors = mix(np.arange(1, max(n, 1 << 12) + 1, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15)) | np.uint64(1)
+    return _factors[:n]
 
 
-def rolling(values: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
-    """A 64-bit hash of ``values[start:end]`` for each pair; equal sequences hash equally anywhere."""
-    total = np.zeros(len(values) + 1, np.uint64)
-    np.cumsum(values * powers(len(values)), out=total[1:])
-    return mix((total[ends] - total[starts]) * powers(len(values) + 1, "down")[starts])
+def hash_spans(values: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
+    """A 64-bit hash of ``values[start:end]`` for each of the given spans, which are not empty, in order and apart from each other."""
+    if not len(starts):
+        return np.zeros(0, np.uint64)
+    head = np.zeros(len(values), np.int64)
+    head[starts] = starts
+    inside = np.arange(len(values)) - np.maximum.accumulate(head)
+    weighed = np.zeros(len(values) + 1, np.uint64)
+    np.multiply(values, factors(int(inside.max()) + 1)[inside], out=weighed[:-1])
+    sums = np.add.reduceat(weighed, np.column_stack((starts, ends)).reshape(-1))[::2]
+    return mix(sums + (ends - starts).astype(np.uint64) * np.uint64(0xA24BAED4963EE407))
+
+
+def hash_runs(values: np.ndarray, size: int) -> np.ndarray:
+    """A 64-bit hash of ``values[i:i + size]`` for each i where the run fits."""
+    n = max(0, len(values) - size + 1)
+    total = np.full(n, np.uint64(size), np.uint64)
+    for j, factor in enumerate(factors(size)):
+        total += values[j : j + n] * factor
+    return mix(total)
 
 
 @dataclass
@@ -70,7 +82,19 @@ class Words:
         return np.repeat(np.arange(len(self.first) - 1), self.counts)
 
     def hashes(self) -> np.ndarray:
-        return rolling(_BYTE[self.buf], self.starts, self.ends)
+        return hash_spans(_BYTE[self.buf], self.starts, self.ends)
+
+    def numbers(self, hashes: np.ndarray | None = None) -> np.ndarray:
+        """A number for each word; two words have the same one if and only if all their bytes are equal. Hashes find the equal ones, the bytes decide."""
+        _, first, same = np.unique(self.hashes() if hashes is None else hashes, return_index=True, return_inverse=True)
+        lengths = self.ends - self.starts
+        twin = first[same]
+        if (lengths == lengths[twin]).all():
+            inside = np.arange(int(lengths.sum())) - np.repeat(np.cumsum(lengths) - lengths, lengths)
+            if (self.buf[np.repeat(self.starts, lengths) + inside] == self.buf[np.repeat(self.starts[twin], lengths) + inside]).all():
+                return same
+        text, known = self.buf.tobytes(), {}
+        return np.fromiter((known.setdefault(text[a:b], len(known)) for a, b in zip(self.starts.tolist(), self.ends.tolist(), strict=True)), np.int64, len(self.starts))
 
     def windows(self, size: int) -> np.ndarray:
         """Start indexes of the runs of ``size`` words that lie inside one document."""

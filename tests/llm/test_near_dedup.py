@@ -3,6 +3,7 @@ import re
 from collections import Counter
 
 import numpy as np
+import pyarrow as pa
 
 from lakeops.llm.near_dedup import components, near_duplicate_classes, signatures
 
@@ -47,6 +48,24 @@ def test_classes_match_brute_force(spark):
     assert {x.doc_id: x.class_id for x in got.collect()} == brute(rows)
 
 
+def test_different_long_words_are_different(spark):
+    for letters in (1024, 4096):
+        a, b = ("".join("ab"[(bin(i).count("1") + flip) & 1] for i in range(letters)) for flip in (0, 1))
+        rows = [(1, a), (2, b), (3, " ".join([a, b] * 8)), (4, " ".join([b, a] * 8)), (5, " ".join([b, a, a, b] * 4)), (6, a)]
+        got = near_duplicate_classes(spark.createDataFrame(rows, "doc_id long, text string"))
+        assert {x.doc_id: x.class_id for x in got.collect()} == brute(rows)
+
+
+def test_equal_hashes_of_different_words_do_not_link(monkeypatch):
+    from lakeops.llm import near_dedup
+
+    monkeypatch.setattr(near_dedup, "hash_runs", lambda values, size: np.zeros(max(0, len(values) - size + 1), np.uint64))
+    texts = [("a b c d e f", "g h i j k l"), ("a b c d e f", "a b c d e f"), ("a b c d e f g", "a b c d e f h"), ("x", "y"), ("x", "x")]
+    batch = pa.RecordBatch.from_pylist([{"a": 1, "b": 2, "text_a": x, "text_b": y} for x, y in texts])
+    (got,) = near_dedup._overlaps(5)([batch])
+    assert np.allclose(got.column(2).to_pylist(), [0, 1, 0.5, 0, 1])
+
+
 def test_many_variants_of_one_text(spark):
     r = random.Random(8)
     base = [f"v{i}" for i in range(120)]
