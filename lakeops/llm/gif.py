@@ -2,12 +2,13 @@
 
 ``gif_frames`` turns a table of GIF files into one row per shown frame, with its times, the canvas after the frame (palette,
 transparency and the disposal of earlier frames applied) and colour histograms. ``encode_gif`` stores bytes losslessly as palette
-indexes of grey frames ``WIDTH`` pixels wide; ``decode_gif`` reads any GIF87a or GIF89a stream back.
+indexes of frames ``WIDTH`` pixels wide, each colour of the palette different; ``decode_gif`` reads any GIF87a or GIF89a stream back, and ``read_payload``
+takes the bytes off the canvases as they are shown.
 
 The widths of the LZW codes after a clear code depend on their number alone, so a whole run of codes is cut out of the bits at once.
 
 Rows: one per input row in ``payload_digests``; a null text is an empty payload, padded to one block of zeros. In ``gif_frames`` null
-or broken files give one row with null frame columns and the error.
+or broken files, and files that ask for more than ``MOST_PIXELS`` pixels a canvas or in all frames together, give one row with null frame columns and the error.
 """
 
 from __future__ import annotations
@@ -17,6 +18,7 @@ import struct
 import zlib
 from collections.abc import Iterator
 from dataclasses import dataclass
+from functools import cache
 
 import numpy as np
 import pyarrow as pa
@@ -30,14 +32,23 @@ WIDTH = 64
 #: Rows of a stored frame; a longer payload takes several frames.
 FRAME_ROWS = 4096
 DELAY = 10  # hundredths of a second
-GREY = bytes(v for i in range(256) for v in (i, i, i))
+#: Colour of each byte in the stored form: three bits of red, three of green, two of blue.
+COLOURS = np.array([(i >> 5 << 5, (i >> 2 & 7) << 5, (i & 3) << 6) for i in range(256)], np.uint8)
+#: Pixels of a canvas, and of all frames of a file, that are decoded.
+MOST_PIXELS = 1 << 26
 _LAST = 4095
 
 
-def _widths(start: int, count: int) -> np.ndarray:
-    """Bits of the codes after a clear code: when code k is read, the table has max(0, k - 1) new entries, and one more is due."""
-    entries = start + 2 + np.maximum(0, np.arange(count) - 1)
-    return np.minimum(12, np.maximum(start.bit_length(), np.ceil(np.log2(entries + 1)).astype(int)))
+@cache
+def _widths(clear: int) -> np.ndarray:
+    """Bits of the codes after a clear code, until the table is full: when code k is read, the table has max(0, k - 1) new entries, and one more is due."""
+    entries = clear + 2 + np.maximum(0, np.arange(_LAST - clear) - 1)
+    return np.minimum(12, np.maximum(clear.bit_length(), np.ceil(np.log2(entries + 1)).astype(np.int64)))
+
+
+@cache
+def _heads(clear: int) -> np.ndarray:
+    return np.concatenate(([0], np.cumsum(_widths(clear))))
 
 
 def lzw_encode(data: bytes, bits: int = 8) -> bytes:
@@ -68,44 +79,60 @@ def lzw_encode(data: bytes, bits: int = 8) -> bytes:
             code = next(rest, -1)
     codes += [code, end] if code >= 0 else [end]
     runs.append(codes)
-    longest = max(map(len, runs))
-    known = _widths(clear, longest)
+    known = _widths(clear)
     widths = np.concatenate([[bits + 1], *(known[: len(r)] for r in runs)])
     values = np.concatenate([[clear], *(np.array(r, np.int64) for r in runs)])
-    places = np.arange(12)
-    return np.packbits((((values[:, None] >> places) & 1).astype(np.uint8))[places < widths[:, None]], bitorder="little").tobytes()
+    ends = np.cumsum(widths)
+    at = ends - widths
+    values = values << (at & 7)
+    at >>= 3
+    # the bits of different codes are apart, so sums of bytes are their union
+    size = int(ends[-1] + 7 >> 3) + 3
+    out = sum(np.bincount(at + k, weights=values >> 8 * k & 255, minlength=size) for k in range(3))
+    return out[: size - 3].astype(np.uint8).tobytes()
 
 
 def lzw_decode(stream: bytes, bits: int, expected: int) -> bytes:
     """At most ``expected`` values; a stream that ends early gives what it has, a code that does not exist yet raises ValueError."""
+    if not 1 <= bits <= 8:
+        raise ValueError(f"an LZW code size of {bits}")
     clear = 1 << bits
-    flags = np.unpackbits(np.frombuffer(stream, np.uint8), bitorder="little")
-    known = _widths(clear, _LAST - clear)  # the table is full after so many codes
-    heads = np.concatenate(([0], np.cumsum(known)))
-    weights = 1 << np.arange(12)
+    data = np.zeros(len(stream) + 3, np.int32)
+    data[:-3] = np.frombuffer(stream, np.uint8)
+    length = 8 * len(stream)
+    known, heads = _widths(clear), _heads(clear)
+
+    def cut(places: np.ndarray, widths) -> np.ndarray:
+        byte = places >> 3
+        return (data[byte] | data[byte + 1] << 8 | data[byte + 2] << 16) >> (places & 7) & (1 << widths) - 1
+
     out: list[bytes] = []
-    at = 0
-    grid = heads[:-1, None] + np.minimum(np.arange(12), known[:, None] - 1)
-    mask = ((np.arange(12) < known[:, None]) * weights).astype(np.int16)
-    while at + bits < len(flags):
-        n = min(int(np.searchsorted(heads, len(flags) - at, "right")) - 1, len(known))
-        codes = np.einsum("ij,ij->i", flags[at + grid[:n]], mask[:n], dtype=np.int16)
+    at = made = 0
+    while at + bits < length and made < expected:
+        n = min(int(np.searchsorted(heads, length - at, "right")) - 1, len(known))
+        codes = cut(at + heads[:n], known[:n])
         stop = np.flatnonzero((codes == clear) | (codes == clear + 1))
         m = int(stop[0]) if len(stop) else n
+        before = len(out)
         table = _run(codes[:m].tolist(), clear, out)
+        made += sum(map(len, out[before:]))
         if len(stop):
             last = codes[m]
             at += int(heads[m + 1])
         else:
             # a full table without a clear code: codes stay 12 bits wide and no entry is added
             at += int(heads[m])
-            left = (len(flags) - at) // 12
-            codes = flags[at : at + 12 * left].reshape(left, 12) @ weights
+            left = (length - at) // 12
+            codes = cut(at + 12 * np.arange(left), 12)
             stop = np.flatnonzero((codes == clear) | (codes == clear + 1))
             m = int(stop[0]) if len(stop) else left
             if (codes[:m] >= len(table)).any():
                 raise ValueError("an LZW code before its entry")
-            out += [table[c] for c in codes[:m].tolist()]
+            for code in codes[:m].tolist():
+                out.append(table[code])
+                made += len(table[code])
+                if made >= expected:
+                    break
             if not len(stop):
                 break
             last = codes[m]
@@ -169,13 +196,15 @@ def decode_gif(data: bytes) -> Gif:
         if data[:6] not in (b"GIF87a", b"GIF89a"):
             raise ValueError("no GIF signature")
         width, height, packed, background, _ = struct.unpack_from("<HHBBB", data, 6)
+        if width * height > MOST_PIXELS:
+            raise ValueError(f"a canvas of {width} x {height} pixels")
         at, palette = 13, None
         if packed & 0x80:
             n = 2 << (packed & 7)
             palette = np.frombuffer(data, np.uint8, 3 * n, at).reshape(n, 3)
             at += 3 * n
         gif = Gif(width, height, background, palette, [])
-        delay, disposal, transparent = 0, 0, None
+        delay, disposal, transparent, pixels_left = 0, 0, None, MOST_PIXELS
         while True:
             kind = data[at]
             if kind == 0x3B:
@@ -197,6 +226,9 @@ def decode_gif(data: bytes) -> Gif:
                 at += 3 * n
             if own is None:
                 raise ValueError("a frame without a palette")
+            pixels_left -= w * h
+            if pixels_left < 0:
+                raise ValueError(f"frames of more than {MOST_PIXELS} pixels")
             bits = data[at]
             stream, at = _blocks(data, at + 1)
             pixels = lzw_decode(stream, bits, w * h)
@@ -223,8 +255,12 @@ def canvases(gif: Gif) -> Iterator[np.ndarray]:
         shown = indexes < len(f.palette)
         if f.transparent is not None:
             shown &= indexes != f.transparent
-        colours = f.palette[np.minimum(indexes, len(f.palette) - 1)]
-        area[shown] = np.dstack((colours, np.full(indexes.shape, 255, np.uint8)))[shown]
+        colours = np.full((256, 4), 255, np.uint8)
+        colours[: len(f.palette), :3] = f.palette
+        if shown.all():
+            area[:] = colours[indexes]
+        else:
+            area[shown] = colours[indexes[shown]]
         yield canvas.copy()
         if f.disposal == 2:
             canvas[spot] = 0
@@ -234,32 +270,34 @@ def canvases(gif: Gif) -> Iterator[np.ndarray]:
 
 def histogram(pixels: np.ndarray) -> list[int]:
     """Counts of the 64 colours with two bits a channel, over the opaque pixels."""
-    p = pixels.reshape(-1, pixels.shape[-1])
-    p = p[p[:, 3] > 0] if p.shape[1] == 4 else p
-    q = p[:, :3] >> 6
-    return np.bincount((q[:, 0].astype(int) << 4) | (q[:, 1] << 2) | q[:, 2], minlength=64).tolist()
+    p = pixels.reshape(-1, 4)
+    if not p[:, 3].all():
+        p = p[p[:, 3] > 0]
+    return np.bincount(p[:, 0] >> 6 << 4 | p[:, 1] >> 6 << 2 | p[:, 2] >> 6, minlength=64).tolist()
 
 
 def encode_gif(data: bytes, width: int = WIDTH, frame_rows: int = FRAME_ROWS) -> bytes:
-    """``data`` (a multiple of ``width`` bytes) as the indexes of grey frames of at most ``frame_rows`` rows, shown one after another."""
+    """``data`` (a multiple of ``width`` bytes) as the indexes of frames of at most ``frame_rows`` rows. They are shown one after another, each on a cleared canvas."""
     rows = len(data) // width
-    out = [b"GIF89a", struct.pack("<HHBBB", width, min(rows, frame_rows), 0xF7, 0, 0), GREY]
+    out = [b"GIF89a", struct.pack("<HHBBB", width, min(rows, frame_rows), 0xF7, 0, 0), COLOURS.tobytes()]
     for top in range(0, rows, frame_rows):
         part = data[top * width : (top + frame_rows) * width]
-        out += [b"\x21\xf9\x04", struct.pack("<BHBB", 1 << 2, DELAY, 0, 0), b"\x2c", struct.pack("<HHHHB", 0, 0, width, len(part) // width, 0), b"\x08"]
+        out += [b"\x21\xf9\x04", struct.pack("<BHBB", 2 << 2, DELAY, 0, 0), b"\x2c", struct.pack("<HHHHB", 0, 0, width, len(part) // width, 0), b"\x08"]
         stream = lzw_encode(part)
         out += [bytes((len(stream[i : i + 255]),)) + stream[i : i + 255] for i in range(0, len(stream), 255)] + [b"\0"]
     return b"".join([*out, b"\x3b"])
 
 
-def read_payload(gif: Gif) -> tuple[bytes, list[int]]:
-    """The stored bytes, through the palette, and the counts of the 16 grey levels of 4 bits."""
-    parts, counts = [], np.zeros(16, np.int64)
-    for f in gif.frames:
-        grey = f.palette[f.indexes.reshape(-1), 0]
-        parts.append(grey.tobytes())
-        counts += np.bincount(grey >> 4, minlength=16)
-    return b"".join(parts), counts.tolist()
+def read_payload(gif: Gif) -> tuple[bytes, list[list[int]]]:
+    """The stored bytes, from the opaque pixels of the canvases as they are shown, and each frame's colour histogram."""
+    parts, counts = [], []
+    for canvas in canvases(gif):
+        shown = canvas.reshape(-1, 4)
+        if not shown[:, 3].all():
+            shown = shown[shown[:, 3] > 0]
+        parts.append((shown[:, 0] | shown[:, 1] >> 3 | shown[:, 2] >> 6).tobytes())
+        counts.append(histogram(shown))
+    return b"".join(parts), counts
 
 
 def _digests(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -272,13 +310,14 @@ def _digests(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                 media = encode_gif(raw + bytes(-len(raw) % BLOCK if raw else BLOCK))
                 gif = decode_gif(media)
                 payload, counts = read_payload(gif)
-                rows.append((doc, len(raw), len(payload), hashlib.sha256(payload).hexdigest(), zlib.crc32(payload[-BLOCK:]), len(media), hashlib.sha256(media).hexdigest(), ",".join(map(str, counts)), len(gif.frames), sum(f.delay for f in gif.frames) * 10))
+                colours = ",".join(map(str, np.sum(counts, axis=0).tolist()))
+                rows.append((doc, len(raw), len(payload), hashlib.sha256(payload).hexdigest(), zlib.crc32(payload[-BLOCK:]), len(media), hashlib.sha256(media).hexdigest(), colours, len(gif.frames), sum(f.delay for f in gif.frames) * 10))
             types = [pa.int64(), pa.int64(), pa.int64(), pa.string(), pa.int64(), pa.int64(), pa.string(), pa.string(), pa.int64(), pa.int64()]
             yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows, strict=True), types, strict=True)], names)
 
 
 def payload_digests(docs: DataFrame) -> DataFrame:
-    """Every text stored as a GIF and read back: sizes, digests, and the grey histogram as ``feature``."""
+    """Every text stored as a GIF and read back: sizes, digests, and the histogram of 64 colours over its frames as ``feature``."""
     docs = docs.select("doc_id", F.col("text").cast("string").alias("text"))
     return docs.mapInArrow(_digests, "doc_id long, n_bytes long, payload_bytes long, payload_sha256 string, tail_crc32 long, media_bytes long, media_sha256 string, feature string, frames long, duration_ms long")
 

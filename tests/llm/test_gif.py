@@ -6,7 +6,7 @@ import zlib
 import numpy as np
 import pytest
 
-from lakeops.llm.gif import BLOCK, GREY, canvases, decode_gif, encode_gif, gif_frames, histogram, lzw_decode, lzw_encode, payload_digests, read_payload
+from lakeops.llm.gif import BLOCK, canvases, decode_gif, encode_gif, gif_frames, histogram, lzw_decode, lzw_encode, payload_digests, read_payload
 
 
 def plain_decode(stream, bits):
@@ -106,7 +106,10 @@ def test_payload_digests(spark):
         raw = (t or "").encode()
         payload = raw + bytes(-len(raw) % BLOCK if raw else BLOCK)
         assert (r.doc_id, r.n_bytes, r.payload_bytes, r.payload_sha256, r.tail_crc32) == (i, len(raw), len(payload), hashlib.sha256(payload).hexdigest(), zlib.crc32(payload[-64:]))
-        assert sum(map(int, r.feature.split(","))) == len(payload) and r.media_sha256 == hashlib.sha256(encode_gif(payload)).hexdigest()
+        colours = [0] * 64
+        for b in payload:
+            colours[(b >> 6) << 4 | (b >> 3 & 3) << 2 | b & 3] += 1
+        assert list(map(int, r.feature.split(","))) == colours and r.media_sha256 == hashlib.sha256(encode_gif(payload)).hexdigest()
     assert payload_digests(spark.createDataFrame([], "doc_id long, text string, feature int")).count() == 0
 
 
@@ -115,3 +118,37 @@ def test_frames_as_rows(spark):
     got = sorted(gif_frames(spark.createDataFrame(files, "id long, media binary"), "id", "media").collect(), key=lambda r: (r.id, r.frame or 0))
     assert [(r.id, r.frame, r.start_ms, r.delay_ms, r.width) for r in got] == [(1, 0, 0, 50, 4), (1, 1, 50, 70, 4), (2, None, None, None, None), (3, None, None, None, None)]
     assert got[2].error and len(got[1].rgba) == 64 and sum(got[1].histogram) == 16
+
+
+#: Files written by another program (fixed values): the well-known 10 x 10 sample image, and the smallest transparent pixel.
+SAMPLE = bytes.fromhex("474946383961" "0a000a00" "910000" "ffffff" "ff0000" "0000ff" "000000" "21f90400000000002c000000000a000a0000" "0216" "8c2d99872a1cdc33a00275ec95faa8de608c04914c01" "003b")
+PIXEL = bytes.fromhex("47494638396101000100800000000000ffffff21f90401000000002c00000000010001000002024401003b")
+
+
+def test_files_of_other_encoders():
+    gif = decode_gif(SAMPLE)
+    rows = ["1111122222"] * 3 + ["1110000222"] * 2 + ["2220000111"] * 2 + ["2222211111"] * 3
+    assert ["".join(map(str, r)) for r in gif.frames[0].indexes.tolist()] == rows
+    (shown,) = canvases(gif)
+    assert shown[0, 0].tolist() == [255, 0, 0, 255] and shown[4, 4].tolist() == [255, 255, 255, 255] and histogram(shown)[0b000011] == 42
+    (shown,) = canvases(decode_gif(PIXEL))
+    assert shown.tolist() == [[[0, 0, 0, 0]]]
+
+
+def test_mutated_files_give_rows_or_errors(spark):
+    r = random.Random(7)
+    good = [SAMPLE, PIXEL, encode_gif(bytes(range(256)) * 3), made([(0, 0, 4, 4, 1, None, 5, False, [1] * 16), (1, 1, 2, 2, 2, 3, 7, True, [2, 3, 3, 2])])]
+    files = []
+    for i in range(2000):
+        data = bytearray(r.choice(good))
+        for _ in range(r.randrange(1, 6)):
+            data[r.randrange(len(data))] = r.choice([0, 1, 63, 255, r.randrange(256)])
+        files.append((i, bytes(data[: r.randrange(1, len(data) + 1)] if r.random() < 0.2 else data)))
+    huge = bytearray(PIXEL)
+    huge[6:10] = b"\xff" * 4
+    wide = bytearray(PIXEL)
+    wide[32:36] = b"\xff" * 4
+    files += [(5000, bytes(huge)), (5001, bytes(wide)), (5002, PIXEL.replace(b"\x02\x02\x44", b"\x3f\x02\x44"))]
+    got = gif_frames(spark.createDataFrame(files, "id long, media binary").repartition(4), "id", "media").select("id", "frame", "error").collect()
+    assert {x.id for x in got} == {i for i, _ in files} and all((x.error is None) == (x.frame is not None) or x.error is None for x in got)
+    assert all(next(x for x in got if x.id == i).error for i in (5000, 5001, 5002))
