@@ -5,20 +5,21 @@ features of its subtree (text, links, tags, density), of its tag and attribute t
 log-odds of being main text. Decoding chooses for every subtree "keep all", "drop all" or "look into the children" so that the
 summed log-odds are largest: an ancestor can't be dropped around kept descendants or kept around dropped ones.
 
-Training: no page is labelled, so at most ``SAMPLE`` pages (those with the smallest hash) give the text for pages laid out by a seeded
+Training: no page is labelled, so the blocks of at most ``SAMPLE`` pages (those with the smallest hash) give the text for pages laid out by a seeded
 generator with known parts: articles in many kinds of containers, menus, headers, footers, sidebars, notices, adverts, forms and
 reader comments. The attribute tokens' log-odds are estimated on one half of them, the trees on the other. Nothing of this grows with the table.
 
 Text: character references are decoded, white space inside a block becomes one space, blocks are joined by one space in page order. Rows: one
 per input row; a null or empty page gives an empty text. Broken markup is read as far as it goes: a head
-without end tag ends where the body begins, another silent element at the end of the block around it at the latest. Columns besides page_id, url and html are ignored.
+without end tag ends where the body begins, another silent element at the end of the block around it at the latest; elements deeper than ``MOST_DEPTH`` become siblings. Reading takes time in
+proportion to the page. Columns besides page_id, url and html are ignored.
 """
 
 from __future__ import annotations
 
 import html as references
 import re
-from collections import defaultdict
+from collections import Counter, defaultdict
 from collections.abc import Iterator
 
 import numpy as np
@@ -30,6 +31,8 @@ from lakeops.llm.storage import bounded_sample
 from lakeops.llm.text import slices
 
 SAMPLE = 200
+BLOCKS = 10_000
+BLOCK_CHARS = 5_000
 LAID_OUT = 600
 TREES = 60
 DEPTH = 3
@@ -46,20 +49,59 @@ VOID = set("area base br col embed hr img input link meta param source track wbr
 CLOSES = {"li": ({"li"}, {"ul", "ol", "menu"}), "dt": ({"dt", "dd"}, {"dl"}), "dd": ({"dt", "dd"}, {"dl"}), "tr": ({"tr", "td", "th"}, {"table"}), "td": ({"td", "th"}, {"tr", "table"}), "th": ({"td", "th"}, {"tr", "table"}), "option": ({"option"}, {"select"})}
 PARAGRAPH_ENDS = set("address article aside blockquote details div dl fieldset figcaption figure footer form h1 h2 h3 h4 h5 h6 header hr main menu nav ol p pre section table ul".split())
 
-_token = re.compile(r"<!--.*?(?:-->|\Z)|<!\[CDATA\[.*?(?:\]\]>|\Z)|<[!?][^>]*>|<(/?)([a-zA-Z][^\s/>]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*)>", re.S)
+_name = re.compile(r"[a-zA-Z][^\s/>]*")
+_stop = re.compile(r"[>=]")
+_space = re.compile(r"\s*")
+#: Deeper elements become siblings.
+MOST_DEPTH = 512
 _attribute = re.compile(r"""\b(class|id|role|itemprop|aria-label)\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+))""", re.I)
 _part = re.compile(r"[a-zA-Z][a-z]*")
 _raw_end = {t: re.compile(rf"</{t}\s*>", re.I) for t in ("script", "style", "textarea", "title", "noscript", "iframe")}
 
 
+def _tag_end(html: str, at: int) -> int:
+    """The place of the ``>`` that ends a tag, or -1. Only after ``=`` a quote hides it; one that never closes hides nothing."""
+    while m := _stop.search(html, at):
+        if m[0] == ">":
+            return m.start()
+        at = _space.match(html, m.end()).end()
+        if html[at : at + 1] in ('"', "'"):
+            close = html.find(html[at], at + 1)
+            at = (at if close < 0 else close) + 1
+    return -1
+
+
+def _markup(html: str):
+    """(start, end, name or empty, whether it closes, attributes) of every piece of markup, in one pass over the page. The consumer may send a
+    place further on to go on from. What never ends, except a comment, is text."""
+    at = 0
+    while (start := html.find("<", at)) >= 0:
+        at = start + 1
+        follows = html[at : at + 1]
+        if follows in ("!", "?"):
+            mark = next((end for head, end in (("!--", "-->"), ("![CDATA[", "]]>")) if html.startswith(head, at)), ">")
+            end = html.find(mark, at)
+            at = len(html) if end < 0 else end + len(mark)
+            yield start, at, "", False, ""
+            continue
+        closing = follows == "/"
+        if not (name := _name.match(html, at + closing)):
+            continue
+        end = _tag_end(html, name.end())
+        if end < 0:
+            return
+        at = max(end + 1, (yield start, end + 1, name[0].lower(), closing, html[name.end() : end]) or 0)
+
+
 class Page:
     """Block elements in page order: parent, tag, attribute tokens, depth, and the blocks of text (node, text, characters in links)."""
 
     def __init__(self, html: str | None):
         self.parent, self.tag, self.tokens, self.depth, self.blocks, self.inline = [-1], ["#root"], [[]], [0], [], [0]
         html = html or ""
-        stack, quiet, links, parts, linked = [0], 0, 0, [], 0
-        opened: list[str] = []  # a silent element and what is open inside it
+        stack, links, parts, linked = [0], 0, [], 0
+        opened: list[str] = []  # a silent element and what is open inside it, with counts by name
+        silent: Counter = Counter()
 
         def flush():
             nonlocal parts, linked
@@ -69,56 +111,84 @@ class Page:
                     self.blocks.append((stack[-1], text, min(linked, len(text))))
                 parts, linked = [], 0
 
-        at, n = 0, len(html)
+        at, n, ahead = 0, len(html), 0
+        pieces, endless = _markup(html), set()
+        names: Counter = Counter()  # of open elements
+
+        def closes(tag: str, at: int):
+            """The end tag of an element whose content is no markup; once there is none, there is none later."""
+            if tag in endless or not (found := _raw_end[tag].search(html, at)):
+                endless.add(tag)
+                return None
+            return found
+
+        def silence(tag: str):
+            opened.append(tag)
+            silent[tag] += 1
+
+        def speak(until: str | None = None):
+            """Ends the silent elements, or the innermost ones up to a name."""
+            while opened:
+                last = opened.pop()
+                silent[last] -= 1
+                if last == until:
+                    break
+
+        def cut(i: int):
+            for j in stack[i:]:
+                names[self.tag[j]] -= 1
+            del stack[i:]
+
         while at < n:
-            m = _token.search(html, at)
-            end = m.start() if m else n
+            try:
+                piece = pieces.send(ahead or None)
+            except StopIteration:
+                piece = None
+            ahead = 0
+            end = piece[0] if piece else n
             if opened == ["head"] and html[at:end].strip():
-                opened.clear()
+                speak()
             if end > at and not opened:
-                piece = html[at:end]
-                parts.append(piece)
+                text = html[at:end]
+                parts.append(text)
                 if links:
-                    linked += len(piece)
-            if not m:
+                    linked += len(text)
+            if not piece:
                 break
-            at = m.end()
-            tag = m[2] and m[2].lower()
+            _, at, tag, ends, attributes = piece
             if not tag:
                 continue
             # head ends without its end tag where something comes that can't stand in it, another silent element with the block around it
-            if opened and not m[1] and opened[0] == "head" and (tag == "body" or len(opened) == 1 and tag not in IN_HEAD):
-                opened.clear()
-            elif opened and m[1] and tag not in opened and any(self.tag[i] == tag for i in stack[1:]):
-                opened.clear()
+            if opened and not ends and opened[0] == "head" and (tag == "body" or len(opened) == 1 and tag not in IN_HEAD):
+                speak()
+            elif opened and ends and not silent[tag] and names[tag] > 0:
+                speak()
             if opened:
-                if m[1]:
-                    if tag in opened:
-                        del opened[len(opened) - 1 - opened[::-1].index(tag) :]
-                elif tag in _raw_end and (closing := _raw_end[tag].search(html, at)):
-                    at = closing.end()
+                if ends:
+                    if silent[tag] > 0:
+                        speak(tag)
+                elif tag in _raw_end and (closing := closes(tag, at)):
+                    at = ahead = closing.end()
                 elif tag in SILENT or tag not in INLINE and tag not in VOID:
-                    if not m[3].endswith("/"):
-                        opened.append(tag)
+                    if not attributes.endswith("/"):
+                        silence(tag)
                 continue
-            if m[1]:
+            if ends:
                 if tag == "a":
                     links = max(0, links - 1)
                 elif tag not in INLINE:
                     flush()
-                    for i in range(len(stack) - 1, 0, -1):
-                        if self.tag[stack[i]] == tag:
-                            del stack[i:]
-                            links = 0
-                            break
+                    if names[tag] > 0:
+                        cut(next(i for i in range(len(stack) - 1, 0, -1) if self.tag[stack[i]] == tag))
+                        links = 0
                 continue
             if tag in _raw_end:
-                closing = _raw_end[tag].search(html, at)
-                at = closing.end() if closing else n
+                closing = closes(tag, at)
+                at = ahead = closing.end() if closing else n
                 continue
             if tag in SILENT:
-                if not m[3].endswith("/"):
-                    opened.append(tag)
+                if not attributes.endswith("/"):
+                    silence(tag)
                 continue
             if tag in INLINE:
                 if tag == "br":
@@ -128,26 +198,27 @@ class Page:
                 self.inline[stack[-1]] += 1
                 continue
             flush()
-            if tag == "body" or tag == "html":
-                stack = stack[:1] if tag == "html" else stack
+            if tag == "html":
+                cut(1)
             kinds, stops = CLOSES.get(tag, (None, ()))
             if tag in PARAGRAPH_ENDS and self.tag[stack[-1]] == "p":
-                stack.pop()
-            elif kinds:
+                cut(len(stack) - 1)
+            elif kinds and any(names[k] > 0 for k in kinds):
                 for i in range(len(stack) - 1, 0, -1):
                     name = self.tag[stack[i]]
                     if name in stops:
                         break
                     if name in kinds:
-                        del stack[i:]
+                        cut(i)
                         break
             self.parent.append(stack[-1])
             self.tag.append(tag)
-            self.tokens.append([t.lower() for a in _attribute.finditer(m[3]) for t in _part.findall(a[2] or a[3] or a[4] or "")])
+            self.tokens.append([t.lower() for a in _attribute.finditer(attributes) for t in _part.findall(a[2] or a[3] or a[4] or "")])
             self.depth.append(self.depth[stack[-1]] + 1)
             self.inline.append(0)
-            if tag not in VOID:
+            if tag not in VOID and len(stack) < MOST_DEPTH:
                 stack.append(len(self.parent) - 1)
+                names[tag] += 1
         flush()
 
     def features(self, odds: dict[str, float]) -> np.ndarray:
@@ -397,11 +468,18 @@ def main_text(html: str | None, model) -> str:
     return page.decode(log_odds(page.features(odds), trees)) if page.blocks else ""
 
 
+def _blocks_of(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        for part in slices(batch, "html"):
+            yield pa.RecordBatch.from_arrays([pa.array([text for h in part.column(0).to_pylist() for _, text, _ in Page(h).blocks], pa.string())], ["text"])
+
+
 def extract_main_text(pages: DataFrame, sample: int = SAMPLE) -> DataFrame:
-    """page_id, url, text and n_chars of every row."""
+    """page_id, url, text and n_chars of every row. The blocks of the sampled pages are cut out in the tasks; ``BLOCKS`` of them at most, of ``BLOCK_CHARS`` characters at most, come to the driver."""
     pages = pages.select("page_id", "url", F.col("html").cast("string").alias("html"))
     chosen = bounded_sample(pages.where("html is not null").select("html", F.xxhash64("page_id", "html").alias("order")), "order", sample)
-    model = pages.sparkSession.sparkContext.broadcast(train([text for r in chosen.collect() for _, text, _ in Page(r["html"]).blocks]))
+    blocks = chosen.select("html").mapInArrow(_blocks_of, "text string").where(F.length("text") <= BLOCK_CHARS).orderBy(F.xxhash64("text"), "text").limit(BLOCKS)
+    model = pages.sparkSession.sparkContext.broadcast(train([r["text"] for r in blocks.collect()]))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         odds, trees = model.value

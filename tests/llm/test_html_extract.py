@@ -1,3 +1,6 @@
+import time
+from collections import Counter
+
 import numpy as np
 import pytest
 
@@ -35,6 +38,45 @@ def test_silent_elements_without_end_tags_are_bounded():
     assert texts("<div><svg><g>no<svg>no</svg>no</svg>a</div>") == ["a"]
 
 
+def test_reading_takes_time_in_proportion_to_the_page():
+    pieces = ["<a ", "<!--", "<!", '"', "<a href=\"", "<a b='", "<a =", "<title>", "<svg><title>", "<div>", "<div></p>", "<svg><g></x>", "<svg><g><g></g>", "<table><div><td></td>", "<li><div>", "</", "&", "&#"]
+    for piece in pieces:
+        for head in ("", "<svg>" + "<g>" * 100_000, "<table>" + "<div>" * 100_000):
+            start = time.process_time()
+            Page(head + piece * (1_000_000 // len(piece)))
+            assert time.process_time() - start < 6, (piece, head[:9])
+
+
+#: Pages in other styles than the generator's, with the texts that a reader would take for the article.
+FOREIGN = [
+    (
+        '<html><body bgcolor=white><table width=100%><tr><td colspan=2><font size=5>The Daily Ledger</font></td></tr><tr><td width=120><a href=1>Home</a><br><a href=2>World</a><br><a href=3>Money</a><br><a href=4>Sport</a></td><td><h1>Bridge reopens after long repairs</h1><p>The old bridge over the river was opened to carts and walkers on Monday, eleven months after a barge had struck its middle pillar.</p>'
+        "<p>Engineers replaced forty beams, most of them oak, and found that the pillar itself was sound. The town paid for the work from the toll fund, which now stands empty.</p></td></tr><tr><td colspan=2><small>Copyright 1999. All rights reserved.</small></td></tr></table></body></html>",
+        "Bridge reopens after long repairs The old bridge over the river was opened to carts and walkers on Monday, eleven months after a barge had struck its middle pillar. Engineers replaced forty beams, most of them oak, and found that the pillar itself was sound. The town paid for the work from the toll fund, which now stands empty.",
+    ),
+    (
+        '<body><div class="css-1x9"><div class="css-77a"><a href="/">Start</a> <a href="/b">Rezepte</a> <a href="/c">Laden</a></div><div class="css-k2"><div><h1>Brot ohne Kneten</h1></div><div><p>Mehl, Wasser, Salz und sehr wenig Hefe werden am Abend verrührt, mehr ist am ersten Tag nicht zu tun.</p><p>Am Morgen hat der Teig Blasen. Er wird gefaltet, ruht noch eine Stunde und kommt dann in einen heißen Topf mit Deckel.</p></div></div>'
+        '<div class="css-9q"><form><label>E-Mail</label><input><button>Abonnieren</button></form></div><div class="css-zz"><a href="/i">Impressum</a> <a href="/d">Datenschutz</a></div></div></body>',
+        "Brot ohne Kneten Mehl, Wasser, Salz und sehr wenig Hefe werden am Abend verrührt, mehr ist am ersten Tag nicht zu tun. Am Morgen hat der Teig Blasen. Er wird gefaltet, ruht noch eine Stunde und kommt dann in einen heißen Topf mit Deckel.",
+    ),
+    (
+        '<main><main class="inner"><section><h2>Notes on tides</h2><p>The height of the tide at a port depends on the moon, on the sun, and on the shape of the coast, which may double it.</p><ul><li>Spring tides follow the full and the new moon by a day or two.</li><li>Neap tides follow the quarters.</li></ul></section></main>'
+        '<div id="disqus"><h4>2 responses</h4><div><b>ann</b><p>Thanks!</p></div><div><b>bo</b><p>Nice post, I learned a lot.</p></div></div></main><footer><p>Made with care</p></footer>',
+        "Notes on tides The height of the tide at a port depends on the moon, on the sun, and on the shape of the coast, which may double it. Spring tides follow the full and the new moon by a day or two. Neap tides follow the quarters.",
+    ),
+]
+
+
+def test_words_of_pages_in_other_styles(model):
+    hit = kept = whole = 0
+    for html, want in FOREIGN:
+        got = Counter(main_text(html, model).split())
+        hit += (got & Counter(want.split())).total()
+        kept += got.total()
+        whole += len(want.split())
+    assert hit >= 0.9 * kept and hit >= 0.9 * whole, (hit, kept, whole)
+
+
 def test_the_article_alone_is_kept(model):
     text = "Lorem ipsum dolor, sit amet. " * 12
     article = f"<article><h1>Lorem ipsum dolor</h1><p><b>{text}<br><p>{text} &amp; more</p><p>Sit.</p></article>"
