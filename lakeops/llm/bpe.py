@@ -1,18 +1,15 @@
 """Byte-level BPE by a global distinct-word shuffle.
 
-1. Documents are cut into pre-tokens (words) in slices of some MB. A slice's distinct words are dealt to buckets by hash and
-   travel as one packed string a bucket; the slice's sequence of word numbers (the positions) stays packed beside them.
-2. A bucket sees each distinct word of the whole table: it is encoded once, however many slices and documents have it. Frequent
-   words are pre-aggregated to one copy a slice, so a word in every document costs a few bytes a slice.
-3. The ids of a slice's words go back to the slice, where they replace the word numbers in order of position.
-4. Decoding looks every id up in the token-byte table (one row a rank, a fixed size) and joins the bytes.
+1. Documents are cut into pre-tokens (words) once, in slices of some MB. A slice keeps its distinct words and, packed, the sequence of word
+   numbers of its documents (the positions). The slices are stored, so that a task that is run again reads the same ones.
+2. The words of all slices are pre-aggregated and shuffled; each distinct word of the whole table is encoded once.
+3. Its ids join the token-byte table (one row a rank, a fixed size), which gives the bytes that decoding them yields.
+4. Ids and bytes join the slices' words and go back to their slices, where they replace the word numbers by position.
 
-The documents are read twice, once for the words and once for the positions; both packed halves carry a digest of the
-slice's words, so an input whose rows change between the readings raises an error and never gives wrong ids.
+A word in every slice is a row a slice in the join of step 4, with one row on the other side; both sides are plain exchanges, which AQE splits.
 
 Rows: one per input row, whatever doc_id is. A null text is an empty one, with no tokens. Columns besides doc_id and text are
-ignored. Memory: a slice or one longer document; a bucket's known words are forgotten after ``KNOWN`` of them, at the price of
-encoding some again.
+ignored. Memory: a slice or one longer document.
 """
 
 from __future__ import annotations
@@ -20,20 +17,21 @@ from __future__ import annotations
 import base64
 import hashlib
 import heapq
-import struct
 import zlib
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
 from pyspark import TaskContext
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from lakeops.llm.storage import stored
 from lakeops.llm.text import slices
 
 SLICE_BYTES = 6 << 20
-KNOWN = 1_000_000
+#: Longer pieces of text are not remembered within a slice.
+PIECE = 64
 #: From this length on, merges are kept in a heap.
 LONG = 64
 
@@ -95,176 +93,154 @@ def _encode_long(word: bytes, ranks: dict[bytes, int]) -> list[int]:
     return [ranks[word[i : ends[i]]] for i in range(n) if ends[i]]
 
 
-def _pack(words: list[bytes]) -> bytes:
-    return zlib.compress(np.array([len(w) for w in words], "<u4").tobytes() + b"".join(words), 1)
-
-
-def _unpack(packed: bytes, n: int) -> list[bytes]:
-    data = zlib.decompress(packed)
-    ends = np.cumsum(np.frombuffer(data, "<u4", n)).tolist()
-    data = data[4 * n :]
-    return [data[a:b] for a, b in zip([0, *ends], ends, strict=False)]
-
-
-def _slices_of(pattern: str, buckets: int, batches: Iterator[pa.RecordBatch]):
-    """Number, rows, distinct words by bucket, and the sequences of word numbers with their lengths."""
+class _Pieces(dict):
+    """Pieces of text between single spaces to the numbers of their chunks; -1 where white space at an edge leaves the cut open."""
+
+    def __init__(self, find):
+        super().__init__()
+        self.find = find
+        self.words: dict[str, int] = {}
+        self.chunks: list[list[int]] = []
+        self.known: dict[str, int] = {}
+
+    def chunk(self, text: str) -> int:
+        number = self.known.get(text)
+        if number is None:
+            number = len(self.chunks)
+            self.chunks.append([self.words.setdefault(w, len(self.words)) for w in self.find(text)])
+            if len(text) <= PIECE:
+                self.known[text] = number
+        return number
+
+    def __missing__(self, piece: str) -> int:
+        number = self.chunk(" " + piece) if piece and not piece[0].isspace() and not piece[-1].isspace() else -1
+        if len(piece) <= PIECE:
+            self[piece] = number
+        return number
+
+    def numbers(self, text: str) -> np.ndarray:
+        """The chunks of a text. A space between two visible characters always begins a pre-token, so a text is cut there and equal pieces are matched once."""
+        pieces = text.split(" ")
+        got = np.fromiter(map(self.__getitem__, pieces[1:]), np.int64, len(pieces) - 1)
+        if (got >= 0).all() and (len(pieces) == 1 or pieces[0] and not pieces[0][-1].isspace()):
+            return np.concatenate(([self.chunk(pieces[0])], got))
+        whole, current = [], pieces[0]
+        for piece in pieces[1:]:
+            if current and not current[-1].isspace() and piece and not piece[0].isspace():
+                whole.append(self.chunk(current))
+                current = " " + piece
+            else:
+                current += " " + piece
+        return np.array([*whole, self.chunk(current)], np.int64)
+
+
+def _slices(pattern: str, spaced: bool):
+    """Documents to slices: their rows' doc_ids and lengths in words, the distinct words, and the sequence of word numbers in planes of bytes."""
     import regex
 
-    find = regex.compile(pattern).findall
-    number = TaskContext.get().partitionId() << 32
-    for batch in batches:
-        for part in slices(batch, most=SLICE_BYTES, rows=1 << 16):
-            known: dict[str, int] = {}
-            lengths, sequence = [], []
-            for text in part.column(1).to_pylist():
-                found = find(text) if text else []
-                lengths.append(len(found))
-                sequence.append(np.fromiter((known.setdefault(w, len(known)) for w in found), np.uint32, len(found)))
-            words = [w.encode() for w in known]
-            bucket = np.fromiter((zlib.crc32(w) for w in words), np.int64, len(words)) % buckets
-            order = np.argsort(bucket, kind="stable")
-            place = np.empty(len(words), np.uint32)
-            place[order] = np.arange(len(words), dtype=np.uint32)
-            words = [words[i] for i in order.tolist()]
-            cuts = np.searchsorted(bucket[order], np.arange(buckets + 1)).tolist()
-            yield number, part, words, cuts, place[np.concatenate(sequence)] if sequence else place[:0], lengths
-            number += 1
-
-
-def _words(pattern: str, buckets: int):
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for number, _, words, cuts, _, _ in _slices_of(pattern, buckets, batches):
-            rows = [(number, b, cuts[b + 1] - cuts[b], _pack(words[cuts[b] : cuts[b + 1]])) for b in range(buckets) if cuts[b + 1] > cuts[b]]
-            if rows:
-                yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows, strict=True), (pa.int64(), pa.int32(), pa.int32(), pa.binary()), strict=True)], ["slice", "bucket", "n", "packed"])
-
-    return run
-
-
-def _digest(words_in_bucket: list[bytes]) -> int:
-    return zlib.crc32(b"\0".join(words_in_bucket))
-
-
-def _positions(pattern: str, buckets: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for number, part, words, cuts, sequence, lengths in _slices_of(pattern, buckets, batches):
-            # the most frequent words get the smallest numbers, and the bytes of a number travel in planes, which compress
-            order = np.argsort(-np.bincount(sequence, minlength=len(words)), kind="stable").astype(np.uint32)
-            rank = np.empty(len(words), np.uint32)
-            rank[order] = np.arange(len(words), dtype=np.uint32)
-            planes = [zlib.compress(((rank[sequence] >> np.uint32(s)) & np.uint32(255)).astype(np.uint8).tobytes(), 1) for s in (0, 8, 16, 24)]
-            digests = [_digest(words[cuts[b] : cuts[b + 1]]) for b in range(buckets)]
-            head = struct.pack("<IIIIII", len(words), len(sequence), *map(len, planes)) + order.astype("<u4").tobytes()
-            yield pa.RecordBatch.from_arrays(
-                [
-                    pa.array([number], pa.int64()), pa.array([-1], pa.int32()), pa.array([len(words)], pa.int32()), pa.array([head + b"".join(planes)], pa.binary()),
-                    pa.array([part.column(0).to_pylist()], pa.list_(pa.int64())), pa.array([lengths], pa.list_(pa.int64())), pa.array([digests], pa.list_(pa.int64())),
-                ],
-                ["slice", "bucket", "n", "packed", "doc_ids", "lengths", "digests"],
-            )
+        find = regex.compile(pattern).findall
+        number = TaskContext.get().partitionId() << 32
+        for batch in batches:
+            for part in slices(batch, most=SLICE_BYTES, rows=1 << 16):
+                pieces = _Pieces(find)
+                texts = part.column(1).to_pylist()
+                chunks = [(pieces.numbers(t) if spaced else np.array([pieces.chunk(t)])) if t else np.zeros(0, np.int64) for t in texts]
+                sizes = np.fromiter(map(len, pieces.chunks), np.int64, len(pieces.chunks))
+                flat = np.fromiter((w for c in pieces.chunks for w in c), np.int64, int(sizes.sum()))
+                chunk = np.concatenate(chunks)
+                n = sizes[chunk]
+                sequence = flat[np.repeat(np.cumsum(sizes)[chunk] - n - np.cumsum(n) + n, n) + np.arange(int(n.sum()))]
+                ends = np.cumsum(n)
+                ends = np.concatenate(([0], ends))[np.cumsum([0, *map(len, chunks)])]
+                # the most frequent words get the smallest numbers, and the bytes of a number travel in planes, which compress
+                words = list(pieces.words)
+                order = np.argsort(-np.bincount(sequence, minlength=len(words)), kind="stable")
+                rank = np.empty(len(words), np.uint32)
+                rank[order] = np.arange(len(words), dtype=np.uint32)
+                planes = [zlib.compress((rank[sequence] >> np.uint32(s)).astype(np.uint8).tobytes(), 1) for s in (0, 8, 16, 24)]
+                types = (pa.int64(), pa.list_(pa.int64()), pa.list_(pa.int64()), pa.list_(pa.string()), pa.list_(pa.binary()))
+                row = (number, part.column(0).to_pylist(), np.diff(ends).tolist(), [words[i] for i in order.tolist()], planes)
+                yield pa.RecordBatch.from_arrays([pa.array([c], t) for c, t in zip(row, types, strict=True)], ["slice", "doc_ids", "lengths", "words", "planes"])
+                number += 1
 
     return run
 
 
 def _encode(ranks):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        table, known = ranks.value, {}
+        table = ranks.value
         for batch in batches:
-            out = []
-            for number, bucket, n, packed in zip(*(c.to_pylist() for c in batch.columns), strict=True):
-                words = _unpack(packed, n)
-                counts, ids = [], []
-                for w in words:
-                    got = known.get(w)
-                    if got is None:
-                        if len(known) >= KNOWN:
-                            known.clear()
-                        got = known[w] = np.array(encode_word(w, table), "<u4").tobytes()
-                    counts.append(len(got) >> 2)
-                    ids.append(got)
-                flat = np.frombuffer(b"".join(ids), "<u4")
-                data = struct.pack("<II", len(flat), _digest(words)) + np.array(counts, "<u4").tobytes() + b"".join(((flat >> np.uint32(s)) & np.uint32(255)).astype(np.uint8).tobytes() for s in (0, 8, 16, 24))
-                out.append((number, bucket, n, zlib.compress(data, 1)))
-            yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*out, strict=True) if out else [[]] * 4, (pa.int64(), pa.int32(), pa.int32(), pa.binary()), strict=True)], ["slice", "bucket", "n", "packed"])
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array([encode_word(w.encode(), table) for w in batch.column(0).to_pylist()], pa.list_(pa.int32()))], ["word", "ids"])
 
     return run
 
 
-def _reassemble(tokens, ids_too: bool):
-    def run(table: pa.Table) -> pa.Table:
-        byte = tokens.value
-        rows = sorted(table.to_pylist(), key=lambda r: r["bucket"])
-        head = rows[0]
-        packed = head["packed"]
-        n, length, *sizes = struct.unpack_from("<IIIIII", packed)
-        order = np.frombuffer(packed, "<u4", n, 24)
-        at, sequence = 24 + 4 * n, np.zeros(length, np.uint32)
-        for s, size in zip((0, 8, 16, 24), sizes, strict=True):
-            sequence |= np.frombuffer(zlib.decompress(packed[at : at + size]), np.uint8).astype(np.uint32) << np.uint32(s)
-            at += size
-        sequence = order[sequence]
-        counts, flat = [], []
-        for r in rows[1:]:
-            data = zlib.decompress(r["packed"])
-            total, digest = struct.unpack_from("<II", data)
-            if digest != head["digests"][r["bucket"]]:
-                raise ValueError("the documents changed between two readings of them")
-            counts.append(np.frombuffer(data, "<u4", r["n"], 8))
-            planes = np.frombuffer(data, np.uint8, 4 * total, 8 + 4 * r["n"]).reshape(4, total).astype(np.uint32)
-            flat.append(planes[0] | planes[1] << np.uint32(8) | planes[2] << np.uint32(16) | planes[3] << np.uint32(24))
-        counts = np.concatenate(counts).astype(np.int64) if counts else np.zeros(0, np.int64)
-        if len(counts) != n:
-            raise ValueError("the documents changed between two readings of them")
-        flat = np.concatenate(flat).tolist() if flat else []
-        ends = np.cumsum(counts).tolist()
-        texts, decoded = [], []
-        for a, b in zip([0, *ends], ends, strict=False):
-            ids = flat[a:b]
-            texts.append(",".join(map(str, ids)))
-            decoded.append(b"".join([byte[i] for i in ids]))
+def _reassemble(ids_too: bool):
+    def run(left: pa.Table, right: pa.Table) -> pa.Table:
+        (head,) = left.to_pylist()
+        planes = [np.frombuffer(zlib.decompress(p), np.uint8).astype(np.uint32) << np.uint32(s) for p, s in zip(head["planes"], (0, 8, 16, 24), strict=True)]
+        sequence = planes[0] | planes[1] | planes[2] | planes[3]
+        numbers = right.column("n").to_numpy()
+        if len(numbers) != head["words"]:
+            raise ValueError("an id without a row in the token-byte table")
+        order = np.argsort(numbers)
+        ids = [right.column("ids")[i].as_py() for i in order.tolist()] if ids_too else None
+        texts, decoded = right.column("text").take(pa.array(order)).to_pylist(), right.column("bytes").take(pa.array(order)).to_pylist()
+        counts = right.column("size").to_numpy()[order].astype(np.int64)
         out = {k: [] for k in ("doc_id", "n_tokens", "ids_sha256", "decoded_sha256")} | ({"ids": []} if ids_too else {})
         start = 0
         for doc, k in zip(head["doc_ids"], head["lengths"], strict=True):
             of = sequence[start : start + k]
-            numbers = of.tolist()
+            places = of.tolist()
             start += k
-            joined = ",".join([texts[i] for i in numbers])
             out["doc_id"].append(doc)
             out["n_tokens"].append(int(counts[of].sum()))
-            out["ids_sha256"].append(hashlib.sha256(joined.encode()).hexdigest())
-            out["decoded_sha256"].append(hashlib.sha256(b"".join([decoded[i] for i in numbers])).hexdigest())
+            out["ids_sha256"].append(hashlib.sha256(",".join([texts[i] for i in places]).encode()).hexdigest())
+            out["decoded_sha256"].append(hashlib.sha256(b"".join([decoded[i] for i in places])).hexdigest())
             if ids_too:
-                out["ids"].append([int(i) for i in joined.split(",")] if joined else [])
+                out["ids"].append([x for i in places for x in ids[i]])
         fields = [("doc_id", pa.int64()), ("n_tokens", pa.int64()), ("ids_sha256", pa.string()), ("decoded_sha256", pa.string())] + ([("ids", pa.list_(pa.int32()))] if ids_too else [])
         return pa.table(out, schema=pa.schema(fields))
 
     return run
 
 
-def encode_documents(docs: DataFrame, path: str, pattern: str, ids: bool = False, buckets: int | None = None) -> DataFrame:
+def token_bytes(spark: SparkSession, ranks: dict[bytes, int]) -> DataFrame:
+    """The token-byte table: id and hex digits of the bytes."""
+    return spark.createDataFrame(pa.table({"id": pa.array(ranks.values(), pa.int32()), "hex": pa.array([t.hex() for t in ranks], pa.string())}))
+
+
+def _spelled(ids: DataFrame, key: str, tokens: DataFrame) -> DataFrame:
+    """key, and ``spelled``: the (at, id, hex) of each of its ``ids`` in order."""
+    each = ids.select(key, F.posexplode("ids").alias("at", "id")).join(tokens, "id")
+    return each.groupBy(key).agg(F.array_sort(F.collect_list(F.struct("at", "id", "hex"))).alias("spelled"))
+
+
+def encode_documents(docs: DataFrame, path: str, pattern: str, ids: bool = False, spaced: bool = True) -> DataFrame:
     """doc_id, n_tokens, ids_sha256, decoded_sha256 and, if asked for, the ids themselves of every row's whole text.
 
-    ``path``: a rank file; ``pattern``: what cuts text into pre-tokens; ``buckets``: of words, by default the number of shuffle partitions."""
+    ``path``: a rank file; ``pattern``: what cuts text into pre-tokens; ``spaced``: whether, as with the public pattern, a space between two visible
+    characters always begins a pre-token."""
     spark = docs.sparkSession
-    buckets = buckets or max(8, int(spark.conf.get("spark.sql.shuffle.partitions")))
     ranks = load_ranks(path)
     shared = spark.sparkContext.broadcast(ranks)
-    tokens = spark.sparkContext.broadcast({i: t for t, i in ranks.items()})
     docs = docs.select("doc_id", F.col("text").cast("string").alias("text"))
-    words = docs.mapInArrow(_words(pattern, buckets), "slice long, bucket int, n int, packed binary").repartition(buckets, "bucket")
-    encoded = words.mapInArrow(_encode(shared), "slice long, bucket int, n int, packed binary")
-    positions = docs.mapInArrow(_positions(pattern, buckets), "slice long, bucket int, n int, packed binary, doc_ids array<long>, lengths array<long>, digests array<long>")
-    both = positions.unionByName(encoded, allowMissingColumns=True)
-    return both.groupBy("slice").applyInArrow(_reassemble(tokens, ids), "doc_id long, n_tokens long, ids_sha256 string, decoded_sha256 string" + (", ids array<int>" if ids else ""))
+    cut = stored(docs.mapInArrow(_slices(pattern, spaced), "slice long, doc_ids array<long>, lengths array<long>, words array<string>, planes array<binary>"), "token-slices")
+    words = cut.select(F.col("slice").alias("of_slice"), F.posexplode("words").alias("n", "word"))
+    encoded = words.select("word").distinct().mapInArrow(_encode(shared), "word string, ids array<int>")
+    spelled = _spelled(encoded, "word", token_bytes(spark, ranks))
+    known = stored(spelled.select("word", *([F.col("spelled.id").alias("ids")] if ids else []), F.size("spelled").alias("size"), F.array_join(F.col("spelled.id").cast("array<string>"), ",").alias("text"), F.unhex(F.array_join("spelled.hex", "")).alias("bytes")), "token-words")
+    placed = words.join(known, "word").drop("word")
+    heads = cut.withColumn("words", F.size("words"))
+    schema = "doc_id long, n_tokens long, ids_sha256 string, decoded_sha256 string" + (", ids array<int>" if ids else "")
+    return heads.groupBy("slice").cogroup(placed.groupBy("of_slice")).applyInArrow(_reassemble(ids), schema)
 
 
 def decode_documents(encoded: DataFrame, path: str) -> DataFrame:
-    """doc_id and the bytes of ``ids``, from the token-byte table; null ids are empty. An id without a row in the table raises an error."""
-    tokens = encoded.sparkSession.sparkContext.broadcast({i: t for t, i in load_ranks(path).items()})
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        byte = tokens.value
-        for batch in batches:
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array([b"".join([byte[i] for i in x or ()]) for x in batch.column(1).to_pylist()], pa.binary())], ["doc_id", "bytes"])
-
-    return encoded.select("doc_id", "ids").mapInArrow(run, "doc_id long, bytes binary")
+    """doc_id and the bytes of ``ids``, joined with the token-byte table; null ids are empty. An id without a row in the table raises an error."""
+    rows = stored(encoded.select(F.monotonically_increasing_id().alias("row"), "doc_id", F.coalesce("ids", F.array().cast("array<int>")).alias("ids")), "encoded-rows")
+    spelled = _spelled(rows, "row", token_bytes(encoded.sparkSession, load_ranks(path)))
+    whole = F.coalesce(F.size("spelled"), F.lit(0)) == F.size("ids")
+    text = F.when(whole, F.coalesce(F.array_join("spelled.hex", ""), F.lit(""))).otherwise(F.raise_error(F.lit("an id without a row in the token-byte table")).cast("string"))
+    return rows.join(spelled, "row", "left").select("doc_id", F.unhex(text).alias("bytes"))

@@ -18,6 +18,8 @@ def reference():
 def texts():
     r = random.Random(4)
     out = [None, "", " ", "\n\n \t", "<|endoftext|> it's I'LL don't", "a" * 5000, "ab" * 3000, "日本語テキスト" * 50, "مرحبا بالعالم 123 ٣٤", "👩‍👩‍👧‍👦 é   x\x85\x1c", "0" * 777, "\x00\x01"]
+    for _ in range(60):
+        out.append("".join(r.choice(["a", "b1", "'s", "x.", "é", " ", " ", " ", "  ", "\n", "\n ", " \n", "\t", "\x1c", "\x85", "\u00a0", "\u2003", "!"]) for _ in range(r.randrange(200))))
     for _ in range(60):
         out.append("".join(r.choice("abcdeéßñ日🙂 \n\t'0129.,!|# ") for _ in range(r.randrange(400))))
     return out + out[4:9]
@@ -37,6 +39,15 @@ def test_ids_and_decoded_bytes_equal_the_reference(spark, reference):
     assert {r.doc_id: bytes(r.bytes).decode() for r in back.collect()} == {i: t or "" for i, t in rows}
 
 
+def test_any_pattern_without_cuts_at_spaces(spark):
+    docs = spark.createDataFrame([(1, "ab ab\nab"), (2, "")], "doc_id long, text string")
+    got = encode_documents(docs, PATH, "(?s).+", ids=True, spaced=False).collect()
+    assert sorted((r.doc_id, r.n_tokens == len(r.ids)) for r in got) == [(1, True), (2, True)]
+    with pytest.raises(Exception, match="token-byte table"):
+        decode_documents(spark.createDataFrame([(1, [10**6])], "doc_id long, ids array<int>"), PATH).collect()
+    assert [r.bytes for r in decode_documents(spark.createDataFrame([(1, None), (1, [])], "doc_id long, ids array<int>"), PATH).collect()] == [b"", b""]
+
+
 def test_long_words_merge_like_short_ones(reference):
     ranks = load_ranks(PATH)
     r = random.Random(9)
