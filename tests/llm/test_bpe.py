@@ -5,7 +5,7 @@ import public_tokenizers
 import pytest
 import tiktoken
 
-from lakeops.llm.bpe import _encode_long, decode_documents, encode_documents, encode_word, load_ranks
+from lakeops.llm.bpe import Merges, _encode_long, decode_documents, encode_documents, encode_word, load_ranks
 
 PATH = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
 
@@ -39,10 +39,11 @@ def test_ids_and_decoded_bytes_equal_the_reference(spark, reference):
     assert {r.doc_id: bytes(r.bytes).decode() for r in back.collect()} == {i: t or "" for i, t in rows}
 
 
-def test_any_pattern_without_cuts_at_spaces(spark):
-    docs = spark.createDataFrame([(1, "ab ab\nab"), (2, "")], "doc_id long, text string")
-    got = encode_documents(docs, PATH, "(?s).+", ids=True, spaced=False).collect()
-    assert sorted((r.doc_id, r.n_tokens == len(r.ids)) for r in got) == [(1, True), (2, True)]
+def test_shuffled_documents_and_decoding(spark, reference):
+    rows = list(enumerate(texts()))
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(3, "doc_id")
+    got = {r.doc_id: r.ids for r in encode_documents(docs, PATH, public_tokenizers.PATTERN, ids=True, buckets=3, stable=False).collect()}
+    assert got == {i: reference.encode_ordinary(t or "") for i, t in rows}
     with pytest.raises(Exception, match="token-byte table"):
         decode_documents(spark.createDataFrame([(1, [10**6])], "doc_id long, ids array<int>"), PATH).collect()
     assert [r.bytes for r in decode_documents(spark.createDataFrame([(1, None), (1, [])], "doc_id long, ids array<int>"), PATH).collect()] == [b"", b""]
@@ -51,9 +52,11 @@ def test_any_pattern_without_cuts_at_spaces(spark):
 def test_long_words_merge_like_short_ones(reference):
     ranks = load_ranks(PATH)
     r = random.Random(9)
-    for _ in range(500):
-        w = "".join(r.choice("abeinrst") for _ in range(r.randrange(1, 60))).encode()
-        assert _encode_long(w, ranks) == reference._encode_single_piece(w) == encode_word(w, ranks)
+    words = ["".join(r.choice("abeinrst") for _ in range(r.randrange(1, 80))).encode() for _ in range(500)] + [b"a" * n for n in range(1, 70)] + ["éß日".encode()]
+    together = [x.tolist() for x in Merges(ranks).encode(words)]
+    for w, ids in zip(words, together):
+        assert ids == reference._encode_single_piece(w) == encode_word(w, ranks) and (w in ranks or _encode_long(w, ranks) == ids)
+    assert Merges(ranks).encode([]) == []
 
 
 def test_empty_table_repeated_rows_and_extra_columns(spark):
