@@ -1,19 +1,20 @@
 """Toxicity by the nearest labelled examples: exact TF-IDF cosine over block-max inverted indexes.
 
-Fitting. At most ``SAMPLE`` labelled training rows are the examples (those with the smallest hash of their id). Terms are lower-cased
-letter runs and their prefixes of ``PREFIXES`` letters; the ``TERMS`` terms with the largest chi-square statistic between presence and label
-(at least ``LEAST_CHI2``) form the vocabulary, and all other words together are one more dimension, which keeps the share of telling words in a text
-visible to the cosine. Document frequencies are counted over all documents.
+Fitting. At most ``SAMPLE`` labelled training rows are the examples (those with the smallest hash of their id; rows that share an id are one example).
+Terms are lower-cased letter runs, and every term of an example is in the index; document frequencies are counted over all documents. A term's weight is
+(1 + ln tf) * idf * (``BASE`` + G), where G is the log-likelihood ratio between its presence and the label over the examples: the usual
+supervised scaling of TF-IDF. Without it the few telling words of a toxic text drown among its other words (the README has figures).
+Words that no example has can't match; they count in a text's length with the largest idf.
 
 Index. The examples lie in blocks of ``BLOCK``, similar ones side by side; each term has its postings, cut by block, and the largest
-weight in each block. A query adds up the largest weights to bounds, visits blocks from the largest bound on, and stops when no block
-can change the ``NEIGHBOURS`` best: the result is exact.
+weight in each block. A query adds up the largest weights to bounds and scores the ``FIRST`` blocks with the largest ones; of the rest it scores all blocks
+whose bound reaches the ``NEIGHBOURS``-th best cosine so far, so the result is exact.
 
 Scores. Each neighbour votes for its label with weight 1 / (1 - cosine + SOFT); ``PRIOR`` votes at the examples' base rate keep the score
-calibrated. The evidence are the best neighbours' ids.
+calibrated (a test measures it). The evidence are the best neighbours' ids.
 
 Rows: one per input row. Null and wordless texts get the base rate, and so does every text where nothing could be learned. Repeated rows
-get equal scores. Ties between examples fall to the one that stands first in the index. Vocabulary and index are bounded by their parameters and are broadcast.
+get equal scores. Ties between examples fall to the one that stands first in the index. The index grows with the examples alone and is broadcast.
 """
 
 from __future__ import annotations
@@ -31,12 +32,10 @@ from lakeops.llm.language_id import held_out
 from lakeops.llm.storage import bounded_sample, stored
 from lakeops.llm.text import slices
 
-SAMPLE = 8192
-TERMS = 512
-LEAST_CHI2 = 30.0
-LEAST_EXAMPLES = 4
-PREFIXES = (3, 4, 5, 6, 7)
+SAMPLE = 4096
+BASE = 3.0
 BLOCK = 64
+FIRST = 4
 NEIGHBOURS = 15
 SOFT = 0.1
 PRIOR = 2.0
@@ -48,126 +47,118 @@ def terms_of(text: str | None) -> Counter:
     return Counter(_find(text.lower())) if text else Counter()
 
 
-def _presence(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def _words(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """(doc_id, toxic, text) to the terms of the text, in order, with their counts."""
     for batch in batches:
         for part in slices(batch):
-            uses, toxic = Counter(), Counter()
-            for text, label in zip(part.column(0).to_pylist(), part.column(1).to_pylist(), strict=True):
-                words = terms_of(text)
-                found = {*words, *(w[:n] + "*" for w in words for n in PREFIXES if len(w) > n)}
-                uses.update(found)
-                if label:
-                    toxic.update(found)
-            if uses:
-                yield pa.RecordBatch.from_arrays([pa.array(list(uses), pa.string()), pa.array(list(uses.values()), pa.int64()), pa.array([toxic[t] for t in uses], pa.int64())], ["term", "uses", "toxic"])
-
-
-def vocabulary(examples: DataFrame) -> list[str]:
-    """The telling terms of (text, toxic) rows; a prefix ends in a star."""
-    n, bad = examples.agg(F.count("*"), F.sum(F.col("toxic").cast("long"))).first()
-    if not bad or bad == n:
-        return []
-    counts = examples.select("text", "toxic").mapInArrow(_presence, "term string, uses long, toxic long").groupBy("term").agg(F.sum("uses").cast("double").alias("uses"), F.sum("toxic").cast("double").alias("toxic"))
-    a, u = F.col("toxic"), F.col("uses")
-    cross = a * (n - bad - (u - a)) - (u - a) * (bad - a)
-    chi2 = F.round(n * cross * cross / (u * F.greatest(n - u, F.lit(1.0)) * bad * (n - bad)), 6)
-    best = counts.where(F.col("uses") >= LEAST_EXAMPLES).withColumn("chi2", chi2).where(F.col("chi2") >= LEAST_CHI2).orderBy(F.col("chi2").desc(), "term").limit(TERMS)
-    return [r["term"] for r in best.select("term").collect()]
+            rows = [sorted(terms_of(t).items()) for t in part.column(2).to_pylist()]
+            lists = [pa.array([[x[i] for x in r] for r in rows], pa.list_(t)) for i, t in enumerate((pa.string(), pa.int32()))]
+            yield pa.RecordBatch.from_arrays([part.column(0), part.column(1), *lists], ["doc_id", "toxic", "terms", "times"])
 
 
 def _vectors(shared):
+    """Texts to numbers and counts of the vocabulary's terms, and ``rest``, the sum of (1 + ln tf)^2 over all other terms."""
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         number = {t: i for i, t in enumerate(shared.value)}
-        lengths = tuple(n for n in PREFIXES if any(len(t) == n + 1 and t.endswith("*") for t in number))
-        get = number.get
         for batch in batches:
             for part in slices(batch):
-                rows = []
+                terms, times, rest = [], [], []
                 for text in part.column(2).to_pylist():
-                    words, own, rest = terms_of(text), Counter(), 0
-                    for w, k in words.items():
-                        hits = [i for i in (get(w), *(get(w[:n] + "*") for n in lengths if len(w) > n)) if i is not None]
-                        for i in hits:
-                            own[i] += k
-                        rest += 0 if hits else k
-                    rows.append((sorted(own), [own[i] for i in sorted(own)], rest))
-                yield pa.RecordBatch.from_arrays([part.column(0), part.column(1), *(pa.array(c, t) for c, t in zip(zip(*rows, strict=True), (pa.list_(pa.int32()), pa.list_(pa.int32()), pa.int64()), strict=True))], ["doc_id", "held_out", "terms", "times", "rest"])
+                    found = terms_of(text)
+                    own = sorted((number[t], n) for t, n in found.items() if t in number)
+                    terms.append([i for i, _ in own])
+                    times.append([n for _, n in own])
+                    other = np.array([n for t, n in found.items() if t not in number], float)
+                    rest.append(float((np.log(other) + 1) @ (np.log(other) + 1)))
+                yield pa.RecordBatch.from_arrays([part.column(0), part.column(1), pa.array(terms, pa.list_(pa.int32())), pa.array(times, pa.list_(pa.int32())), pa.array(rest)], ["doc_id", "held_out", "terms", "times", "rest"])
 
     return run
 
 
-def weigh(terms: list[int], times: list[int], rest: int, idf: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """The unit vector as (dimensions, weights); the last dimension stands for all other words. Empty for a wordless text."""
-    at = np.array(terms if not rest else [*terms, len(idf)], np.int64)
-    w = np.array([(1 + np.log(n)) * idf[t] for t, n in zip(terms, times, strict=True)] + ([np.log1p(rest)] if rest else []), float)
-    norm = np.sqrt((w * w).sum())
-    return at, np.round(w / norm, 9) if norm else w
+def likelihood_ratio(toxic: np.ndarray, uses: np.ndarray, bad: int, n: int) -> np.ndarray:
+    """G statistic of each term's presence (``uses`` of ``n`` examples, ``toxic`` of ``bad`` toxic ones) against the label."""
+
+    def fit(k: np.ndarray, of: np.ndarray) -> np.ndarray:
+        with np.errstate(divide="ignore", invalid="ignore"):
+            return np.where(k > 0, k * np.log(k / of), 0.0) + np.where(of > k, (of - k) * np.log(1 - k / of), 0.0)
+
+    return np.maximum(0.0, 2 * (fit(toxic, uses) + fit(bad - toxic, n - uses) - fit(np.array(bad), np.array(n))))
+
+
+def _spread(starts: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """All numbers of the ranges, and which range each is from."""
+    sizes = ends - starts
+    of = np.repeat(np.arange(len(starts)), sizes)
+    return starts[of] + np.arange(len(of)) - (np.cumsum(sizes) - sizes)[of], of
 
 
 class Index:
     """Block-max inverted index of labelled unit vectors."""
 
-    def __init__(self, examples: list[tuple], idf: np.ndarray):
-        """examples: (doc_id, label, terms, times, rest)."""
-        self.idf = idf
-        made = [(d, y, *weigh(t, n, r, idf)) for d, y, t, n, r in examples]
-        # similar examples side by side: by their heaviest dimension and its weight
+    def __init__(self, examples: list[tuple], scale: np.ndarray, other: float = 0.0):
+        """examples: (doc_id, label, terms, times); ``scale``: of each term; ``other``: of words outside of the vocabulary."""
+        self.scale, self.other = scale, other
+        made = [(d, y, *self.weigh(t, n, 0.0)) for d, y, t, n in examples]
+        # similar examples side by side: by their heaviest term and its weight
         made = sorted((m for m in made if len(m[2])), key=lambda m: (int(m[2][m[3].argmax()]), -float(m[3].max()), m[0]))
         self.rate = sum(e[1] for e in examples) / len(examples) if examples else 0.0
         self.ids = [m[0] for m in made]
         self.labels = np.array([m[1] for m in made], float)
-        dims = len(idf) + 1
         self.blocks = -(-len(made) // BLOCK)
-        self.most = np.zeros((dims, self.blocks))
-        postings: list[list[tuple[int, float]]] = [[] for _ in range(dims)]
-        for i, (_, _, at, w) in enumerate(made):
-            for t, x in zip(at.tolist(), w.tolist(), strict=True):
-                postings[t].append((i, x))
-                self.most[t, i // BLOCK] = max(self.most[t, i // BLOCK], x)
-        self.places = [np.array([i for i, _ in p], np.int64) for p in postings]
-        self.weights = [np.array([x for _, x in p], float) for p in postings]
-        self.cuts = [np.searchsorted(p, np.arange(self.blocks + 1) * BLOCK).tolist() for p in self.places]
-        self.known: dict[tuple, tuple[float, list]] = {}
+        term = np.concatenate([m[2] for m in made] or [np.zeros(0, np.int64)])
+        place = np.repeat(np.arange(len(made)), [len(m[2]) for m in made])
+        weight = np.concatenate([m[3] for m in made] or [np.zeros(0)])
+        order = np.lexsort((place, term))
+        term, self.places, self.weights = term[order], place[order], weight[order]
+        # a cell is what a term has in a block
+        new = np.ones(len(term), bool)
+        new[1:] = (term[1:] != term[:-1]) | (self.places[1:] // BLOCK != self.places[:-1] // BLOCK)
+        heads = np.flatnonzero(new)
+        self.cuts = np.append(heads, len(term))
+        self.cell_block = self.places[heads] // BLOCK
+        self.cell_most = np.maximum.reduceat(self.weights, heads) if len(heads) else np.zeros(0)
+        self.cells = np.searchsorted(term[heads], np.arange(len(scale) + 1))
+
+    def weigh(self, terms: list[int], times: list[int], rest: float) -> tuple[np.ndarray, np.ndarray]:
+        """The terms and their weights in the unit vector."""
+        at = np.array(terms, np.int64)
+        w = (1 + np.log(np.array(times, float))) * self.scale[at]
+        norm = np.sqrt(w @ w + rest * self.other * self.other)
+        return at, w / norm if norm else w
 
     def nearest(self, at: np.ndarray, w: np.ndarray, k: int = NEIGHBOURS) -> tuple[np.ndarray, np.ndarray]:
         """The k most similar examples, as (number, cosine), best first."""
-        bounds = w @ self.most[at]
-        order = np.argsort(-bounds, kind="stable")
-        numbers, cosines, worst = np.zeros(0, np.int64), np.zeros(0), -1.0
-        dims = list(zip(at.tolist(), w.tolist(), strict=True))
-        for b in order.tolist():
-            if len(numbers) == k and bounds[b] < worst - 1e-9:
-                break
-            size = min(BLOCK, len(self.ids) - b * BLOCK)
-            sums = np.zeros(size)
-            for t, x in dims:
-                s, e = self.cuts[t][b], self.cuts[t][b + 1]
-                if e > s:
-                    sums[self.places[t][s:e] - b * BLOCK] += x * self.weights[t][s:e]
-            sums = np.round(sums, 9)
-            if len(numbers) == k and sums.max() < worst:
-                continue
-            numbers = np.concatenate((numbers, np.arange(size) + b * BLOCK))
-            cosines = np.concatenate((cosines, sums))
-            best = np.lexsort((numbers, -cosines))[:k]
-            numbers, cosines = numbers[best], cosines[best]
-            worst = cosines[-1]
-        return numbers, cosines
-
-    def score(self, terms: list[int], times: list[int], rest: int) -> tuple[float, list[int]]:
-        at, w = weigh(terms, times, rest, self.idf)
+        cell, of = _spread(self.cells[at], self.cells[at + 1])
+        block, w = self.cell_block[cell], w[of]
+        bounds = np.bincount(block, weights=w * self.cell_most[cell], minlength=self.blocks)
+        sums = np.zeros(self.blocks * BLOCK)
+
+        def score(chosen: np.ndarray) -> None:
+            mine = chosen[block]
+            posting, of = _spread(self.cuts[cell[mine]], self.cuts[cell[mine] + 1])
+            sums[:] += np.bincount(self.places[posting], weights=self.weights[posting] * w[mine][of], minlength=len(sums))
+
+        first = np.zeros(self.blocks, bool)
+        first[np.argsort(-bounds, kind="stable")[:FIRST]] = True
+        score(first)
+        n, k = len(self.ids), min(k, len(self.ids))
+        least = np.partition(sums[:n], n - k)[n - k]
+        rest = ~first & (bounds >= least - 1e-9)
+        if rest.any():
+            score(rest)
+        cosines = np.round(sums[:n], 9)
+        best = np.flatnonzero(cosines >= np.partition(cosines, n - k)[n - k])
+        best = best[np.lexsort((best, -cosines[best]))[:k]]
+        return best, cosines[best]
+
+    def score(self, terms: list[int], times: list[int], rest: float) -> tuple[float, list[int]]:
+        at, w = self.weigh(terms, times, rest)
         if not len(at) or not self.ids:
             return self.rate, []
-        key = (tuple(at.tolist()), w.tobytes())
-        got = self.known.get(key)
-        if got is None:
-            numbers, cosines = self.nearest(at, w)
-            votes = 1 / (1 - np.minimum(cosines, 1) + SOFT)
-            got = (float((votes @ self.labels[numbers] + PRIOR * self.rate) / (votes.sum() + PRIOR)), [self.ids[i] for i in numbers[:3].tolist()])
-            if len(self.known) > 200_000:
-                self.known.clear()
-            self.known[key] = got
-        return got
+        numbers, cosines = self.nearest(at, w)
+        votes = 1 / (1 - np.minimum(cosines, 1) + SOFT)
+        return float((votes @ self.labels[numbers] + PRIOR * self.rate) / (votes.sum() + PRIOR)), [self.ids[i] for i in numbers[:3].tolist()]
 
 
 def _scores(shared):
@@ -186,17 +177,23 @@ def toxicity_scores(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) ->
     spark = docs.sparkSession
     docs = docs.select("doc_id", held_out(F.col("doc_id")).alias("held_out"), F.col("text").cast("string").alias("text"))
     known = labels.where(F.col("doc_id").isNotNull() & F.col("toxic").isNotNull() & ~held_out(F.col("doc_id"))).groupBy("doc_id").agg(F.max(F.col("toxic").cast("int")).alias("toxic"))
-    # at most `sample` small rows: broadcast, so that no text is shuffled
+    # labels without a document are no examples; at most `sample` small rows: broadcast, so that no text is shuffled
+    known = known.join(docs.select("doc_id"), "doc_id", "left_semi")
     chosen = stored(bounded_sample(known.withColumn("order", F.xxhash64("doc_id")), "order", sample).select("doc_id", "toxic"), "chosen-labels")
-    examples = stored(docs.join(F.broadcast(chosen), "doc_id").select("doc_id", "text", "toxic"), "examples")
-    terms = vocabulary(examples)
+    texts = docs.join(F.broadcast(chosen), "doc_id").groupBy("doc_id", "toxic").agg(F.min("text").alias("text"))
+    examples = stored(texts.mapInArrow(_words, "doc_id long, toxic int, terms array<string>, times array<int>"), "examples")
+    # the examples, and the vocabulary of their terms, are bounded by `sample` and come to the driver
+    uses = examples.select("toxic", F.explode("terms").alias("term")).groupBy("term").agg(F.sum("toxic").alias("toxic"), F.count("*").alias("uses")).toArrow().sort_by("term")
+    terms = uses.column("term").to_pylist()
+    number = {t: i for i, t in enumerate(terms)}
+    rows = [(d, y, [number[t] for t in ts], n) for d, y, ts, n in map(tuple, examples.orderBy("doc_id").collect())]
     shared = spark.sparkContext.broadcast(terms)
-    vectors = stored(docs.mapInArrow(_vectors(shared), "doc_id long, held_out boolean, terms array<int>, times array<int>, rest long"), "term-vectors")
-    n = vectors.count()
-    uses = np.zeros(len(terms))
-    for r in vectors.select(F.explode("terms").alias("term")).groupBy("term").count().collect():  # a row a term of the vocabulary
-        uses[r["term"]] = r["count"]
-    idf = np.log((n + 1) / (uses + 1)) + 1
-    rows = vectors.join(F.broadcast(chosen), "doc_id").select("doc_id", "toxic", "terms", "times", "rest").orderBy("doc_id", "rest", "terms", "times").limit(2 * sample).collect()
-    index = spark.sparkContext.broadcast(([tuple(r) for r in rows], idf))
+    vectors = stored(docs.mapInArrow(_vectors(shared), "doc_id long, held_out boolean, terms array<int>, times array<int>, rest double"), "term-vectors")
+    n, found = vectors.count(), np.zeros(len(terms))
+    counted = vectors.select(F.explode("terms").alias("term")).groupBy("term").count().toArrow()
+    found[counted.column("term").to_numpy()] = counted.column("count").to_numpy()
+    bad = sum(y for _, y, _, _ in rows)
+    told = likelihood_ratio(uses.column("toxic").to_numpy().astype(float), uses.column("uses").to_numpy().astype(float), bad, len(rows))
+    scale = (np.log((n + 1) / (found + 1)) + 1) * (BASE + told)
+    index = spark.sparkContext.broadcast((rows, scale, (np.log(n + 1) + 1) * BASE))
     return vectors.mapInArrow(_scores(index), "doc_id long, held_out boolean, score double, predicted int, evidence array<long>")
