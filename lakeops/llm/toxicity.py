@@ -6,7 +6,7 @@ Terms are lower-cased letter runs, and every term of an example is in the index;
 supervised scaling of TF-IDF. Without it the few telling words of a toxic text drown among its other words (the README has figures).
 Words that no example has can't match; they count in a text's length with the largest idf.
 
-Index. The examples lie in blocks of ``BLOCK``, similar ones side by side; each term has its postings, cut by block, and the largest
+Index. Terms in many examples are kept as whole rows of weights. Of the others, the examples lie in blocks of ``BLOCK``, similar ones side by side; each such term has its postings, cut by block, and the largest
 weight in each block. A query adds up the largest weights to bounds and scores the ``FIRST`` blocks with the largest ones; of the rest it scores all blocks
 whose bound reaches the ``NEIGHBOURS``-th best cosine so far, so the result is exact.
 
@@ -36,6 +36,9 @@ SAMPLE = 4096
 BASE = 3.0
 BLOCK = 64
 FIRST = 4
+#: Terms in more than this part of the examples are kept whole.
+COMMON = 16
+_TOGETHER = 256
 NEIGHBOURS = 15
 SOFT = 0.1
 PRIOR = 2.0
@@ -66,11 +69,13 @@ def _vectors(shared):
                 terms, times, rest = [], [], []
                 for text in part.column(2).to_pylist():
                     found = terms_of(text)
-                    own = sorted((number[t], n) for t, n in found.items() if t in number)
-                    terms.append([i for i, _ in own])
-                    times.append([n for _, n in own])
-                    other = np.array([n for t, n in found.items() if t not in number], float)
-                    rest.append(float((np.log(other) + 1) @ (np.log(other) + 1)))
+                    places = np.array([number.get(t, -1) for t in found], np.int64)
+                    counts = np.array(list(found.values()), np.int64)
+                    order = np.argsort(places)[np.count_nonzero(places < 0) :]
+                    terms.append(places[order].astype(np.int32))
+                    times.append(counts[order].astype(np.int32))
+                    other = np.log(np.sort(counts[places < 0])) + 1
+                    rest.append(float(other @ other))
                 yield pa.RecordBatch.from_arrays([part.column(0), part.column(1), pa.array(terms, pa.list_(pa.int32())), pa.array(times, pa.list_(pa.int32())), pa.array(rest)], ["doc_id", "held_out", "terms", "times", "rest"])
 
     return run
@@ -109,6 +114,14 @@ class Index:
         term = np.concatenate([m[2] for m in made] or [np.zeros(0, np.int64)])
         place = np.repeat(np.arange(len(made)), [len(m[2]) for m in made])
         weight = np.concatenate([m[3] for m in made] or [np.zeros(0)])
+        # terms in many examples are kept whole, a weight for each example, and are always scored: the bounds need only cover the rest
+        many = np.flatnonzero(np.bincount(term, minlength=len(scale)) * COMMON > max(COMMON, len(made)))
+        self.row = np.full(len(scale), -1)
+        self.row[many] = np.arange(len(many))
+        self.whole = np.zeros((len(many), self.blocks * BLOCK))
+        common = self.row[term] >= 0
+        self.whole[self.row[term[common]], place[common]] = weight[common]
+        term, place, weight = term[~common], place[~common], weight[~common]
         order = np.lexsort((place, term))
         term, self.places, self.weights = term[order], place[order], weight[order]
         # a cell is what a term has in a block
@@ -127,12 +140,20 @@ class Index:
         norm = np.sqrt(w @ w + rest * self.other * self.other)
         return at, w / norm if norm else w
 
-    def nearest(self, at: np.ndarray, w: np.ndarray, k: int = NEIGHBOURS) -> tuple[np.ndarray, np.ndarray]:
-        """The k most similar examples, as (number, cosine), best first."""
+    def begin(self, queries: list[tuple[np.ndarray, np.ndarray]]) -> np.ndarray:
+        """For each query, its sums over the terms that are kept whole."""
+        dense = np.zeros((len(queries), len(self.whole)))
+        for q, (at, w) in zip(dense, queries, strict=True):
+            row = self.row[at]
+            q[row[row >= 0]] = w[row >= 0]
+        return dense @ self.whole
+
+    def nearest(self, at: np.ndarray, w: np.ndarray, sums: np.ndarray, k: int = NEIGHBOURS) -> tuple[np.ndarray, np.ndarray]:
+        """The k most similar examples, as (number, cosine), best first; ``sums``: of the terms that are kept whole."""
+        at, w = at[self.row[at] < 0], w[self.row[at] < 0]
         cell, of = _spread(self.cells[at], self.cells[at + 1])
         block, w = self.cell_block[cell], w[of]
-        bounds = np.bincount(block, weights=w * self.cell_most[cell], minlength=self.blocks)
-        sums = np.zeros(self.blocks * BLOCK)
+        bounds = sums.reshape(self.blocks, BLOCK).max(1) + np.bincount(block, weights=w * self.cell_most[cell], minlength=self.blocks)
 
         def score(chosen: np.ndarray) -> None:
             mine = chosen[block]
@@ -152,20 +173,24 @@ class Index:
         best = best[np.lexsort((best, -cosines[best]))[:k]]
         return best, cosines[best]
 
-    def score(self, terms: list[int], times: list[int], rest: float) -> tuple[float, list[int]]:
-        at, w = self.weigh(terms, times, rest)
-        if not len(at) or not self.ids:
-            return self.rate, []
-        numbers, cosines = self.nearest(at, w)
-        votes = 1 / (1 - np.minimum(cosines, 1) + SOFT)
-        return float((votes @ self.labels[numbers] + PRIOR * self.rate) / (votes.sum() + PRIOR)), [self.ids[i] for i in numbers[:3].tolist()]
+    def scores(self, queries: list[tuple[list[int], list[int], float]]) -> Iterator[tuple[float, list[int]]]:
+        """Score and evidence of each (terms, times, rest)."""
+        for start in range(0, len(queries), _TOGETHER):
+            units = [self.weigh(*q) for q in queries[start : start + _TOGETHER]]
+            for (at, w), sums in zip(units, self.begin(units), strict=True):
+                if not len(at) or not self.ids:
+                    yield self.rate, []
+                    continue
+                numbers, cosines = self.nearest(at, w, sums)
+                votes = 1 / (1 - np.minimum(cosines, 1) + SOFT)
+                yield float((votes @ self.labels[numbers] + PRIOR * self.rate) / (votes.sum() + PRIOR)), [self.ids[i] for i in numbers[:3].tolist()]
 
 
 def _scores(shared):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        index = Index(*shared.value)
+        index = shared.value
         for batch in batches:
-            got = [index.score(t, n, r) for t, n, r in zip(batch.column(2).to_pylist(), batch.column(3).to_pylist(), batch.column(4).to_pylist(), strict=True)]
+            got = list(index.scores(list(zip(*(batch.column(i).to_pylist() for i in (2, 3, 4)), strict=True))))
             score = np.clip(np.array([g[0] for g in got], float), 0, 1)
             yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(score), pa.array((score >= 0.5).astype(np.int32)), pa.array([g[1] for g in got], pa.list_(pa.int64()))], ["doc_id", "held_out", "score", "predicted", "evidence"])
 
@@ -195,5 +220,5 @@ def toxicity_scores(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) ->
     bad = sum(y for _, y, _, _ in rows)
     told = likelihood_ratio(uses.column("toxic").to_numpy().astype(float), uses.column("uses").to_numpy().astype(float), bad, len(rows))
     scale = (np.log((n + 1) / (found + 1)) + 1) * (BASE + told)
-    index = spark.sparkContext.broadcast((rows, scale, (np.log(n + 1) + 1) * BASE))
+    index = spark.sparkContext.broadcast(Index(rows, scale, (np.log(n + 1) + 1) * BASE))
     return vectors.mapInArrow(_scores(index), "doc_id long, held_out boolean, score double, predicted int, evidence array<long>")
