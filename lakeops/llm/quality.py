@@ -2,9 +2,11 @@
 
 The statistics vector of a document is transformed to logarithms (``_features``). For each language and source a minimum
 covariance determinant estimate is fitted: of all documents of the group that pass the base rules, the half whose mean and covariance have
-the smallest determinant, found by concentration steps from two fixed starts. Every step is one aggregation over all
+the smallest determinant, found by concentration steps from two fixed starts until no determinant falls any more. Then the estimate is reweighted: it is taken once more
+from all documents within the ``TRUSTED`` quantile of it. Every step is one aggregation over all
 documents (counts and integer sums of products, so that results do not depend on the order of rows) and the half is cut at a quantile taken from a histogram of the distances; no group is
-ever gathered. Documents far from their group's estimate by the consistency-corrected Mahalanobis distance are rejected.
+ever gathered. Documents whose consistency-corrected squared
+Mahalanobis distance lies beyond the chi-square quantile ``1 - TAIL`` are rejected.
 
 Groups under ``SMALLEST`` documents are pooled by language, and languages under it all together.
 
@@ -14,6 +16,7 @@ empty table. Other columns are ignored.
 
 from __future__ import annotations
 
+import math
 from collections import Counter
 from collections.abc import Iterator
 
@@ -29,17 +32,49 @@ LEAST_WORDS = 10
 MOST_REPEATED = 20
 WINDOW = 5
 SMALLEST = 50
-STEPS = 4
+#: Concentration steps at most, and the fall of a log-determinant that asks for another one.
+STEPS = 20
+TOLERANCE = 1e-3
+#: Share of clean documents that the cutoff may reject, and quantile of the reweighting step.
+TAIL = 1e-4
+TRUSTED = 0.975
 ALL = "all"
 STATISTICS = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words")
 #: Features are kept as whole numbers of 1/UNIT: log words, log mean word length, log(1 + % symbols), log(1 + repeated lines), log(1 + % repeated words).
 UNIT = 256
 #: Standard deviations added to every estimate: most documents have no symbols or repeats at all, so plain estimates would be singular.
 FLOORS = (0.5, 0.15, 0.25, 0.5, 1.0)
-#: Half of a normal cloud in five dimensions to the whole: 0.5 / P(chi2 with 7 degrees of freedom <= median of chi2 with 5).
-CONSISTENCY = 1.9122
-#: Squared distance beyond which a document is an outlier.
-CUTOFF = 60.0
+
+
+def chi2_share(x: float, k: int) -> float:
+    """P(chi-square with k degrees of freedom <= x), by the series of the incomplete gamma function."""
+    if x <= 0:
+        return 0.0
+    term = total = 1 / (k / 2)
+    n = k / 2
+    while term > total * 1e-15:
+        n += 1
+        term *= x / 2 / n
+        total += term
+    return total * math.exp(-x / 2 + k / 2 * math.log(x / 2) - math.lgamma(k / 2))
+
+
+def chi2_quantile(share: float, k: int) -> float:
+    low, high = 0.0, 1000.0
+    for _ in range(100):
+        middle = (low + high) / 2
+        low, high = (middle, high) if chi2_share(middle, k) < share else (low, middle)
+    return low
+
+
+def consistency(share: float, k: int = len(FLOORS)) -> float:
+    """What the covariance of the inner ``share`` of a normal cloud is multiplied by to give the whole cloud's."""
+    return share / chi2_share(chi2_quantile(share, k), k + 2)
+
+
+#: Squared distance beyond which a document is an outlier, and up to which it takes part in the reweighted estimate.
+CUTOFF = chi2_quantile(1 - TAIL, len(FLOORS))
+NEAR = chi2_quantile(TRUSTED, len(FLOORS))
 
 _SYMBOL = np.zeros(256, bool)
 _SYMBOL[[ord(c) for c in "#*$%&|<>"]] = True
@@ -118,9 +153,10 @@ def _distance(mean: str = "mean", precision: str = "precision") -> Column:
     return sum((F.col(precision)[i * p + j] * off[i] * off[j] * (1 if i == j else 2) for i in range(p) for j in range(i, p)), F.lit(0.0))
 
 
-def _invert(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Counts, sums and sums of products to mean, precision matrix and log-determinant."""
+def _invert(share: float, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Counts, sums and sums of products of the inner ``share`` of a group to mean, precision matrix and log-determinant."""
     p = len(FLOORS)
+    factor = consistency(share)
     floor = np.diag((np.array(FLOORS) * UNIT) ** 2)
     upper = np.triu_indices(p)
     for batch in batches:
@@ -130,7 +166,7 @@ def _invert(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             second = np.zeros((p, p))
             second[upper] = np.array([r[f"s{i}{j}"] for i, j in zip(*upper, strict=True)], float) / n
             second = np.triu(second) + np.triu(second, 1).T
-            cov = (second - np.outer(mean, mean)) * CONSISTENCY + floor
+            cov = (second - np.outer(mean, mean)) * factor + floor
             rows.append({"grp": r["grp"], "start": r["start"], "mean": mean.tolist(), "precision": np.linalg.inv(cov).ravel().tolist(), "logdet": float(np.linalg.slogdet(cov)[1])})
         if rows:
             yield pa.RecordBatch.from_pylist(rows, schema=pa.schema([("grp", pa.string()), ("start", pa.int32()), ("mean", pa.list_(pa.float64())), ("precision", pa.list_(pa.float64())), ("logdet", pa.float64())]))
@@ -168,17 +204,24 @@ def fit(stats: DataFrame) -> tuple[DataFrame, DataFrame]:
     ))
     estimates = stored(spread.select("grp", mean.alias("mean"), starts.alias("s")).select("grp", "mean", "s.*"), "estimates")
     pairs = [(i, j) for i in range(p) for j in range(i, p)]
-    for _ in range(STEPS):
+    names = ("n", *(f"s{i}" for i in range(p)), *(f"s{i}{j}" for i, j in pairs))
+    moments = [F.count("*"), *(F.sum(f"x{i}") for i in range(p)), *(F.sum(F.col(f"x{i}") * F.col(f"x{j}")) for i, j in pairs)]
+    moments = [m.alias(n) for m, n in zip(moments, names, strict=True)]
+
+    def inverted(sums: DataFrame, share: float) -> DataFrame:
+        return stored(sums.mapInArrow(lambda batches: _invert(share, batches), "grp string, start int, mean array<double>, precision array<double>, logdet double"), "estimates")
+
+    for step in range(STEPS):
         near = F.floor(32 * F.log2(_distance() + 0.01)).cast("int")
-        bins = x.join(estimates, "grp").groupBy("grp", "start", near.alias("bin")).agg(
-            F.count("*").alias("n"), *(F.sum(f"x{i}").alias(f"s{i}") for i in range(p)), *(F.sum(F.col(f"x{i}") * F.col(f"x{j}")).alias(f"s{i}{j}") for i, j in pairs)
-        )
+        bins = x.join(estimates, "grp").groupBy("grp", "start", near.alias("bin")).agg(*moments)
         whole = Window.partitionBy("grp", "start")
         inner = bins.withColumn("before", F.sum("n").over(whole.orderBy("bin")) - F.col("n")).withColumn("of", F.sum("n").over(whole)).where("2 * before < of")
-        sums = inner.groupBy("grp", "start").agg(*(F.sum(c).alias(c) for c in ("n", *(f"s{i}" for i in range(p)), *(f"s{i}{j}" for i, j in pairs))))
-        estimates = stored(sums.mapInArrow(_invert, "grp string, start int, mean array<double>, precision array<double>, logdet double"), "estimates")
+        before, estimates = estimates, inverted(inner.groupBy("grp", "start").agg(*(F.sum(c).alias(c) for c in names)), 0.5)
+        if step and estimates.join(before.select("grp", "start", F.col("logdet").alias("was")), ["grp", "start"]).where(F.col("logdet") < F.col("was") - TOLERANCE).isEmpty():
+            break
     best = estimates.groupBy("grp").agg(F.min_by(F.struct("mean", "precision"), F.struct("logdet", "start")).alias("e")).select("grp", "e.*")
-    return sizes, stored(best, "estimates")
+    trusted = x.join(stored(best, "estimates"), "grp").where(_distance() <= NEAR).groupBy("grp").agg(F.lit(0).alias("start"), *moments)
+    return sizes, inverted(trusted, TRUSTED).select("grp", "mean", "precision")
 
 
 def judge(stats: DataFrame, fitted: tuple[DataFrame, DataFrame]) -> DataFrame:

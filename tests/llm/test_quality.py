@@ -38,23 +38,33 @@ def brute(rows):
             members[g].append(i)
     best = {}
     floor = np.array(quality.FLOORS) * quality.UNIT
+    def estimate(z, share):
+        mean = z.mean(0)
+        cov = (z.T @ z / len(z) - np.outer(mean, mean)) * quality.consistency(share) + np.diag(floor**2)
+        return mean, np.linalg.inv(cov), np.linalg.slogdet(cov)[1]
+
+    def distances(y, mean, precision):
+        return np.einsum("ij,jk,ik->i", y - mean, precision, y - mean)
+
+    state = {}
     for g, m in members.items():
-        y, found = x[m], []
-        centre = np.median(y, axis=0)
-        mad = np.median(abs(y - centre), axis=0)
-        for sd in (np.maximum(1.4826 * mad, floor), floor):
-            mean, precision = centre, np.diag(1 / sd**2)
-            for _ in range(quality.STEPS):
-                d = np.einsum("ij,jk,ik->i", y - mean, precision, y - mean)
-                bins = np.floor(32 * np.log2(d + 0.01)).astype(int)
-                order = np.sort(bins)
-                cut = order[(len(order) - 1) // 2]
-                z = y[bins <= cut]
-                mean = z.mean(0)
-                cov = (z.T @ z / len(z) - np.outer(mean, mean)) * quality.CONSISTENCY + np.diag(floor**2)
-                precision = np.linalg.inv(cov)
-            found.append((np.linalg.slogdet(cov)[1], len(found), mean, precision))
-        best[g] = min(found, key=lambda f: f[:2])[2:]
+        centre = np.median(x[m], axis=0)
+        mad = np.median(abs(x[m] - centre), axis=0)
+        for start, sd in enumerate((np.maximum(1.4826 * mad, floor), floor)):
+            state[g, start] = (centre, np.diag(1 / sd**2), math.inf)
+    for step in range(quality.STEPS):
+        falls = False
+        for (g, start), (mean, precision, was) in state.items():
+            y = x[members[g]]
+            bins = np.floor(32 * np.log2(distances(y, mean, precision) + 0.01)).astype(int)
+            state[g, start] = estimate(y[bins <= np.sort(bins)[(len(bins) - 1) // 2]], 0.5)
+            falls |= state[g, start][2] < was - quality.TOLERANCE
+        if step and not falls:
+            break
+    for g in members:
+        _, (mean, precision, _) = min((state[g, s][2], s) + (state[g, s],) for s in (0, 1))[1:]
+        y = x[members[g]]
+        best[g] = estimate(y[distances(y, mean, precision) <= quality.NEAR], quality.TRUSTED)[:2]
     out = {}
     for i, (doc, *_) in enumerate(rows):
         d = None
@@ -65,6 +75,14 @@ def brute(rows):
     return out
 
 
+def test_chi_square():
+    # table values
+    assert abs(quality.chi2_quantile(0.5, 5) - 4.3515) < 1e-3 and abs(quality.chi2_quantile(0.999, 5) - 20.515) < 1e-3 and abs(quality.chi2_quantile(0.95, 2) - 5.9915) < 1e-3
+    r = np.random.default_rng(2).normal(size=(200_000, 5))
+    d = (r**2).sum(1)
+    assert abs(r[d <= np.median(d)].var(0).mean() * quality.consistency(0.5) - 1) < 0.02
+
+
 def corpus():
     r = random.Random(3)
     rows = []
