@@ -8,7 +8,8 @@ level is the largest l_i, so one running sum over the sources finds it.
 A target is filled with complete epochs of the source first; the rest is taken in the order of exponential keys -ln(u) / weight,
 u a hash of the document, weight its quality (the share of characters that are not symbols). The words are summed in that order, and
 the document at the border gives the words that are still missing. The order of a source is never sorted in one place: keys fall into
-about sqrt(n) ranges, running sums over the ranges find the one with the border, and only its documents are sorted.
+ranges of equal ratio, ``RANGES`` to a doubling, whatever the weights are; running sums over the ranges find the one with the border, running sums over its ``PARTS`` parts find
+the part, and only its documents, about one in a million of the source, are sorted.
 
 Rows: one per input row. A null or wordless text has size 0 and gives nothing. Null sources are one source, the last. Rows with
 equal doc_id and text are equal candidates. An empty table, or one without words, takes nothing. Columns besides doc_id, text and source are ignored,
@@ -25,6 +26,8 @@ from lakeops.llm.storage import stored
 WEIGHTS = (5, 2, 1)
 TOTAL = 1.5
 EPOCHS = 2
+RANGES = 64
+PARTS = 4096
 SYMBOLS = "#*$%&|<>"
 
 
@@ -68,17 +71,25 @@ def mix(docs: DataFrame, weights: tuple[int, ...] = WEIGHTS, total: float = TOTA
     rows = sizes.join(targets, sizes.source.eqNullSafe(targets.of_source)).drop("of_source")
     full = F.floor(F.col("target") / F.greatest("source_size", F.lit(1)))
     rows = rows.withColumn("full", full).withColumn("missing", (F.round("target") - F.col("full") * F.col("source_size")).cast("long"))
-    # equal shares of keys of weight 1 fall into each range; the ranges of a source are about as many as documents in one of them
-    parts = F.ceil(F.sqrt("docs"))
-    rows = rows.withColumn("part", F.least(F.floor((1 - F.exp(-F.col("key"))) * parts), parts - 1))
-    ranges = rows.groupBy("source", "part").agg(F.sum("size").alias("words"), F.first("missing").alias("missing"))
-    upto = F.sum("words").over(Window.partitionBy("source").orderBy("part"))
-    ranges = ranges.withColumn("before", upto - F.col("words")).withColumn("border", F.col("before") + F.col("words") > F.col("missing"))
-    border = stored(ranges.where("border").groupBy(F.col("source").alias("of_source")).agg(F.min("part").alias("border"), F.min_by("before", "part").alias("before")), "borders")
-    rows = rows.join(border, rows.source.eqNullSafe(border.of_source), "left").drop("of_source")
-    inside = rows.where("part = border").withColumn("before", F.col("before") + F.sum("size").over(Window.partitionBy("source").orderBy("key", "doc_id", "size", *held).rowsBetween(Window.unboundedPreceding, 0)) - F.col("size"))
+    spot = RANGES * F.log2(F.greatest("key", F.lit(1e-300)))
+    rows = rows.withColumn("range", F.floor(spot)).withColumn("part", F.floor((spot - F.floor(spot)) * PARTS))
+
+    def border(rows: DataFrame, unit: str, before: Column) -> DataFrame:
+        """Of each source, the unit with the border of the budget, and the words before it."""
+        units = rows.groupBy("source", unit).agg(F.sum("size").alias("words"), F.first("missing").alias("missing"), F.first(before).alias("start"))
+        upto = F.col("start") + F.sum("words").over(Window.partitionBy("source").orderBy(unit))
+        units = units.withColumn("before", upto - F.col("words")).where(F.col("missing") < F.col("before") + F.col("words"))
+        return units.groupBy(F.col("source").alias("of_source")).agg(F.min(unit).alias(f"border_{unit}"), F.min_by("before", unit).alias(f"before_{unit}"))
+
+    ranges = stored(border(rows, "range", F.lit(0).cast("long")), "border-ranges")
+    rows = rows.join(ranges, rows.source.eqNullSafe(ranges.of_source), "left").drop("of_source")
+    parts = stored(border(rows.where("range = border_range"), "part", F.col("before_range")), "border-parts")
+    rows = rows.join(parts, rows.source.eqNullSafe(parts.of_source), "left").drop("of_source")
+    place = F.when(F.col("border_range").isNull() | (F.col("range") < F.col("border_range")), -1).when(F.col("range") > F.col("border_range"), 1).otherwise(F.signum(F.col("part") - F.col("border_part")).cast("int"))
+    rows = rows.withColumn("place", place).withColumn("before", F.col("before_part"))
+    inside = rows.where("place = 0").withColumn("before", F.col("before") + F.sum("size").over(Window.partitionBy("source").orderBy("key", "doc_id", "size", *held).rowsBetween(Window.unboundedPreceding, 0)) - F.col("size"))
     inside = inside.withColumn("extra", F.greatest(F.lit(0), F.least(F.col("size"), F.col("missing") - F.col("before"))))
-    others = rows.where("border is null or part <> border").withColumn("extra", F.when(F.col("border").isNull() | (F.col("part") < F.col("border")), F.col("size")).otherwise(0))
+    others = rows.where("place <> 0").withColumn("extra", F.when(F.col("place") < 0, F.col("size")).otherwise(0))
     both = others.unionByName(inside)
     return both.select("doc_id", "size", "source_size", "target", (F.col("full") * F.col("size") + F.col("extra")).cast("long").alias("taken"), *(F.col(f"carried.{c}") for c in carry if c != "doc_id"))
 
