@@ -6,7 +6,8 @@ in order of the characters. The distance to a language adds up, over the documen
 ``PROFILE`` where the language lacks the n-gram. The nearest language wins, of equal ones the first by name.
 
 Profiles are fitted on at most ``SAMPLE`` labelled documents of each language in the training part, those with the smallest hash of their text
-and id, so that a rare language is learned at every size of the table; they hold languages x PROFILE n-grams and are broadcast (at most ``MOST_LANGUAGES`` languages, a checked bound).
+and id, so that a rare language is learned at every size of the table; they hold languages x PROFILE n-grams and are broadcast in blocks of ``LANGUAGES`` languages;
+a block keeps the better of its own and the earlier blocks' nearest language for each row.
 
 Rows: one per input row. ``und`` where the text is null or has no letter; documents too where nothing could be learned. The score is
 1 - distance / the largest possible one, so repeated and empty cases give the same values. Other columns are ignored.
@@ -27,7 +28,7 @@ from lakeops.llm.text import slices
 LONGEST = 3
 PROFILE = 300
 SAMPLE = 20_000
-MOST_LANGUAGES = 2_000
+LANGUAGES = 2_000
 UNKNOWN = "und"
 
 _letters: np.ndarray | None = None
@@ -144,7 +145,8 @@ def fit(docs: DataFrame, sample: int = SAMPLE, profile: int = PROFILE) -> DataFr
     return counts.groupBy("lang").agg(F.slice(F.array_sort(F.collect_list(F.struct((-F.col("n")).alias("n"), F.col("gram")))), 1, profile).alias("grams")).select("lang", F.posexplode("grams.gram").alias("place", "gram"))
 
 
-def _nearest(profiles, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def _nearest(profiles, last: bool, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Adds the nearest language of a block of profiles, with its distance as a score, unless an earlier block has a nearer one."""
     names, table, size = profiles.value
     for batch in batches:
         for part in slices(batch, rows=2048):
@@ -152,11 +154,11 @@ def _nearest(profiles, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordB
             doc, gram, count, base, points = _counted(part.column(2).to_pylist())
             doc, gram, rank = _top(doc, gram, count, size)
             total = np.bincount(doc, minlength=n)
-            lang, score = [UNKNOWN] * n, np.zeros(n)
+            lang, score = part.column(3).to_pylist(), part.column(4).to_numpy().copy()
             if len(doc) and names:
                 number = {int(p): i + 1 for i, p in enumerate(points)}
                 number[0] = 1
-                distance = np.empty((len(names), n))
+                best, nearest = np.full(n, np.inf), np.zeros(n, np.int64)
                 for i, grams in enumerate(table):
                     ours = sorted((g, place) for place, g in ((place, _number(text, number, base)) for place, text in enumerate(grams)) if g is not None)
                     keys = np.array([g for g, _ in ours], np.int64)
@@ -166,12 +168,16 @@ def _nearest(profiles, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordB
                         at = np.minimum(np.searchsorted(keys, gram), len(keys) - 1)
                         hit = keys[at] == gram
                         apart[hit] = np.abs(places[at[hit]] - rank[hit])
-                    distance[i] = np.bincount(doc, weights=apart, minlength=n)
-                best = distance.argmin(0)
-                score = 1 - distance[best, np.arange(n)] / np.maximum(total * size, 1)
-                lang = [names[b] if k else UNKNOWN for b, k in zip(best.tolist(), total.tolist(), strict=True)]
-                score[total == 0] = 0
-            yield pa.RecordBatch.from_arrays([part.column(0), part.column(1), pa.array(lang, pa.string()), pa.array(score)], ["doc_id", "held_out", "lang_pred", "score"])
+                    distance = np.bincount(doc, weights=apart, minlength=n)
+                    nearer = distance < best
+                    best[nearer], nearest[nearer] = distance[nearer], i
+                ours = 1 - best / np.maximum(total * size, 1)
+                for i in np.flatnonzero((total > 0) & (ours > score)).tolist():
+                    lang[i], score[i] = names[nearest[i]], ours[i]
+            columns = {"doc_id": part.column(0), "held_out": part.column(1), "text": part.column(2), "lang_pred": pa.array(lang, pa.string()), "score": pa.array(score)}
+            if last:
+                del columns["text"]
+            yield pa.RecordBatch.from_pydict(columns)
 
 
 def _number(text: str, number: dict[int, int], base: int) -> int | None:
@@ -184,18 +190,25 @@ def _number(text: str, number: dict[int, int], base: int) -> int | None:
     return out * base ** (LONGEST - len(text))
 
 
-def identify(docs: DataFrame, profiles: DataFrame, size: int = PROFILE) -> DataFrame:
+def identify(docs: DataFrame, profiles: DataFrame, size: int = PROFILE, block: int = LANGUAGES) -> DataFrame:
     """doc_id, held_out, lang_pred and score of every row, from its whole text alone."""
-    grams: dict[str, list[str]] = {}
-    rows = profiles.orderBy("lang", "place").limit(MOST_LANGUAGES * size + 1).collect()
-    if len(rows) > MOST_LANGUAGES * size:
-        raise ValueError(f"profiles of more than {MOST_LANGUAGES} languages")
-    for r in rows:
-        grams.setdefault(r["lang"], []).append(r["gram"])
-    names = sorted(grams, key=lambda x: x.encode())
-    shared = docs.sparkSession.sparkContext.broadcast((names, [grams[n] for n in names], size))
-    docs = docs.select("doc_id", held_out(F.col("doc_id")).alias("held_out"), F.col("text").cast("string").alias("text"))
-    return docs.mapInArrow(lambda batches: _nearest(shared, batches), "doc_id long, held_out boolean, lang_pred string, score double")
+    found = docs.select("doc_id", held_out(F.col("doc_id")).alias("held_out"), F.col("text").cast("string").alias("text"), F.lit(UNKNOWN).alias("lang_pred"), F.lit(-1.0).alias("score"))
+    schema = "doc_id long, held_out boolean, text string, lang_pred string, score double"
+    last = None
+    while True:  # one block, unless there are more languages than that
+        ahead = profiles if last is None else profiles.where(F.col("lang") > last)
+        grams: dict[str, list[str]] = {}
+        for r in ahead.join(F.broadcast(ahead.select("lang").distinct().orderBy("lang").limit(block)), "lang").orderBy("lang", "place").collect():
+            grams.setdefault(r["lang"], []).append(r["gram"])
+        if not grams:
+            break
+        shared = docs.sparkSession.sparkContext.broadcast((list(grams), list(grams.values()), size))
+        whole = len(grams) < block
+        found = found.mapInArrow(lambda batches, shared=shared, whole=whole: _nearest(shared, whole, batches), schema.replace("text string, ", "") if whole else schema)
+        last = list(grams)[-1]
+        if whole:
+            break
+    return found.select("doc_id", "held_out", "lang_pred", F.greatest("score", F.lit(0.0)).alias("score"))
 
 
 def language_predictions(docs: DataFrame, sample: int = SAMPLE) -> DataFrame:

@@ -3,7 +3,7 @@ import re
 import zlib
 from collections import Counter, defaultdict
 
-from lakeops.llm.language_id import PROFILE, fit, language_predictions
+from lakeops.llm.language_id import PROFILE, fit, identify, language_predictions
 
 
 def words_of(text):
@@ -69,3 +69,11 @@ def test_a_rare_language_is_learned_from_a_bounded_sample(spark):
     rows = [(i, "abc abd", "en") for i in range(3000)] + [(5000, "βγδ", "el"), (5001, "中", None)]
     learned = fit(spark.createDataFrame(rows, "doc_id long, text string, lang string"), 10)
     assert {r.lang for r in learned.select("lang").distinct().collect()} == {"en", "el"}
+
+
+def test_blocks_of_languages_give_the_same(spark):
+    docs = spark.createDataFrame(corpus(), "doc_id long, text string, lang string")
+    profiles = fit(docs).persist()
+    whole = sorted(map(tuple, identify(docs, profiles).collect()))
+    for block in (1, 2, 3):
+        assert sorted(map(tuple, identify(docs, profiles, block=block).collect())) == whole
