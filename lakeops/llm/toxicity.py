@@ -25,6 +25,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -210,8 +211,10 @@ def toxicity_scores(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) ->
     # the examples, and the vocabulary of their terms, are bounded by `sample` and come to the driver
     uses = examples.select("toxic", F.explode("terms").alias("term")).groupBy("term").agg(F.sum("toxic").alias("toxic"), F.count("*").alias("uses")).toArrow().sort_by("term")
     terms = uses.column("term").to_pylist()
-    number = {t: i for i, t in enumerate(terms)}
-    rows = [(d, y, [number[t] for t in ts], n) for d, y, ts, n in map(tuple, examples.orderBy("doc_id").collect())]
+    table = examples.orderBy("doc_id").toArrow().combine_chunks()
+    ends = np.cumsum(np.asarray(pc.list_value_length(table.column("terms"))))
+    numbers, times = pc.index_in(pc.list_flatten(table.column("terms")), uses.column("term").combine_chunks()).to_numpy(), pc.list_flatten(table.column("times")).to_numpy()
+    rows = list(zip(table.column("doc_id").to_pylist(), table.column("toxic").to_pylist(), np.split(numbers, ends[:-1]), np.split(times, ends[:-1]), strict=True)) if len(ends) else []
     shared = spark.sparkContext.broadcast(terms)
     vectors = stored(docs.mapInArrow(_vectors(shared), "doc_id long, held_out boolean, terms array<int>, times array<int>, rest double"), "term-vectors")
     n, found = vectors.count(), np.zeros(len(terms))
