@@ -34,7 +34,7 @@ WINDOW = 5
 SMALLEST = 50
 #: Concentration steps at most, and the fall of a log-determinant that asks for another one.
 STEPS = 20
-TOLERANCE = 1e-3
+TOLERANCE = 0.02
 #: Share of clean documents that the cutoff may reject, and quantile of the reweighting step.
 TAIL = 1e-4
 TRUSTED = 0.975
@@ -167,9 +167,9 @@ def _invert(share: float, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.Reco
             second[upper] = np.array([r[f"s{i}{j}"] for i, j in zip(*upper, strict=True)], float) / n
             second = np.triu(second) + np.triu(second, 1).T
             cov = (second - np.outer(mean, mean)) * factor + floor
-            rows.append({"grp": r["grp"], "start": r["start"], "mean": mean.tolist(), "precision": np.linalg.inv(cov).ravel().tolist(), "logdet": float(np.linalg.slogdet(cov)[1])})
+            rows.append({"grp": r["grp"], "start": r["start"], "was": r["was"], "mean": mean.tolist(), "precision": np.linalg.inv(cov).ravel().tolist(), "logdet": float(np.linalg.slogdet(cov)[1])})
         if rows:
-            yield pa.RecordBatch.from_pylist(rows, schema=pa.schema([("grp", pa.string()), ("start", pa.int32()), ("mean", pa.list_(pa.float64())), ("precision", pa.list_(pa.float64())), ("logdet", pa.float64())]))
+            yield pa.RecordBatch.from_pylist(rows, schema=pa.schema([("grp", pa.string()), ("start", pa.int32()), ("was", pa.float64()), ("mean", pa.list_(pa.float64())), ("precision", pa.list_(pa.float64())), ("logdet", pa.float64())]))
 
 
 def group_of(stats: DataFrame, sizes: DataFrame) -> DataFrame:
@@ -202,25 +202,25 @@ def fit(stats: DataFrame) -> tuple[DataFrame, DataFrame]:
         F.struct(F.lit(0).alias("start"), diagonal([F.greatest(1.4826 * F.col(f"d{i}"), floors[i]) for i in range(p)]).alias("precision")),
         F.struct(F.lit(1).alias("start"), diagonal(floors).alias("precision")),
     ))
-    estimates = stored(spread.select("grp", mean.alias("mean"), starts.alias("s")).select("grp", "mean", "s.*"), "estimates")
+    estimates = stored(spread.select("grp", mean.alias("mean"), starts.alias("s")).select("grp", "mean", "s.*", F.lit(math.inf).alias("logdet")), "estimates")
     pairs = [(i, j) for i in range(p) for j in range(i, p)]
     names = ("n", *(f"s{i}" for i in range(p)), *(f"s{i}{j}" for i, j in pairs))
     moments = [F.count("*"), *(F.sum(f"x{i}") for i in range(p)), *(F.sum(F.col(f"x{i}") * F.col(f"x{j}")) for i, j in pairs)]
     moments = [m.alias(n) for m, n in zip(moments, names, strict=True)]
 
     def inverted(sums: DataFrame, share: float) -> DataFrame:
-        return stored(sums.mapInArrow(lambda batches: _invert(share, batches), "grp string, start int, mean array<double>, precision array<double>, logdet double"), "estimates")
+        return stored(sums.mapInArrow(lambda batches: _invert(share, batches), "grp string, start int, was double, mean array<double>, precision array<double>, logdet double"), "estimates")
 
     for step in range(STEPS):
         near = F.floor(32 * F.log2(_distance() + 0.01)).cast("int")
-        bins = x.join(estimates, "grp").groupBy("grp", "start", near.alias("bin")).agg(*moments)
+        bins = x.join(estimates, "grp").groupBy("grp", "start", near.alias("bin")).agg(F.first("logdet").alias("was"), *moments)
         whole = Window.partitionBy("grp", "start")
         inner = bins.withColumn("before", F.sum("n").over(whole.orderBy("bin")) - F.col("n")).withColumn("of", F.sum("n").over(whole)).where("2 * before < of")
-        before, estimates = estimates, inverted(inner.groupBy("grp", "start").agg(*(F.sum(c).alias(c) for c in names)), 0.5)
-        if step and estimates.join(before.select("grp", "start", F.col("logdet").alias("was")), ["grp", "start"]).where(F.col("logdet") < F.col("was") - TOLERANCE).isEmpty():
+        estimates = inverted(inner.groupBy("grp", "start").agg(F.first("was").alias("was"), *(F.sum(c).alias(c) for c in names)), 0.5)
+        if step and estimates.where(F.col("logdet") < F.col("was") - TOLERANCE).isEmpty():
             break
     best = estimates.groupBy("grp").agg(F.min_by(F.struct("mean", "precision"), F.struct("logdet", "start")).alias("e")).select("grp", "e.*")
-    trusted = x.join(stored(best, "estimates"), "grp").where(_distance() <= NEAR).groupBy("grp").agg(F.lit(0).alias("start"), *moments)
+    trusted = x.join(stored(best, "estimates"), "grp").where(_distance() <= NEAR).groupBy("grp").agg(F.lit(0).alias("start"), F.lit(None).cast("double").alias("was"), *moments)
     return sizes, inverted(trusted, TRUSTED).select("grp", "mean", "precision")
 
 
