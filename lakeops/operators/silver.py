@@ -10,7 +10,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from lakeops.scratch import delete, exists, scratch, swap
+from lakeops.scratch import beside, delete, exists, scratch, swap
 from lakeops.spec import FULL_SNAPSHOT, INCREMENTAL, LAST_CHANGES
 
 NONE, PARTIAL, FULL = "none", "partial", "full"
@@ -84,7 +84,10 @@ def upsert_union(old: DataFrame, new: DataFrame, keys: list[str]) -> DataFrame:
 
 
 def full_snapshot(df: DataFrame, path: str, partition_by: list[str] | None = None) -> None:
-    df.write.mode("overwrite").partitionBy(*(partition_by or [])).parquet(path)
+    """Writes the new table beside the old one and swaps them, so a job that fails leaves the old one as it was."""
+    staged = beside(path)
+    df.write.partitionBy(*(partition_by or [])).parquet(staged)
+    swap(df.sparkSession, staged, path)
 
 
 def append(df: DataFrame, path: str, partition_by: list[str] | None = None) -> None:
@@ -99,17 +102,18 @@ def replace_partitions(df: DataFrame, path: str, partition_by: list[str]) -> Non
 
 
 def upsert_table(spark: SparkSession, path: str, new: DataFrame, keys: list[str], timestamp: str, partition_by: list[str] | None = None, allow_partition_change: bool = True) -> None:
-    """Upserts a batch into a stored table. Of a partitioned table only partitions with rows of the batch's keys, and the batch's own, are read and written."""
+    """Upserts a batch into a stored table. Of a partitioned table only partitions with rows of the batch's keys, and the batch's own, are read and
+    written; finding the first takes a scan of the table's keys, unless rows can't change their partition."""
     new = latest_per_key(new, keys, timestamp)
     if not exists(spark, path):
         return full_snapshot(new, path, partition_by)
     old = read(spark, path, new)
-    staged = scratch(spark, "upsert")
     locked = None if allow_partition_change else partition_by
     if not partition_by:
+        staged = beside(path)
         upsert(old, new, keys, timestamp).write.parquet(staged)
         return swap(spark, staged, path)
-    batch = scratch(spark, "batch")
+    staged, batch = scratch(spark, "upsert"), scratch(spark, "batch")
     new.write.parquet(batch)
     new = spark.read.schema(new.schema).parquet(batch)
     touched = new.select(*partition_by).distinct()

@@ -51,13 +51,13 @@ def monthly_converter(df: DataFrame, id_column: str, date: str, kind: str) -> Da
     """Series that arrive every n months as monthly ones: a row on frequency stands for its own month and the n-1 before it.
 
     A row is on frequency if it lies n months after the one before it of the same id; the first row of an id is measured by its month number.
-    Of the rows off frequency only the last date is kept, as it is: the tail that is not complete yet."""
+    Of the rows off frequency only those of the last date are kept, the tail that is not complete yet: each stands for the months of its own gap."""
     n = MONTHS[kind]
     month = F.year(date) * 12 + F.month(date)
     gap = F.coalesce(month - F.lag(month).over(Window.partitionBy(id_column).orderBy(date)), F.month(date))
-    marked = df.withColumn("_on", gap == n)
-    spread = marked.where("_on").withColumn("_back", F.explode(F.sequence(F.lit(0), F.lit(n - 1)))).withColumn(date, F.add_months(date, -F.col("_back")).cast(df.schema[date].dataType)).drop("_back", "_on")
-    off = marked.where("not _on").drop("_on")
+    marked = df.withColumn("_on", gap == n).withColumn("_months", F.greatest(gap, F.lit(1)))
+    off = marked.where("not _on")
     last = off.agg(F.max(date).alias("_last"))
     tail = off.join(F.broadcast(last), off[date] == last["_last"]).drop("_last")  # one row
-    return spread.unionByName(tail.select(*df.columns)).orderBy(date)
+    both = marked.where("_on").unionByName(tail.select(*marked.columns)).withColumn("_back", F.explode(F.sequence(F.lit(0), F.col("_months") - 1)))
+    return both.withColumn(date, F.add_months(date, -F.col("_back")).cast(df.schema[date].dataType)).select(*df.columns).orderBy(date)

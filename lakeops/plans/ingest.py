@@ -10,11 +10,14 @@ from pyspark.sql import functions as F
 
 from lakeops.functions.casting import BAD, cast_split
 from lakeops.operators import quality, silver
-from lakeops.operators.validate import CORRUPT, gate, is_wrong, outcome, structural_split
+from lakeops.operators.validate import CORRUPT, gate, is_wrong, outcome
 from lakeops.schema import persisted_view, resolve_roles
 from lakeops.spec import PERMISSIVE, DatasetSpec
 
 
+WRONG = "_wrong"
+
+
 class Ingested(NamedTuple):
     rows: DataFrame
     structural_rejects: DataFrame
@@ -23,33 +26,41 @@ class Ingested(NamedTuple):
     summary: DataFrame
 
 
-def prepare(df: DataFrame, spec: DatasetSpec, typed: bool = False, write_failed: bool = True) -> Ingested:
-    """The frames of a batch, all from one flagged frame. ``summary``: one row of counts with the gate's verdict and the outcome's label.
+def flag(df: DataFrame, spec: DatasetSpec, typed: bool = False) -> DataFrame:
+    """Every row with its typed values, the columns that could not be cast, and whether the reader could take it apart: one select over the source."""
+    wrong = is_wrong(df) if CORRUPT in df.columns else F.lit(False)
+    return cast_split(df.withColumn(WRONG, wrong), spec.columns, typed).flagged
+
+
+def prepare(df: DataFrame, spec: DatasetSpec, typed: bool = False, write_failed: bool = True, cast: DataFrame | None = None) -> Ingested:
+    """The frames of a batch, all from one flagged frame: ``cast``, a persisted ``flag(df, spec)``, or a new one. ``summary``: one row of counts with the gate's verdict and the outcome's label.
 
     ``write_failed``: rows that fail a quality rule are stored all the same (they count at the gate in reject mode)."""
-    structure = structural_split(df)
-    split = cast_split(structure.valid, spec.columns, typed)
-    flagged = quality.apply_rules(split.valid, list(spec.rules))
+    cast = flag(df, spec, typed) if cast is None else cast
+    columns = [c for c in cast.columns if c not in (WRONG, BAD, CORRUPT)]
+    good = cast.where(~F.col(WRONG) & (F.size(BAD) == 0)).select(*(F.col(f"`{c}`") for c in columns))
+    flagged = quality.apply_rules(good, list(spec.rules))
     kept = flagged.drop(quality.FAILED) if write_failed else quality.passing(flagged)
-    wrong = df.agg(F.count_if(is_wrong(df)).alias("wrong"), F.count("*").alias("read")) if CORRUPT in df.columns else df.agg(F.lit(0).cast("long").alias("wrong"), F.count("*").alias("read"))
-    cast = split.flagged.agg(F.count_if(F.size(BAD) > 0).alias("invalid"), F.count("*").alias("total"))
-    ruled = flagged.agg(F.count_if(F.size(quality.FAILED) > 0).alias("failed"))
-    counts = wrong.crossJoin(cast).crossJoin(ruled)  # three frames of one row
+    counts = cast.agg(F.count("*").alias("read"), F.count_if(WRONG).alias("wrong"), F.count_if(~F.col(WRONG)).alias("total"), F.count_if(~F.col(WRONG) & (F.size(BAD) > 0)).alias("invalid"))
+    # two frames of one row; without rules the batch is counted once
+    counts = counts.crossJoin(flagged.agg(F.count_if(F.size(quality.FAILED) > 0).alias("failed"))) if spec.rules else counts.withColumn("failed", F.lit(0).cast("long"))
     gated = gate(counts, spec.validation_mode, spec.threshold, spec.threshold_kind, spec.quality_mode)
     structured = (F.col("read") > F.col("wrong")) & ((F.col("wrong") == 0) | F.lit(spec.validation_mode == PERMISSIVE))
     summary = gated.withColumn("outcome", outcome(structured, F.col("passed"), F.col("wrong") + F.col("invalid") + F.col("failed")))
-    return Ingested(kept, structure.wrong, split.invalid, quality.failing(flagged), summary)
+    wrong = cast.where(WRONG).select(CORRUPT) if CORRUPT in cast.columns else cast.where(F.lit(False)).select(F.lit(None).cast("string").alias(CORRUPT))
+    invalid = cast.where(~F.col(WRONG) & (F.size(BAD) > 0)).select(*(F.col(f"`{c}`") for c in columns), BAD)
+    return Ingested(kept, wrong, invalid, quality.failing(flagged), summary)
 
 
 def ingest(spark: SparkSession, df: DataFrame, spec: DatasetSpec, path: str, typed: bool = False) -> str:
     """Prepares and, if the gate lets it pass, loads a batch; gives the outcome's label."""
-    df = df.persist(StorageLevel.MEMORY_AND_DISK)
+    cast = flag(df, spec, typed).persist(StorageLevel.MEMORY_AND_DISK)  # values are cast once; counts, rules and the write read them from here
     try:
-        batch = prepare(df, spec, typed)
+        batch = prepare(df, spec, typed, cast=cast)
         row = batch.summary.first()
         if row["passed"] and row["outcome"].startswith("INGESTED"):
             roles = resolve_roles(spec)
             silver.write(spark, path, persisted_view(batch.rows, spec), spec.load_mode, roles["primary_key"], next(iter(roles["timestamp"]), None), list(spec.partition_by), allow_partition_change=spec.allow_partition_change, keep_history=spec.keep_history)
         return row["outcome"]
     finally:
-        df.unpersist()
+        cast.unpersist()

@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from lakeops.operators import gold
+from lakeops.queries.casts import DIRTY, dirty_orders
 from lakeops.registry import query, table
 from lakeops.scratch import scratch
 
@@ -59,20 +60,21 @@ def gold_param_filter(spark, sf_dir):
 
 
 @query("""
-select 'append' as mode, o_orderkey from orders where o_orderkey % 5 < 2
-union all select 'overwrite', o_orderkey from orders where o_orderkey % 5 = 1
-union all select 'truncate', o_orderkey from orders where o_orderkey % 5 = 1
-union all select 'view', o_orderkey from orders where o_orderkey % 5 = 1
+select 'append' as mode, o_orderkey from orders
+union all select 'overwrite', o_orderkey from orders where year(o_orderdate) >= 1995
+union all select 'truncate', o_orderkey from orders where year(o_orderdate) >= 1995
+union all select 'view', o_orderkey from orders
 """)
 def gold_write_modes(spark, sf_dir):
+    """Two batches that make up the table; the modes that replace keep the second."""
     o, out = orders(spark, sf_dir).select("o_orderkey", F.year("o_orderdate").alias("y"), "o_orderstatus"), None
     for mode in ("append", "overwrite", "truncate"):
         path = scratch(spark, mode)
-        for i in (0, 1):
-            gold.write_table(o.where(f"o_orderkey % 5 = {i}"), mode, path, partition_by="y/o_orderstatus")
+        for batch in ("y < 1995", "y >= 1995"):
+            gold.write_table(o.where(batch), mode, path, partition_by="y/o_orderstatus")
         part = spark.read.parquet(path).select(F.lit(mode).alias("mode"), "o_orderkey")
         out = part if out is None else out.unionByName(part)
-    gold.write_table(o.where("o_orderkey % 5 = 1"), "view", name="gold_view_orders")
+    gold.write_table(o, "view", name="gold_view_orders")
     return out.unionByName(spark.table("gold_view_orders").select(F.lit("view").alias("mode"), "o_orderkey"))
 
 
@@ -98,25 +100,24 @@ def fill_nulls(spark, sf_dir):
     return gold.run_stages(holes, [gold.fill_stage(25, ["o_custkey"]), gold.fill_stage(2.5, ["o_totalprice"]), gold.fill_stage("none"), gold.fill_stage(True)])
 
 
-@query("select o_custkey from orders where o_orderstatus = 'F' union select o_custkey from orders where o_orderstatus = 'O'")
+@query(f"select o_custkey from {DIRTY} union select c_custkey from customer")
 def set_union_distinct(spark, sf_dir):
-    o = orders(spark, sf_dir)
-    return o.where("o_orderstatus = 'F'").select("o_custkey").union(o.where("o_orderstatus = 'O'").select("o_custkey")).distinct()
+    return dirty_orders(spark, sf_dir).select("o_custkey").union(table(spark, sf_dir, "customer").select("c_custkey")).distinct()
 
 
-@query("select o_custkey from orders where o_orderstatus = 'F' except all select o_custkey from orders where o_orderstatus = 'O'")
+@query(f"select o_custkey from {DIRTY} except all select c_custkey from customer")
 def set_except(spark, sf_dir):
-    o = orders(spark, sf_dir)
-    return o.where("o_orderstatus = 'F'").select("o_custkey").exceptAll(o.where("o_orderstatus = 'O'").select("o_custkey"))
+    return dirty_orders(spark, sf_dir).select("o_custkey").exceptAll(table(spark, sf_dir, "customer").select("c_custkey"))
 
 
 def joined(spark, sf_dir, kind: str, condition: str = "current.c_custkey = o.o_custkey and o.o_totalprice > 300000") -> DataFrame:
-    c = table(spark, sf_dir, "customer").where("c_custkey % 2 = 0").select("c_custkey", "c_nationkey")
-    o = orders(spark, sf_dir).where("o_orderkey % 3 = 0").select("o_orderkey", "o_custkey", "o_totalprice")
+    """Customers and orders, some of them without a customer or with an unknown one."""
+    c = table(spark, sf_dir, "customer").select("c_custkey", "c_nationkey")
+    o = dirty_orders(spark, sf_dir).select("o_orderkey", "o_custkey", "o_totalprice")
     return gold.run_stages(c, [gold.table_stage(o, "o", kind, condition)])
 
 
-SIDES = "(select c_custkey, c_nationkey from customer where c_custkey % 2 = 0) c {} (select o_orderkey, o_custkey, o_totalprice from orders where o_orderkey % 3 = 0) o on c_custkey = o_custkey and o_totalprice > 300000"
+SIDES = f"(select c_custkey, c_nationkey from customer) c {{}} (select o_orderkey, o_custkey, o_totalprice from {DIRTY}) o on c_custkey = o_custkey and o_totalprice > 300000"
 
 
 @query("select * from " + SIDES.format("join"))

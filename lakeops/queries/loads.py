@@ -2,8 +2,11 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from lakeops.operators import bronze, silver, stats
 from lakeops.queries.casts import LINE_ORDER
@@ -12,51 +15,72 @@ from lakeops.scratch import scratch
 from lakeops.spec import FULL_SNAPSHOT, INCREMENTAL, LAST_CHANGES
 from lakeops.streaming import topics
 
-#: Two batches of users' latest events: up to the 15th, and from the 10th on; every 40th user moves back in time.
-OLD = "(select * from events where ts < timestamp '2024-01-15' and user_id % 10 <> 9)"
-NEW = "(select * replace (case when user_id % 40 = 3 then ts - interval 20 day else ts end as ts) from events where ts >= timestamp '2024-01-10' and user_id % 10 <> 0)"
+#: Two batches of users' latest events that make up the table: up to the 15th, and from the 10th on; every 40th user moves back in time.
+OLD = "(select * from events where ts < timestamp '2024-01-15')"
+NEW = "(select * replace (case when user_id % 40 = 3 then ts - interval 20 day else ts end as ts) from events where ts >= timestamp '2024-01-10')"
 
 
 def first_batch(spark, sf_dir) -> DataFrame:
-    return table(spark, sf_dir, "events").where("ts < timestamp '2024-01-15' and user_id % 10 <> 9")
+    return table(spark, sf_dir, "events").where("ts < timestamp '2024-01-15'")
 
 
 def second_batch(spark, sf_dir) -> DataFrame:
     moved = F.when(F.col("user_id") % 40 == 3, F.col("ts") - F.expr("interval 20 days")).otherwise(F.col("ts"))
-    return table(spark, sf_dir, "events").where("ts >= timestamp '2024-01-10' and user_id % 10 <> 0").withColumn("ts", moved)
+    return table(spark, sf_dir, "events").where("ts >= timestamp '2024-01-10'").withColumn("ts", moved)
 
 
 def monthly(orders: DataFrame) -> DataFrame:
     return orders.select("o_orderkey", "o_custkey", "o_totalprice", F.year("o_orderdate").alias("yyyy"))
 
 
-@query("select o_orderkey, o_custkey, o_totalprice, year(o_orderdate)::int as yyyy from orders where o_orderkey % 3 = 0")
+@query("select o_orderkey, o_custkey, o_totalprice, year(o_orderdate)::int as yyyy from orders")
 def load_full_snapshot(spark, sf_dir):
+    """A snapshot of the older orders, then one of all."""
     path, o = scratch(spark, "snapshot"), monthly(table(spark, sf_dir, "orders"))
-    silver.write(spark, path, o.where("o_orderkey % 2 = 0"), FULL_SNAPSHOT, partition_by=["yyyy"])
-    silver.write(spark, path, o.where("o_orderkey % 3 = 0"), FULL_SNAPSHOT, partition_by=["yyyy"])
+    silver.write(spark, path, o.where("yyyy < 1996"), FULL_SNAPSHOT, partition_by=["yyyy"])
+    silver.write(spark, path, o, FULL_SNAPSHOT, partition_by=["yyyy"])
     return silver.read(spark, path)
 
 
-@query("select o_orderkey, o_custkey, o_totalprice, year(o_orderdate)::int as yyyy from orders where case when year(o_orderdate) in (1996, 1998) then o_orderkey % 3 = 0 else o_orderkey % 2 = 0 end")
+@query("select o_orderkey, o_custkey, case when year(o_orderdate) in (1996, 1998) then -o_totalprice else o_totalprice end as o_totalprice, year(o_orderdate)::int as yyyy from orders")
 def load_replace_partitions(spark, sf_dir):
+    """All orders, then two years of them once more with other values."""
     path, o = scratch(spark, "partitions"), monthly(table(spark, sf_dir, "orders"))
-    silver.write(spark, path, o.where("o_orderkey % 2 = 0"), INCREMENTAL, partition_by=["yyyy"])
-    silver.write(spark, path, o.where("o_orderkey % 3 = 0 and yyyy in (1996, 1998)"), INCREMENTAL, partition_by=["yyyy"], reprocess=silver.FULL)
+    silver.write(spark, path, o, INCREMENTAL, partition_by=["yyyy"])
+    silver.write(spark, path, o.where("yyyy in (1996, 1998)").withColumn("o_totalprice", -F.col("o_totalprice")), INCREMENTAL, partition_by=["yyyy"], reprocess=silver.FULL)
     return silver.read(spark, path)
 
 
-@query("""
-select o_orderkey, o_custkey, null::varchar as o_orderpriority from orders where o_orderkey % 2 = 0
-union all select o_orderkey, o_custkey, o_orderpriority from orders where o_orderkey % 3 = 0
-""")
+@query("select o_orderkey, o_custkey, case when year(o_orderdate) >= 1995 then o_orderpriority end as o_orderpriority from orders")
 def load_incremental(spark, sf_dir):
+    """The older orders, then the newer ones with a column more."""
     path, o = scratch(spark, "incremental"), table(spark, sf_dir, "orders")
-    silver.write(spark, path, o.where("o_orderkey % 2 = 0").select("o_orderkey", "o_custkey"), INCREMENTAL)
-    silver.write(spark, path, o.where("o_orderkey % 3 = 0").select("o_orderkey", "o_custkey", "o_orderpriority"), INCREMENTAL)
+    silver.write(spark, path, o.where(F.year("o_orderdate") < 1995).select("o_orderkey", "o_custkey"), INCREMENTAL)
+    silver.write(spark, path, o.where(F.year("o_orderdate") >= 1995).select("o_orderkey", "o_custkey", "o_orderpriority"), INCREMENTAL)
     return silver.read(spark, path).select("o_orderkey", "o_custkey", "o_orderpriority")
 
 
+@query("select o_orderkey, case when year(o_orderdate) >= 1995 then o_orderpriority end as o_orderpriority from orders")
+def catalog_register_refresh(spark, sf_dir):
+    """A table is registered, gets a batch with a new column, and is registered anew."""
+    name, path, o = f"t_{uuid.uuid4().hex[:12]}", scratch(spark, "registered"), table(spark, sf_dir, "orders")
+    silver.append(o.where(F.year("o_orderdate") < 1995).select("o_orderkey"), path)
+    silver.register(spark, "lakeops_registered", name, path, create_database=True)
+    silver.append(o.where(F.year("o_orderdate") >= 1995).select("o_orderkey", "o_orderpriority"), path)
+    silver.register(spark, "lakeops_registered", name, path, refresh=True)
+    return spark.table(f"lakeops_registered.{name}").select("o_orderkey", "o_orderpriority")
+
+
+@query("select 'after' as read, o_orderkey, null::varchar as o_note from orders")
+def bronze_read_missing(spark, sf_dir):
+    """A table that is not there has no rows; a declared column that its files lack is null."""
+    path, o = scratch(spark, "missing"), table(spark, sf_dir, "orders").select("o_orderkey")
+    declared = T.StructType([*o.schema.fields, T.StructField("o_note", T.StringType())])
+    before = silver.read_or_empty(spark, path, declared).select(F.lit("before").alias("read"), "*")
+    silver.append(o, path)
+    return before.unionByName(silver.read_or_empty(spark, path, declared).select(F.lit("after").alias("read"), "*"))
+
+
 @query(f"""
 select l_orderkey, l_linenumber, l_shipdate, l_partkey, l_extendedprice from (
   select *, row_number() over (partition by l_orderkey, l_linenumber order by {', '.join(f'{c} desc' for c in LINE_ORDER)}) as n from lineitem) where n = 1

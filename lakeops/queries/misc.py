@@ -44,16 +44,18 @@ def variation_global(spark, sf_dir):
 
 
 @query("""
-with s as (select distinct n_regionkey as id, d::date as d, n_regionkey * 100 + month(d) as v from nation, unnest(generate_series(timestamp '2019-02-20', timestamp '2020-12-20', interval 2 month)) t(d)
-  where not (month(d) = 8 and year(d) = 2020)),
+with s as (select o_custkey as id, (make_date(year(o_orderdate)::int, (2 * ceil(month(o_orderdate) / 2))::int, 20) + case when o_custkey % 3 = 1 and year(o_orderdate) >= 1997 then interval 1 month else interval 0 month end)::date as d, count(*) as n from orders group by all),
 g as (select *, coalesce(year(d) * 12 + month(d) - lag(year(d) * 12 + month(d)) over (partition by id order by d), month(d)) as gap from s),
-f as (select id, (d - k * interval 1 month)::date as d, v from g, unnest(generate_series(0, 1)) t(k) where gap = 2)
-select id, d::varchar as d, v from f union all select id, d::varchar, v from g where gap <> 2 and d = (select max(d) from g where gap <> 2)
+r as (select * from g where gap = 2 or d = (select max(d) from g where gap <> 2))
+select id, (d - k * interval 1 month)::date::varchar as d, n from r, unnest(generate_series(0, greatest(gap, 1) - 1)) t(k)
 """)
 def monthly_converter(spark, sf_dir):
-    dates = F.explode(F.sequence(F.lit("2019-02-20").cast("date"), F.lit("2020-12-20").cast("date"), F.expr("interval 2 months")))
-    s = table(spark, sf_dir, "nation").select(F.col("n_regionkey").alias("id")).distinct().withColumn("d", dates).where("not (month(d) = 8 and year(d) = 2020)")
-    return timeseries.monthly_converter(s.withColumn("v", F.col("id") * 100 + F.month("d")), "id", "d", "bi-monthly").withColumn("d", F.col("d").cast("string"))
+    """Orders of every customer by two months; those of every third customer come a month later from 1997 on, which leaves odd gaps."""
+    o = table(spark, sf_dir, "orders")
+    late = F.when((F.col("o_custkey") % 3 == 1) & (F.year("o_orderdate") >= 1997), 1).otherwise(0)
+    d = F.add_months(F.make_date(F.year("o_orderdate"), (2 * F.ceil(F.month("o_orderdate") / 2)).cast("int"), F.lit(20)), late)
+    s = o.groupBy(F.col("o_custkey").alias("id"), d.alias("d")).agg(F.count("*").alias("n"))
+    return timeseries.monthly_converter(s, "id", "d", "bi-monthly").withColumn("d", F.col("d").cast("string"))
 
 
 @query("select p_partkey, case when p_retailprice > 1000 then 1.0::double else 0.0 end as dear, case when p_size > 25 then 1.0::double else 0.0 end as big from part")
@@ -74,10 +76,30 @@ def feat_imputer_mean(spark, sf_dir):
     return features.impute(p, "holes", "price", "mean").select("p_partkey", F.round("price", 4).alias("price"))
 
 
-@query()
+#: The median is approximate: a value of the column whose rank is within a thousandth of the rows from the middle.
+HOLES = "(select p_partkey, case when p_partkey % 3 <> 0 then p_retailprice end as holes from part)"
+
+
+@query(f"select p_partkey, holes as price, true as near_middle from {HOLES} where holes is not null union all select p_partkey, null, true from {HOLES} where holes is null")
 def feat_imputer_median(spark, sf_dir):
     p = table(spark, sf_dir, "part").select("p_partkey", F.when(F.col("p_partkey") % 3 != 0, F.col("p_retailprice")).alias("holes"))
-    return features.impute(p, "holes", "price", "median").select("p_partkey", "price")
+    filled = features.impute(p, "holes", "price", "median")
+    median = filled.where("holes is null").agg(F.max("price").alias("median"), F.count_distinct("price").alias("values"))  # one row
+    rank = filled.where("holes is not null").crossJoin(median).agg(F.count_if(F.col("holes") < F.col("median")).alias("under"), F.count_if(F.col("holes") <= F.col("median")).alias("upto"), F.count("*").alias("all"), F.max("values").alias("values"))
+    slack = 0.001 * F.col("all") + 1
+    near = rank.select(((F.col("values") == 1) & (F.col("under") <= F.col("all") / 2 + slack) & (F.col("upto") >= F.col("all") / 2 - slack)).alias("near_middle"))
+    return filled.crossJoin(near).select("p_partkey", F.col("holes").alias("price"), "near_middle")
+
+
+@query("""
+with h as (select p_partkey, case when p_partkey % 3 <> 0 then (p_size % 7)::double end as a, case when p_partkey % 5 <> 0 then (p_size % 4)::double end as b from part),
+m as (select (select a from h where a is not null group by a order by count(*) desc, a limit 1) as ma, (select b from h where b is not null group by b order by count(*) desc, b limit 1) as mb)
+select p_partkey, coalesce(a, ma) as a, coalesce(b, mb) as b from h, m
+""")
+def feat_imputer_mode(spark, sf_dir):
+    """Two columns in one model; of equally frequent values the smallest."""
+    p = table(spark, sf_dir, "part").select("p_partkey", F.when(F.col("p_partkey") % 3 != 0, (F.col("p_size") % 7).cast("double")).alias("x"), F.when(F.col("p_partkey") % 5 != 0, (F.col("p_size") % 4).cast("double")).alias("y"))
+    return features.impute(p, ["x", "y"], ["a", "b"], "mode").select("p_partkey", "a", "b")
 
 
 @query("""
@@ -89,10 +111,14 @@ def feat_one_hot(spark, sf_dir):
     return coded.select("s_suppkey", F.concat_ws(",", F.transform(vector_to_array("v"), lambda x: x.cast("int").cast("string"))).alias("regions"))
 
 
-@query()
+@query("""
+with c as (select distinct (p_size % 4)::double as s, dense_rank() over (order by p_size % 4) - 1 as place from part)
+select p_partkey, place::double as category, p_retailprice as price from part join c on (p_size % 4)::double = s
+""")
 def feat_vector_indexer(spark, sf_dir):
+    """The first entry has four values and becomes their places in order (zero stays zero); the second has many and stays."""
     p = table(spark, sf_dir, "part").select("p_partkey", array_to_vector(F.array((F.col("p_size") % 4).cast("double"), "p_retailprice")).alias("v"))
-    return features.vector_index(p, "v", "i", 4).select("p_partkey", vector_to_array("i").alias("indexed"))
+    return features.vector_index(p, "v", "i", 4).select("p_partkey", vector_to_array("i")[0].alias("category"), vector_to_array("i")[1].alias("price"))
 
 
 @query("select c_custkey, sha256(sha256(c_custkey || chr(1) || c_nationkey) || 'salt') as _id from customer")
@@ -120,8 +146,8 @@ def privacy_split_rejoin(spark, sf_dir):
 
 @query("select c_custkey, c_name as clear, false as same from customer")
 def encrypt_roundtrip(spark, sf_dir):
-    c = table(spark, sf_dir, "customer").select("c_custkey", "c_name", privacy.encrypt("c_name", "secret").alias("e"))
-    return c.select("c_custkey", privacy.decrypt("e", "secret").alias("clear"), (F.col("e") == F.col("c_name")).alias("same"))
+    c = privacy.with_secrets(table(spark, sf_dir, "customer"), secret="secret").withColumn("e", privacy.encrypt("c_name", F.col("secret")))
+    return c.select("c_custkey", privacy.decrypt("e", F.col("secret")).alias("clear"), (F.col("e") == F.col("c_name")).alias("same"))
 
 
 LINES = DatasetSpec(

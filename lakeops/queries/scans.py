@@ -9,13 +9,14 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from lakeops.functions.casting import cast_split
 from lakeops.operators import partitions, validate, versions
 from lakeops.plans import sqlsync
 from lakeops.registry import query, table
-from lakeops.schema import keep_declared, persisted_view, stamp
+from lakeops.schema import keep_declared, persisted_view, sensitive_as_string, sensitive_columns, stamp
 from lakeops.scratch import scratch
 from lakeops.sources import api, files, jdbc, sinks
-from lakeops.spec import DOUBLE, LONG, ColumnSpec, DatasetSpec
+from lakeops.spec import DOUBLE, LONG, ColumnSpec, DatasetSpec, from_jdbc_columns
 from lakeops.streaming import topics
 
 EVENT = T.StructType([T.StructField("event_id", T.LongType()), T.StructField("event_type", T.StringType()), T.StructField("k", T.LongType())])
@@ -225,3 +226,40 @@ def binary_base64(spark, sf_dir):
     return sinks.binary_to_base64(table(spark, sf_dir, "customer").select("c_custkey", F.col("c_name").cast("binary").alias("c_name")))
 
 
+
+
+@query("""
+with m(mode) as (values ('first_line'), ('without_header'), ('ignore_header'))
+select mode, case when mode = 'ignore_header' then 'x,y' else 'key,priority' end as header, o_orderkey::varchar as "key", o_orderpriority as priority from orders, m where mode <> 'without_header'
+union all select mode, '', o_orderkey::varchar, o_orderpriority from orders, m where mode = 'without_header'
+""")
+def csv_header_modes(spark, sf_dir):
+    """A header with the declared names, none, and one with other names that is skipped; the first line alone tells the names."""
+    o, out = table(spark, sf_dir, "orders").select(F.col("o_orderkey").cast("string").alias("key"), F.col("o_orderpriority").alias("priority")), None
+    for mode, names in ((files.FIRST_LINE, o.columns), (files.WITHOUT_HEADER, None), (files.IGNORE_HEADER, ["x", "y"])):
+        path = scratch(spark, mode)
+        (o.toDF(*names) if names else o).write.option("header", names is not None).csv(path)
+        header = ",".join(files.csv_header(spark, path)) if names else ""
+        got = files.read_csv(spark, path, o.schema, mode).select(F.lit(mode).alias("mode"), F.lit(header).alias("header"), "key", "priority")
+        out = got if out is None else out.unionByName(got)
+    return out
+
+
+@query("select c_custkey, c_name, c_nationkey::varchar as c_nationkey, c_mktsegment from customer")
+def sensitive_fields_as_text(spark, sf_dir):
+    """Sensitive leaves inside a struct are found by their metadata and read as text."""
+    mark = {"sensitive": True}
+    person = F.struct(F.col("c_name").alias("name", metadata=mark), F.col("c_nationkey").alias("nation", metadata=mark), F.col("c_mktsegment").alias("segment"))
+    c = table(spark, sf_dir, "customer").select("c_custkey", person.alias("person"))
+    assert sensitive_columns(c.schema) == ["person.name", "person.nation"]
+    text = c.select("c_custkey", F.from_json(F.to_json("person"), sensitive_as_string(c.schema["person"].dataType)).alias("person"))
+    return text.select("c_custkey", F.col("person.name").alias("c_name"), F.col("person.nation").alias("c_nationkey"), F.col("person.segment").alias("c_mktsegment"))
+
+
+@query("select o_orderkey, o_custkey, o_totalprice, o_orderstatus from orders")
+def spec_from_catalog(spark, sf_dir):
+    """Column specs from the type names of a database's catalog, applied to the rows as text."""
+    o = table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey", "o_totalprice", "o_orderstatus")
+    names = {"bigint": "BIGINT", "int": "INTEGER", "double": "DOUBLE", "string": "VARCHAR(20)"}
+    spec = from_jdbc_columns([(name, names[kind], None, None) for name, kind in o.dtypes], keys=("o_orderkey",))
+    return cast_split(o.select(*(F.col(c).cast("string").alias(c) for c in o.columns)), spec).valid

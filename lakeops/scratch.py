@@ -9,12 +9,23 @@ from pyspark.sql import SparkSession
 
 
 def scratch(spark: SparkSession, name: str) -> str:
-    """A new path under ``spark.checkpoint.dir``, the folder that all executors share; a temporary folder only where that is unset."""
+    """A new path under ``spark.checkpoint.dir``, the folder that all executors share; a temporary folder only where that is unset under a local master.
+    What is written there goes when the driver ends."""
     base = spark.conf.get("spark.checkpoint.dir", None)
     if not base:
+        if not spark.sparkContext.master.startswith("local"):
+            raise ValueError("spark.checkpoint.dir must name a folder that driver and executors share")
         base = tempfile.mkdtemp(prefix="lakeops-")
         spark.conf.set("spark.checkpoint.dir", base)
-    return f"{base}/{name}-{uuid.uuid4().hex}"
+    path = f"{base}/{name}-{uuid.uuid4().hex}"
+    files, place = _file_system(spark, path)
+    files.deleteOnExit(place)
+    return path
+
+
+def beside(path: str) -> str:
+    """A place on the file system of a table for its next version."""
+    return f"{path.rstrip('/')}_new-{uuid.uuid4().hex}"
 
 
 def _file_system(spark: SparkSession, path: str):
@@ -34,14 +45,27 @@ def delete(spark: SparkSession, path: str) -> None:
 
 
 def swap(spark: SparkSession, staged: str, path: str) -> None:
-    """Puts a finished table in the place of an old one, which goes after the new one is there."""
+    """Puts a finished table in the place of an old one, which goes only after the new one is there; if that fails, the old one is put back.
+    Between the two renames readers find no table: folders have no atomic exchange."""
     files, new = _file_system(spark, staged)
-    _, old = _file_system(spark, path)
-    _, aside = _file_system(spark, f"{path}_old-{uuid.uuid4().hex}")
-    if files.exists(old):
-        files.rename(old, aside)
-    files.rename(new, old)
-    if files.exists(aside):
+    others, old = _file_system(spark, path)
+    _, aside = _file_system(spark, f"{path.rstrip('/')}_old-{uuid.uuid4().hex}")
+    if files.getUri() != others.getUri():
+        raise ValueError(f"{staged} and {path} are on different file systems")
+    if not files.exists(new):
+        raise ValueError(f"there is no table at {staged}")
+    replaced = files.exists(old)
+    if replaced and not files.rename(old, aside):
+        raise OSError(f"{path} could not be moved aside")
+    try:
+        done = files.rename(new, old)
+    except Exception:
+        done = False
+    if not done:
+        if replaced and not files.rename(aside, old):
+            raise OSError(f"{staged} could not be moved to {path}; the old table is at {aside}")
+        raise OSError(f"{staged} could not be moved to {path}; the old table is in its place")
+    if replaced:
         files.delete(aside, True)
 
 

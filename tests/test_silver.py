@@ -123,3 +123,45 @@ def test_delete_where_keeps_unknown_rows(spark, tmp_path):
     spark.createDataFrame([(1,), (2,), (None,)], "a int").write.parquet(path)
     delete_where(spark, path, "a = 1")
     assert {r.a for r in spark.read.parquet(path).collect()} == {2, None}
+
+
+def test_a_swap_that_fails_leaves_the_old_table(spark, tmp_path, monkeypatch):
+    from lakeops import scratch
+
+    path = str(tmp_path / "table")
+    spark.range(3).write.parquet(path)
+    with pytest.raises(ValueError):
+        scratch.swap(spark, str(tmp_path / "nothing"), path)
+    assert spark.read.parquet(path).count() == 3
+    spark.range(5).write.parquet(str(tmp_path / "new"))
+    real = scratch._file_system
+
+    class Failing:
+        """A file system that can't rename the new table."""
+
+        def __init__(self, files):
+            self.files = files
+
+        def __getattr__(self, name):
+            return getattr(self.files, name)
+
+        def rename(self, a, b):
+            return False if a.getName() == "new" else self.files.rename(a, b)
+
+    monkeypatch.setattr(scratch, "_file_system", lambda spark, path: (Failing(real(spark, path)[0]), real(spark, path)[1]))
+    with pytest.raises(OSError, match="old table is in its place"):
+        scratch.swap(spark, str(tmp_path / "new"), path)
+    monkeypatch.undo()
+    assert spark.read.parquet(path).count() == 3
+    scratch.swap(spark, str(tmp_path / "new"), path)
+    assert spark.read.parquet(path).count() == 5
+
+
+def test_a_snapshot_that_fails_leaves_the_old_table(spark, tmp_path):
+    path = str(tmp_path / "snapshot")
+    silver.full_snapshot(spark.range(3), path)
+    with pytest.raises(Exception):
+        silver.full_snapshot(spark.range(5).selectExpr("raise_error('no') as id"), path)
+    assert spark.read.parquet(path).count() == 3
+    silver.full_snapshot(spark.read.parquet(path).where("id > 0"), path)  # a table may be made from itself
+    assert spark.read.parquet(path).count() == 2

@@ -3,6 +3,7 @@ import io
 import zipfile
 
 import pytest
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from lakeops.functions import privacy
@@ -136,9 +137,17 @@ def test_privacy(spark):
     assert sorted((r.x, r.s) for r in privacy.rejoin(split, ["s"], "master").collect()) == [("a", "secret"), ("ab", None)]
     with pytest.raises(Exception):
         privacy.rejoin(split, ["s"], "wrong key").collect()
+    history = spark.createDataFrame([(1, "old"), (1, "new"), (1, "new"), (2, None)], "k int, s string")
+    split = privacy.split_sensitive(history, ["k"], ["s"], None, "salt", "data key", "master")
+    assert sorted((r.k, r.s or "") for r in privacy.rejoin(split, ["s"], "master").collect()) == [(1, "new"), (1, "new"), (1, "old"), (2, "")]
+    split = privacy.split_sensitive(history, ["k"], ["s"], None, "grain of salt", "run secret", "master secret")
+    for frame in (split.main, split.sensitive, privacy.rejoin(split, ["s"], "master secret")):
+        frame.collect()
+        plan = frame._jdf.queryExecution().toString()
+        assert not any(word in plan for word in ("grain of salt", "run secret", "master secret"))
     assert df.select(privacy.mask("s").alias("m")).distinct().count() == 1
     same = spark.createDataFrame([("q",), ("q",)], "a string")
-    assert same.select(privacy.encrypt("a", "k").alias("e")).distinct().count() == 2
+    assert same.select(privacy.encrypt("a", F.lit("k")).alias("e")).distinct().count() == 2
 
 
 def test_jdbc_queries_use_the_shared_database_of_the_session(spark, tmp_path):

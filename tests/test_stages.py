@@ -65,6 +65,8 @@ def test_monthly_converter_gives_the_missing_months(spark):
     assert [r.d for r in got.collect()] == [dt.date(2020, 7, 15), dt.date(2020, 8, 25), dt.date(2020, 9, 25)]
     on = spark.createDataFrame([(1, dt.date(2020, 2, 1)), (1, dt.date(2020, 4, 1))], "id int, d date")
     assert timeseries.monthly_converter(on, "id", "d", "bi-monthly").count() == 4
+    odd = spark.createDataFrame([(1, dt.date(2020, m, 10)) for m in (1, 3, 6)], "id int, d date")
+    assert [r.d.month for r in timeseries.monthly_converter(odd, "id", "d", "bi-monthly").collect()] == [2, 3, 4, 5, 6]
 
 
 @pytest.mark.parametrize("ranges", [1, 3, 7])
