@@ -168,7 +168,8 @@ def register(spark: SparkSession, database: str, table: str, path: str, create_d
     name = f"`{database}`.`{table}`"
     if refresh and spark.catalog.tableExists(f"{database}.{table}") and set(spark.table(name).columns) != set(read(spark, path).columns):
         spark.sql(f"DROP TABLE {name}")
-    spark.sql(f"CREATE TABLE IF NOT EXISTS {name} USING parquet LOCATION '{path}'")
+    # files of different ages have different columns: without merging, one of them would give the schema
+    spark.sql(f"CREATE TABLE IF NOT EXISTS {name} USING parquet OPTIONS (mergeSchema 'true') LOCATION '{path}'")
     if refresh:
         parts = [c.name for c in spark.catalog.listColumns(f"{database}.{table}") if c.isPartition]
         if parts:
