@@ -30,7 +30,9 @@ def structural_split(df: DataFrame, corrupt: str = CORRUPT) -> Structure:
     """Rows that the reader could take apart, and the raw text of those it could not."""
     if corrupt not in df.columns:
         return Structure(df, df.select(F.lit(None).cast("string").alias(corrupt)).where(F.lit(False)))
-    return Structure(df.where(F.col(corrupt).isNull()).drop(corrupt), df.where(is_wrong(df, corrupt)).select(corrupt))
+    # both sides look at all columns: a reader that is asked for some takes only those apart, and misses rows that are wrong elsewhere
+    wrong = is_wrong(df, corrupt)
+    return Structure(df.where(~wrong).drop(corrupt), df.where(wrong).select(corrupt))
 
 
 def under_threshold(bad: Column, total: Column, threshold: float, kind: str) -> Column:
