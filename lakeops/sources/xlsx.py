@@ -1,18 +1,21 @@
-"""Excel workbooks as a Spark data source: one partition a workbook, all cells as strings."""
+"""Excel workbooks: Spark reads the files, tasks take the sheets apart, all cells are strings."""
 
 from __future__ import annotations
 
-import glob
 import io
 import re
 import zipfile
 from collections.abc import Iterator
+from html import escape
+from itertools import islice
 from xml.etree import ElementTree
 
+import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql.datasource import DataSource, DataSourceReader, InputPartition
 from pyspark.sql.types import StringType, StructField, StructType
 
+from lakeops.operators.validate import CORRUPT
+
 _MAIN = "{http://schemas.openxmlformats.org/spreadsheetml/2006/main}"
 _REL = "{http://schemas.openxmlformats.org/officeDocument/2006/relationships}"
 
@@ -51,47 +54,55 @@ def _sheet_rows(data: bytes, sheet: str | None, area: str | None) -> Iterator[li
             yield [cells.get(i) for i in range(first, end + 1)]
 
 
-class _Book(InputPartition):
-    def __init__(self, path: str):
-        self.path = path
-
-
-class _Reader(DataSourceReader):
-    def __init__(self, options: dict, schema: StructType):
-        self.options, self.schema = options, schema
-
-    def partitions(self):
-        return [_Book(p) for p in sorted(glob.glob(self.options["path"]) or [self.options["path"]])]
-
-    def read(self, partition: _Book):
-        with open(partition.path, "rb") as f:
-            rows = _sheet_rows(f.read(), self.options.get("sheet"), self.options.get("range"))
-            for i, row in enumerate(rows):
-                if i or self.options.get("header", "first_line") == "without_header":
-                    yield tuple((row + [None] * len(self.schema))[: len(self.schema)])
-
+def workbook_rows(books: DataFrame, content: str, schema: StructType, sheet: str | None = None, area: str | None = None, header_mode: str = "first_line") -> DataFrame:
+    """The rows of a sheet of every workbook in the binary column ``content``, under the names of ``schema``, as strings; null workbooks have none.
 
-class XlsxDataSource(DataSource):
-    """Options: path (a file or a glob that all executors see), sheet, range ("A2:D9" or "B3"), header (first_line, without_header, ignore_header)."""
+    A ``_corrupt_record`` in the schema takes the cells of rows that are wider than the other columns; without it further cells are dropped."""
+    names, skip = [n for n in schema.names if n != CORRUPT], header_mode != "without_header"
+    keeps = CORRUPT in schema.names
 
-    @classmethod
-    def name(cls) -> str:
-        return "lakeops_xlsx"
+    def rows(data: bytes) -> Iterator[tuple]:
+        for i, row in enumerate(_sheet_rows(data, sheet, area)):
+            if i or not skip:
+                text = ",".join(v or "" for v in row) if len(row) > len(names) else None
+                yield (*(row + [None] * len(names))[: len(names)], *([text] if keeps else []))
 
-    def schema(self) -> StructType:
-        path = sorted(glob.glob(self.options["path"]) or [self.options["path"]])[0]
-        with open(path, "rb") as f:
-            head = next(_sheet_rows(f.read(), self.options.get("sheet"), self.options.get("range")), [])
-        named = self.options.get("header", "first_line") == "first_line"
-        return StructType([StructField(v if named and v else f"_c{i}", StringType()) for i, v in enumerate(head)])
+    def take(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for frame in frames:
+            for data in frame[content].dropna():
+                found = rows(data)
+                while part := list(islice(found, 10_000)):
+                    yield pd.DataFrame(part, columns=[*names, *([CORRUPT] if keeps else [])], dtype=object)
 
-    def reader(self, schema: StructType) -> DataSourceReader:
-        return _Reader(dict(self.options), schema)
+    fields = StructType([StructField(n, StringType()) for n in [*names, *([CORRUPT] if keeps else [])]])
+    return books.select(content).mapInPandas(take, fields)
 
 
 def read_xlsx(spark: SparkSession, path: str, sheet: str | None = None, area: str | None = None, header_mode: str = "first_line", schema: StructType | None = None) -> DataFrame:
-    spark.dataSource.register(XlsxDataSource)
-    reader = spark.read.format("lakeops_xlsx").option("path", path).option("header", header_mode)
-    for key, value in (("sheet", sheet), ("range", area)):
-        reader = reader.option(key, value) if value else reader
-    return (reader.schema(schema) if schema else reader).load()
+    """A sheet of every workbook of a path, a folder or a glob on any file system that Spark reads. ``area`` is "A2:D9" or "B3"; the header mode first_line, without_header or ignore_header.
+    Without a schema the first row of one workbook tells the names (first_line) or the number of columns."""
+    books = spark.read.format("binaryFile").load(path).select("content")
+    if schema is None:
+        def first_row(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+            for frame in frames:
+                for data in frame["content"]:
+                    yield pd.DataFrame({"head": [next(_sheet_rows(data, sheet, area), [])]})
+
+        row = books.limit(1).mapInPandas(first_row, "head array<string>").first()
+        head = row["head"] if row else []
+        schema = StructType([StructField(v if header_mode == "first_line" and v else f"_c{i}", StringType()) for i, v in enumerate(head)])
+    return workbook_rows(books, "content", schema, sheet, area, header_mode)
+
+
+def workbook(rows: pd.DataFrame) -> bytes:
+    """A workbook with the sheets Notes (empty) and Data, whose header stands in row 2 from column B on."""
+    lines = [[*rows.columns], *rows.itertuples(index=False)]
+    cells = ("".join(f'<c r="{letter}{i}" t="inlineStr"><is><t xml:space="preserve">{escape(str(v))}</t></is></c>' for letter, v in zip("BCDEFG", line, strict=False)) for i, line in enumerate(lines, 2))
+    data = "".join(f'<row r="{i}">{c}</row>' for i, c in enumerate(cells, 2))
+    out = io.BytesIO()
+    with zipfile.ZipFile(out, "w", zipfile.ZIP_DEFLATED) as z:
+        z.writestr("xl/workbook.xml", f'<workbook xmlns="{_MAIN[1:-1]}" xmlns:r="{_REL[1:-1]}"><sheets><sheet name="Notes" sheetId="1" r:id="r1"/><sheet name="Data" sheetId="2" r:id="r2"/></sheets></workbook>')
+        z.writestr("xl/_rels/workbook.xml.rels", '<Relationships><Relationship Id="r1" Target="worksheets/sheet1.xml"/><Relationship Id="r2" Target="worksheets/sheet2.xml"/></Relationships>')
+        z.writestr("xl/worksheets/sheet1.xml", f'<worksheet xmlns="{_MAIN[1:-1]}"><sheetData/></worksheet>')
+        z.writestr("xl/worksheets/sheet2.xml", f'<worksheet xmlns="{_MAIN[1:-1]}"><sheetData>{data}</sheetData></worksheet>')
+    return out.getvalue()

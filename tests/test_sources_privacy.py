@@ -61,6 +61,10 @@ def test_workbooks(spark, tmp_path):
     assert got.columns == ["name", "n"] and sorted(map(tuple, got.collect()), key=str) == sorted([("Alicante", "7"), (None, "8")] * 2, key=str)
     part = xlsx.read_xlsx(spark, str(tmp_path / "b1.xlsx"), "One", "B2:B3", "without_header")
     assert part.columns == ["_c0"] and [r[0] for r in part.collect()] == ["7", "8"]
+    narrow = T.StructType([T.StructField(n, T.StringType()) for n in ("name", CORRUPT)])
+    assert sorted(map(tuple, xlsx.read_xlsx(spark, str(tmp_path / "b1.xlsx"), schema=narrow).collect()), key=str) == [("Alicante", "Alicante,7"), (None, ",8")]
+    none = spark.createDataFrame([(None,)], "content binary")
+    assert xlsx.workbook_rows(none, "content", narrow).count() == 0
 
 
 def test_jdbc_texts_and_watermarks(spark):
