@@ -21,6 +21,7 @@ def test_csv_header_modes_and_rows_of_the_wrong_width(spark, tmp_path):
     path.write_text("name,country,geonameid\nTomelloso,Spain,1\nshort,Spain\nlong,Spain,2,more\n", "utf-8")
     split = structural_split(files.read_csv(spark, str(path), CITY))
     assert split.valid.collect() == [("Tomelloso", "Spain", "1")] and {r[0] for r in split.wrong.collect()} == {"short,Spain", "long,Spain,2,more"}
+    assert [r[0] for r in split.valid.select("name").collect()] == ["Tomelloso"] and split.valid.count() == 1  # whatever columns are asked for
     assert files.csv_header(spark, str(path)) == ["name", "country", "geonameid"]
     assert files.read_csv(spark, str(path), CITY, files.WITHOUT_HEADER).count() == 4 and files.read_csv(spark, str(path), CITY, files.IGNORE_HEADER).count() == 3
     with pytest.raises(ValueError):
