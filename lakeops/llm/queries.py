@@ -12,6 +12,7 @@ from lakeops.llm.bpe import encode_documents
 from lakeops.llm.html_extract import extract_main_text
 from lakeops.llm.language_id import language_predictions
 from lakeops.llm.near_dedup import near_duplicate_classes
+from lakeops.llm.packing import pack_documents
 from lakeops.llm.quality import quality_verdicts
 from lakeops.llm.storage import table
 from lakeops.llm.substring_dedup import remove_repeated_windows
@@ -96,6 +97,11 @@ def op6_toxicity_neighbours(spark, sf_dir):
     return toxicity_scores(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
+@query
+def op11_best_fit_packing(spark, sf_dir):
+    return pack_documents(table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"))
+
+
 @query
 def op2_html_main_text(spark, sf_dir):
     return extract_main_text(table(spark, sf_dir, "pages"))
