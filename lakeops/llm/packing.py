@@ -400,7 +400,7 @@ def pack_documents(docs: DataFrame, path: str, capacity: int = CAPACITY, end: in
     counts = {r["length"]: r["n"] for r in tasks.groupBy("length").agg(F.sum("n").alias("n")).collect()}  # at most ``capacity`` rows
     before = Window.partitionBy("length").orderBy("task").rowsBetween(Window.unboundedPreceding, -1)
     begins = tasks.select("task", "length", F.coalesce(F.sum("n").over(before), F.lit(0)).alias("begin"))
-    numbered = pieces.join(begins, ["task", "length"]).select("doc_id", "piece", "start", "length", "ids_crc32", *(["ids"] if ids else []), (F.col("number") + F.col("begin")).alias("number"))
+    numbered = pieces.join(begins.hint("merge"), ["task", "length"]).select("doc_id", "piece", "start", "length", "ids_crc32", *(["ids"] if ids else []), (F.col("number") + F.col("begin")).alias("number"))
     schema = f"doc_id {kind}, piece int, start long, length long, ids_crc32 long{more}, sequence_id long, offset long"
     return numbered.mapInArrow(_places(best_fit_decreasing(counts, capacity)), schema)
 

@@ -6,8 +6,9 @@ from collections.abc import Callable
 
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from lakeops.llm import gif, mixing, url_filter
+from lakeops.llm import gif, hard_negatives, importance, mixing, url_filter
 from lakeops.llm.bpe import encode_documents
 from lakeops.llm.html_extract import extract_main_text
 from lakeops.llm.language_id import language_predictions
@@ -102,6 +103,24 @@ def op11_best_fit_packing(spark, sf_dir):
     return pack_documents(table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"))
 
 
+@query
+def op12_importance_resampling(spark, sf_dir):
+    return importance.resample(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+SQL["op12_importance_resampling"] = importance.SQL
+
+
+@query
+def op13_hard_negatives(spark, sf_dir):
+    rows = hard_negatives.usable(table(spark, sf_dir, "embeddings"), "embedding", 256)
+    rows = rows.withColumn("label", F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label")))
+    return hard_negatives.mine(rows, F.col("vec_id") % 100 == 0)
+
+
+SQL["op13_hard_negatives"] = hard_negatives.SQL
+
+
 @query
 def op2_html_main_text(spark, sf_dir):
     return extract_main_text(table(spark, sf_dir, "pages"))
