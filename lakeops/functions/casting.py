@@ -1,15 +1,21 @@
 """Typed casts of text columns that keep good and bad rows apart, in one pass.
 
 Everything goes through ``try_`` functions: a value that can't be cast is null and its column is listed in ``bad_columns``; ANSI mode stays as it is.
+
+Structs and arrays come as JSON text. Each level is parsed with text leaves, and every leaf is then cast like a column of its own (patterns and
+transforms included), so that nothing is lost in the parser: what fails is listed by its path, ``st.a`` for a field, ``st[]`` for elements, ``st[].b`` for a
+field of elements. A container that is no JSON, or JSON of another shape, fails by its own path. Absent fields and JSON nulls are null and don't fail;
+a container inside a JSON string is read like one outside.
 """
 
 from __future__ import annotations
 
-from functools import reduce
+from dataclasses import replace
 from typing import NamedTuple
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from lakeops.functions.catalog import CATALOG, function
 from lakeops.schema import SIMPLE, type_of
@@ -37,10 +43,49 @@ def normalize(text: Column, transform: str | None) -> Column:
     return text
 
 
-def _modern(text: Column, pattern: str, old: str) -> Column:
-    """Years that match ``old`` become 1900, at the place of the year in the pattern only."""
+def _modern(text: Column, pattern: str, before: int, least: int = 0) -> Column:
+    """Years from ``least`` up to ``before``, at the place of the year in the pattern only, become 1900."""
     at = pattern.find("yyyy")
-    return text if at < 0 else F.regexp_replace(text, f"^(.{{{at}}})(?:{old})", "$1" + "1900")
+    if at < 0:
+        return text
+    year = F.when(F.substring(text, at + 1, 4).rlike("^[0-9]{4}$"), F.substring(text, at + 1, 4).cast("int"))
+    return F.when((year >= least) & (year < before), F.overlay(text, F.lit("1900"), at + 1, 4)).otherwise(text)
+
+
+def nested(text: Column, column: ColumnSpec, columns: tuple[ColumnSpec, ...]) -> tuple[Column, Column]:
+    """The value of a struct or array in JSON text, and the paths of what can't be cast."""
+    text = F.trim(text)
+    # parsers stop after the first value; inside brackets and braces what follows it shows
+    whole = F.coalesce(F.json_array_length(F.concat(F.lit("["), text, F.lit("]"))) == 1, F.lit(False)) & F.try_parse_json(F.concat(F.lit('{"v":'), text, F.lit("}"))).isNotNull()
+    return _nested(text, column, column.type, columns, column.name, whole)
+
+
+def _nested(text: Column, column: ColumnSpec, kind: str, columns: tuple[ColumnSpec, ...], path: str, readable: Column) -> tuple[Column, Column]:
+    none = F.array().cast("array<string>")
+    inner = [c for c in columns if c.parent == column.name]
+    if kind == STRUCT:
+        parsed = F.from_json(text, T.StructType([T.StructField(c.name, T.StringType()) for c in inner]))
+        ok = readable & text.startswith("{") & parsed.isNotNull()
+        fields = [_value(parsed[c.name], c, c.type, columns, f"{path}.{c.name}") for c in inner]
+        value = F.struct(*(v.alias(c.name) for c, (v, _) in zip(inner, fields, strict=True)))
+        failed = F.concat(none, *(f for _, f in fields))
+    else:
+        parsed = F.from_json(text, T.ArrayType(T.StringType()))
+        ok = readable & text.startswith("[") & parsed.isNotNull()
+        # an array of arrays names its inner array as the only child
+        of, element = (inner[0], ARRAY) if column.element == ARRAY else (column, column.element or STRING)
+        value = F.transform(parsed, lambda x: _value(x, of, element, columns, f"{path}[]")[0])
+        failed = F.array_distinct(F.flatten(F.transform(parsed, lambda x: _value(x, of, element, columns, f"{path}[]")[1])))
+    return F.when(ok, value), F.when(text.isNull(), none).when(ok, failed).otherwise(F.array(F.lit(path)))
+
+
+def _value(text: Column, column: ColumnSpec, kind: str, columns: tuple[ColumnSpec, ...], path: str) -> tuple[Column, Column]:
+    """A field or element: its value and the paths that fail."""
+    if kind in (ARRAY, STRUCT):
+        return _nested(F.trim(text), column, kind, columns, path, F.lit(True))
+    value = cast_column(replace(column, type=kind), columns, text)
+    failed = text.isNotNull() & value.isNull() if kind != STRING else F.lit(False)
+    return value, F.when(failed, F.array(F.lit(path))).otherwise(F.array().cast("array<string>"))
 
 
 def cast_column(column: ColumnSpec, columns: tuple[ColumnSpec, ...] = (), text: Column | None = None) -> Column:
@@ -55,11 +100,11 @@ def cast_column(column: ColumnSpec, columns: tuple[ColumnSpec, ...] = (), text:
         pattern = column.pattern or (DATE_PATTERN if column.type == DATE else DATETIME_PATTERN)
         if column.lenient:
             text = F.substring(text, 1, len(pattern.replace("'", "")))
-        text = _modern(text, pattern, "0001" if column.type == DATE else "0[0-9]{3}|1[0-8][0-9]{2}")
+        text = _modern(text, pattern, 2, 1) if column.type == DATE else _modern(text, pattern, 1900)
         moment = F.try_to_timestamp(text, F.lit(pattern))
         return moment.cast("date") if column.type == DATE else moment
     if column.type in (ARRAY, STRUCT):
-        return F.from_json(text, type_of(column, columns))
+        return nested(text, column, columns)[0]
     kind = type_of(column) if column.type == DECIMAL else SIMPLE[column.type]
     return text.try_cast(kind)
 
@@ -71,11 +116,24 @@ def cast_split(df: DataFrame, columns: tuple[ColumnSpec, ...], typed: bool = Fal
         return Split(flagged, df, flagged.where(F.lit(False)))
     top = [c for c in columns if c.parent is None]
     names = {c.name for c in top}
-    cast = {c.name: cast_column(c, columns) for c in top}
     raw = [F.col(f"`{n}`") for n in df.columns if n not in names]
-    wrong = {c.name: F.col(f"`{c.name}`").isNotNull() & cast[c.name].isNull() for c in top if c.type != STRING}
-    values = [*(cast[c.name].alias(c.name) for c in top), *raw]
-    # array_remove, unlike a lambda, stays inside generated code; the filters test the flags themselves
-    bad = F.array_remove(F.array(F.lit(""), *(F.when(w, F.lit(n)).otherwise("") for n, w in wrong.items())), "").alias(BAD)
-    failed = reduce(lambda a, b: a | b, wrong.values(), F.lit(False))
-    return Split(df.select(*values, bad), df.where(~failed).select(*values), df.where(failed).select(*values, bad))
+    values, marks, simple, deep = [], [], [], []
+    for i, c in enumerate(top):
+        text, mark = F.col(f"`{c.name}`"), f"_mark_{i}"
+        if c.type in (ARRAY, STRUCT):
+            value, failed = nested(text, c, columns)
+            marks.append(failed.alias(mark))
+            deep.append(F.col(mark))
+        else:
+            value = cast_column(c, columns)
+            if c.type != STRING:
+                marks.append(text.isNotNull().alias(mark))
+                simple.append(F.when(F.col(mark) & text.isNull(), F.lit(c.name)).otherwise(""))
+        values.append(value.alias(c.name))
+    # the rows come out of a generator: flags and filters on them would go below a select and cast everything again
+    cast = df.select(F.inline(F.array(F.struct(*values, *raw, *marks))))
+    # array_remove, unlike a lambda, stays inside generated code
+    bad = F.array_remove(F.array(F.lit(""), *simple), "")
+    bad = (F.concat(bad, *deep) if deep else bad).alias(BAD)
+    flagged = cast.select(*(F.col(f"`{c.name}`") for c in top), *raw, bad)
+    return Split(flagged, flagged.where(F.size(BAD) == 0).drop(BAD), flagged.where(F.size(BAD) > 0))

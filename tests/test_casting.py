@@ -51,3 +51,51 @@ def test_typed_sources_are_left_alone(spark):
     df = spark.createDataFrame([(1, "x")], "a int, b string")
     split = cast_split(df, (ColumnSpec("a", "string"),), typed=True)
     assert split.valid.collect() == df.collect() and split.invalid.count() == 0
+
+
+NESTED = [
+    ColumnSpec("id", "long"), ColumnSpec("st", "struct"), ColumnSpec("a", "integer", parent="st"), ColumnSpec("b", parent="st"), ColumnSpec("at", "date", pattern="yyyy-MM-dd", parent="st"),
+    ColumnSpec("deep", "array", element="struct", parent="st"), ColumnSpec("x", "double", transform="comma", parent="deep"), ColumnSpec("list", "array", element="integer"),
+    ColumnSpec("grid", "array", element="array"), ColumnSpec("line", "array", element="long", parent="grid"),
+]
+
+
+@pytest.mark.parametrize(
+    "st,numbers,grid,bad",
+    [
+        ('{"a": 1, "b": "y", "at": "2020-02-01", "deep": [{"x": "1.234,5"}, {}]}', "[1, 2]", "[[1], [], null, [2, 3]]", []),
+        (None, None, None, []),
+        ("{}", "[]", "[]", []),
+        ('{"a": null, "b": null, "deep": null}', "[null]", "[null]", []),
+        ('{"a": "bad", "b": "y"}', None, None, ["st.a"]),
+        (None, '[1, "q"]', None, ["list[]"]),
+        ('{"a": 1', "[1", "1]", ["st", "list", "grid"]),
+        ('[{"a": 1}]', '{"a": 1}', "[[1], 2]", ["st", "list", "grid[]"]),
+        ('{"a": 1.5, "at": "2020-02-31", "deep": [{"x": "q"}, {"x": "r"}, 7]}', "[3000000000]", '[["x"], [1.5]]', ["st.a", "st.at", "st.deep[].x", "st.deep[]", "list[]", "grid[][]"]),
+        ('{"a": {"q": 1}, "deep": {"x": 1}}', "7", '"[[1]]"', ["st.a", "st.deep", "list", "grid"]),
+        ('{"a": 1} trailing', "[1], [2]", "", ["st", "list", "grid"]),
+        ('{"a": 1}}', "[1]]", "[[1]]}", ["st", "list", "grid"]),
+        ('{"a": 1}]', '[1], "w": 2', "[[1]],", ["st", "list", "grid"]),
+        (' {"b": " padded \\" quote", "deep": [{"x": 5}]} ', " [ 1 ] ", " [[1]] ", []),
+    ],
+)
+def test_nested_values_fail_by_path(spark, st, numbers, grid, bad):
+    df = spark.createDataFrame([("1", st, numbers, grid)], "id string, st string, list string, grid string")
+    split = cast_split(df, tuple(NESTED))
+    row = split.flagged.first()
+    assert row[BAD] == bad
+    assert (split.valid.count(), split.invalid.count()) == ((0, 1) if bad else (1, 0))
+    assert dict(split.valid.dtypes)["st"] == "struct<a:int,b:string,at:date,deep:array<struct<x:double>>>" and dict(split.valid.dtypes)["grid"] == "array<array<bigint>>"
+
+
+def test_nested_values(spark):
+    df = spark.createDataFrame([("1", '{"a": 1, "b": " y ", "at": "2020-02-01", "deep": [{"x": "1.234,5"}, {}, null]}', '[1, null, "3"]', "[[1], [], null]")], "id string, st string, list string, grid string")
+    row = cast_split(df, tuple(NESTED)).valid.first()
+    assert row.st.asDict(True) == {"a": 1, "b": "y", "at": dt.date(2020, 2, 1), "deep": [{"x": 1234.5}, {"x": None}, None]}
+    assert (row.list, row.grid) == ([1, None, 3], [[1], [], None])
+
+
+def test_casts_are_evaluated_once(spark):
+    df = spark.createDataFrame([("1", "x")], "a string, b string")
+    plan = cast_split(df, (ColumnSpec("a", "decimal", precision=7, scale=3),)).valid._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.lower().count("as decimal(7,3)") == 1, plan
