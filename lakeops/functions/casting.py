@@ -43,13 +43,14 @@ def normalize(text: Column, transform: str | None) -> Column:
     return text
 
 
-def _modern(text: Column, pattern: str, before: int, least: int = 0) -> Column:
-    """Years from ``least`` up to ``before``, at the place of the year in the pattern only, become 1900."""
+def _modern(text: Column, pattern: str, kind: str) -> Column:
+    """Years before 1900 of moments, and the year 0001 of dates, become 1900, at the place of the year in the pattern only."""
     at = pattern.find("yyyy")
     if at < 0:
         return text
-    year = F.when(F.substring(text, at + 1, 4).rlike("^[0-9]{4}$"), F.substring(text, at + 1, 4).cast("int"))
-    return F.when((year >= least) & (year < before), F.overlay(text, F.lit("1900"), at + 1, 4)).otherwise(text)
+    year = F.substring(text, at + 1, 4)
+    old = year == "0001" if kind == DATE else (year < "1900") & year.rlike("^[0-9]{4}$")
+    return F.when(old, F.overlay(text, F.lit("1900"), at + 1, 4)).otherwise(text)
 
 
 def nested(text: Column, column: ColumnSpec, columns: tuple[ColumnSpec, ...]) -> tuple[Column, Column]:
@@ -100,7 +101,7 @@ def cast_column(column: ColumnSpec, columns: tuple[ColumnSpec, ...] = (), text:
         pattern = column.pattern or (DATE_PATTERN if column.type == DATE else DATETIME_PATTERN)
         if column.lenient:
             text = F.substring(text, 1, len(pattern.replace("'", "")))
-        text = _modern(text, pattern, 2, 1) if column.type == DATE else _modern(text, pattern, 1900)
+        text = _modern(text, pattern, column.type)
         moment = F.try_to_timestamp(text, F.lit(pattern))
         return moment.cast("date") if column.type == DATE else moment
     if column.type in (ARRAY, STRUCT):
