@@ -7,8 +7,9 @@ takes the bytes off the canvases as they are shown.
 
 The widths of the LZW codes after a clear code depend on their number alone, so a whole run of codes is cut out of the bits at once.
 
-Rows: one per input row in ``payload_digests``; a null text is an empty payload, padded to one block of zeros. In ``gif_frames`` null
-or broken files, and files that ask for more than ``MOST_PIXELS`` pixels a canvas or in all frames together, give one row with null frame columns and the error.
+Rows: one per input row in ``payload_digests``; a null text is an empty payload, padded to one block of zeros, and a payload may have any length. In ``gif_frames`` null
+or broken files, files that ask for more than ``MOST_PIXELS`` pixels a canvas or in all frames together, and those that would show more than ``MOST_SHOWN`` pixels on all
+canvases together give one row with null frame columns and the error; frames leave the task as they are drawn, about ``_SHOWN_BYTES`` at a time.
 """
 
 from __future__ import annotations
@@ -36,6 +37,9 @@ DELAY = 10  # hundredths of a second
 COLOURS = np.array([(i >> 5 << 5, (i >> 2 & 7) << 5, (i & 3) << 6) for i in range(256)], np.uint8)
 #: Pixels of a canvas, and of all frames of a file, that are decoded.
 MOST_PIXELS = 1 << 26
+#: Pixels of all canvases of a file together.
+MOST_SHOWN = 1 << 28
+_SHOWN_BYTES = 16 << 20
 _LAST = 4095
 
 
@@ -190,13 +194,14 @@ def _blocks(parts: bytes, at: int) -> tuple[bytes, int]:
     return b"".join(got), at + 1
 
 
-def decode_gif(data: bytes) -> Gif:
-    """The structure of a file with the colour indexes of all frames, interlaced ones put in order; ValueError if it is broken."""
+def decode_gif(data: bytes, most_pixels: int | None = MOST_PIXELS) -> Gif:
+    """The structure of a file with the colour indexes of all frames, interlaced ones put in order; ValueError if it is broken, or larger than a stranger's file may be
+    (``most_pixels``; None: no bound, for files of our own)."""
     try:
         if data[:6] not in (b"GIF87a", b"GIF89a"):
             raise ValueError("no GIF signature")
         width, height, packed, background, _ = struct.unpack_from("<HHBBB", data, 6)
-        if width * height > MOST_PIXELS:
+        if most_pixels is not None and width * height > most_pixels:
             raise ValueError(f"a canvas of {width} x {height} pixels")
         at, palette = 13, None
         if packed & 0x80:
@@ -204,7 +209,7 @@ def decode_gif(data: bytes) -> Gif:
             palette = np.frombuffer(data, np.uint8, 3 * n, at).reshape(n, 3)
             at += 3 * n
         gif = Gif(width, height, background, palette, [])
-        delay, disposal, transparent, pixels_left = 0, 0, None, MOST_PIXELS
+        delay, disposal, transparent, pixels = 0, 0, None, 0
         while True:
             kind = data[at]
             if kind == 0x3B:
@@ -226,13 +231,15 @@ def decode_gif(data: bytes) -> Gif:
                 at += 3 * n
             if own is None:
                 raise ValueError("a frame without a palette")
-            pixels_left -= w * h
-            if pixels_left < 0:
-                raise ValueError(f"frames of more than {MOST_PIXELS} pixels")
+            pixels += w * h
+            if most_pixels is not None and pixels > most_pixels:
+                raise ValueError(f"frames of more than {most_pixels} pixels")
             bits = data[at]
             stream, at = _blocks(data, at + 1)
-            pixels = lzw_decode(stream, bits, w * h)
-            indexes = np.frombuffer(pixels.ljust(w * h, b"\0"), np.uint8).reshape(h, w)
+            values = lzw_decode(stream, bits, w * h)
+            if len(values) < w * h:
+                raise ValueError(f"a code stream of {len(values)} pixels for a frame of {w} x {h}")
+            indexes = np.frombuffer(values, np.uint8).reshape(h, w)
             if packed & 0x40:
                 rows = np.concatenate([np.arange(s, h, d) for s, d in ((0, 8), (4, 8), (2, 4), (1, 2))])
                 straight = np.empty_like(indexes)
@@ -308,7 +315,7 @@ def _digests(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             for doc, text in zip(part.column(0).to_pylist(), part.column(1).to_pylist(), strict=True):
                 raw = (text or "").encode()
                 media = encode_gif(raw + bytes(-len(raw) % BLOCK if raw else BLOCK))
-                gif = decode_gif(media)
+                gif = decode_gif(media, None)
                 payload, counts = read_payload(gif)
                 colours = ",".join(map(str, np.sum(counts, axis=0).tolist()))
                 rows.append((doc, len(raw), len(payload), hashlib.sha256(payload).hexdigest(), zlib.crc32(payload[-BLOCK:]), len(media), hashlib.sha256(media).hexdigest(), colours, len(gif.frames), sum(f.delay for f in gif.frames) * 10))
@@ -325,20 +332,41 @@ def payload_digests(docs: DataFrame) -> DataFrame:
 def gif_frames(media: DataFrame, key: str, column: str) -> DataFrame:
     """One row per frame: the key, frame, start_ms, delay_ms, disposal, width, height, rgba (the canvas's pixels), histogram and error."""
 
+    names = [key, "frame", "start_ms", "delay_ms", "disposal", "width", "height", "rgba", "histogram", "error"]
+    types = [pa.int32(), pa.int64(), pa.int64(), pa.int32(), pa.int32(), pa.int32(), pa.binary(), pa.list_(pa.int64()), pa.string()]
+
+    def frames(data: bytes | None) -> Iterator[tuple]:
+        """The rows of a file. All that can be wrong with it is found before the first one."""
+        try:
+            gif = decode_gif(data or b"")
+            if len(gif.frames) * gif.width * gif.height > MOST_SHOWN:
+                raise ValueError(f"{len(gif.frames)} canvases of {gif.width} x {gif.height} pixels")
+            if not gif.frames:
+                raise ValueError("no frames")
+        except ValueError as broken:
+            yield (None,) * 8 + (str(broken),)
+            return
+        start = 0
+        for i, (f, canvas) in enumerate(zip(gif.frames, canvases(gif), strict=True)):
+            yield i, start, f.delay * 10, f.disposal, gif.width, gif.height, canvas.tobytes(), histogram(canvas), None
+            start += f.delay * 10
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for k, data in zip(batch.column(0), batch.column(1).to_pylist(), strict=True):
-                rows, start, error = [], 0, None
-                try:
-                    gif = decode_gif(data or b"")
-                    for i, (f, canvas) in enumerate(zip(gif.frames, canvases(gif), strict=True)):
-                        rows.append((i, start, f.delay * 10, f.disposal, gif.width, gif.height, canvas.tobytes(), histogram(canvas), None))
-                        start += f.delay * 10
-                except ValueError as broken:
-                    error = str(broken)
-                rows = rows if rows and error is None else [(None,) * 8 + (error,)]
-                types = [pa.int32(), pa.int64(), pa.int64(), pa.int32(), pa.int32(), pa.int32(), pa.binary(), pa.list_(pa.int64()), pa.string()]
-                yield pa.RecordBatch.from_arrays([pa.array([k.as_py()] * len(rows), batch.schema.field(0).type), *(pa.array(c, t) for c, t in zip(zip(*rows, strict=True), types, strict=True))], [key, "frame", "start_ms", "delay_ms", "disposal", "width", "height", "rgba", "histogram", "error"])
+                rows, held = [], 0
+
+                def out(rows: list[tuple], k=k, kind=batch.schema.field(0).type) -> pa.RecordBatch:
+                    return pa.RecordBatch.from_arrays([pa.array([k.as_py()] * len(rows), kind), *(pa.array(c, t) for c, t in zip(zip(*rows, strict=True), types, strict=True))], names)
+
+                for row in frames(data):
+                    rows.append(row)
+                    held += len(row[6] or b"")
+                    if held >= _SHOWN_BYTES:
+                        yield out(rows)
+                        rows, held = [], 0
+                if rows:
+                    yield out(rows)
 
     kind = media.schema[key].dataType.simpleString()
     return media.select(key, column).mapInArrow(run, f"`{key}` {kind}, frame int, start_ms long, delay_ms long, disposal int, width int, height int, rgba binary, histogram array<long>, error string")

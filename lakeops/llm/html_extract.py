@@ -41,9 +41,11 @@ BINS = 32
 SWITCH = 0.5
 
 #: Elements without main text, and elements that belong to the block around them (fixed values of HTML).
-SILENT = {"script", "style", "head", "title", "noscript", "template", "svg", "iframe", "object", "canvas", "select", "textarea", "math", "audio", "video"}
+SILENT = {"script", "style", "head", "title", "noscript", "template", "svg", "iframe", "object", "canvas", "select", "textarea", "audio", "video", "annotation", "annotation-xml"}
 IN_HEAD = set("base basefont bgsound link meta noframes noscript script style template title".split())
-INLINE = set("a abbr acronym b bdi bdo big br cite code data del dfn em font i img input ins kbd label mark meter nobr output q ruby rt rp s samp small span strike strong sub sup time tt u var wbr link meta".split())
+#: Formulas stand inside their sentence; their annotations repeat them.
+MATH = set("math maction menclose merror mfenced mfrac mglyph mi mlabeledtr mmultiscripts mn mo mover mpadded mphantom mprescripts mroot mrow ms mspace msqrt mstyle msub msubsup msup mtable mtd mtext mtr munder munderover none semantics".split())
+INLINE = set("a abbr acronym b bdi bdo big br cite code data del dfn em font i img input ins kbd label mark meter nobr output q ruby rt rp s samp small span strike strong sub sup time tt u var wbr link meta".split()) | MATH
 VOID = set("area base br col embed hr img input link meta param source track wbr".split())
 #: An opening tag closes an open one of these on the way up to the stop tags.
 CLOSES = {"li": ({"li"}, {"ul", "ol", "menu"}), "dt": ({"dt", "dd"}, {"dl"}), "dd": ({"dt", "dd"}, {"dl"}), "tr": ({"tr", "td", "th"}, {"table"}), "td": ({"td", "th"}, {"tr", "table"}), "th": ({"td", "th"}, {"tr", "table"}), "option": ({"option"}, {"select"})}
@@ -52,7 +54,7 @@ PARAGRAPH_ENDS = set("address article aside blockquote details div dl fieldset f
 _name = re.compile(r"[a-zA-Z][^\s/>]*")
 _stop = re.compile(r"[>=]")
 _space = re.compile(r"\s*")
-#: Deeper elements become siblings.
+#: Elements below this depth stand beside each other; their end tags close them and nothing else.
 MOST_DEPTH = 512
 _attribute = re.compile(r"""\b(class|id|role|itemprop|aria-label)\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+))""", re.I)
 _part = re.compile(r"[a-zA-Z][a-z]*")
@@ -114,6 +116,7 @@ class Page:
         at, n, ahead = 0, len(html), 0
         pieces, endless = _markup(html), set()
         names: Counter = Counter()  # of open elements
+        beyond: Counter = Counter()  # of open elements below ``MOST_DEPTH``
 
         def closes(tag: str, at: int):
             """The end tag of an element whose content is no markup; once there is none, there is none later."""
@@ -138,6 +141,7 @@ class Page:
             for j in stack[i:]:
                 names[self.tag[j]] -= 1
             del stack[i:]
+            beyond.clear()
 
         while at < n:
             try:
@@ -178,7 +182,9 @@ class Page:
                     links = max(0, links - 1)
                 elif tag not in INLINE:
                     flush()
-                    if names[tag] > 0:
+                    if beyond[tag] > 0:
+                        beyond[tag] -= 1
+                    elif names[tag] > 0:
                         cut(next(i for i in range(len(stack) - 1, 0, -1) if self.tag[stack[i]] == tag))
                         links = 0
                 continue
@@ -216,9 +222,13 @@ class Page:
             self.tokens.append([t.lower() for a in _attribute.finditer(attributes) for t in _part.findall(a[2] or a[3] or a[4] or "")])
             self.depth.append(self.depth[stack[-1]] + 1)
             self.inline.append(0)
-            if tag not in VOID and len(stack) < MOST_DEPTH:
+            if tag in VOID:
+                continue
+            if len(stack) < MOST_DEPTH:
                 stack.append(len(self.parent) - 1)
                 names[tag] += 1
+            else:
+                beyond[tag] += 1
         flush()
 
     def features(self, odds: dict[str, float]) -> np.ndarray:

@@ -19,11 +19,13 @@ from __future__ import annotations
 import math
 from collections import Counter
 from collections.abc import Iterator
+from itertools import count
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import LongType, StringType, StructField, StructType
 
 from lakeops.llm.storage import stored
 from lakeops.llm.text import Words, hash_runs, per_doc, slices, words
@@ -32,8 +34,7 @@ LEAST_WORDS = 10
 MOST_REPEATED = 20
 WINDOW = 5
 SMALLEST = 50
-#: Concentration steps at most, and the fall of a log-determinant that asks for another one.
-STEPS = 20
+#: The fall of a log-determinant that asks for another concentration step.
 TOLERANCE = 0.02
 #: Share of clean documents that the cutoff may reject, and quantile of the reweighting step.
 TAIL = 1e-4
@@ -135,7 +136,7 @@ def _statistics(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 def statistics(docs: DataFrame, carry: tuple[str, ...] = ()) -> DataFrame:
     """doc_id, lang, source, the columns in ``carry``, the five statistics of every document, and base_failed."""
     docs = docs.select("doc_id", F.col("text").cast("string").alias("text"), F.col("lang").cast("string").alias("lang"), F.col("source").cast("string").alias("source"), *(c for c in carry if c not in ("doc_id", "text", "lang", "source")))
-    schema = ", ".join([*(f"{f.name} {f.dataType.simpleString()}" for f in docs.schema), *(f"{s} long" for s in STATISTICS)])
+    schema = StructType([*docs.schema.fields, *(StructField(s, LongType()) for s in STATISTICS)])
     found = docs.mapInArrow(_statistics, schema).withColumn("base_failed", F.expr(f"n_words < {LEAST_WORDS} or 100 * n_repeat_words > {MOST_REPEATED} * n_words"))
     return found if "text" in carry else found.drop("text")
 
@@ -211,7 +212,7 @@ def fit(stats: DataFrame) -> tuple[DataFrame, DataFrame]:
     def inverted(sums: DataFrame, share: float) -> DataFrame:
         return stored(sums.mapInArrow(lambda batches: _invert(share, batches), "grp string, start int, was double, mean array<double>, precision array<double>, logdet double"), "estimates")
 
-    for step in range(STEPS):
+    for step in count():  # determinants only fall, and the floors bound them from below
         near = F.floor(32 * F.log2(_distance() + 0.01)).cast("int")
         bins = x.join(estimates, "grp").groupBy("grp", "start", near.alias("bin")).agg(F.first("logdet").alias("was"), *moments)
         whole = Window.partitionBy("grp", "start")
@@ -238,7 +239,11 @@ def quality_verdicts(docs: DataFrame) -> DataFrame:
 
 
 def keep_good(docs: DataFrame) -> DataFrame:
-    """The rows of ``docs`` that are kept, unchanged. The statistics are taken twice, so that no text is shuffled or stored."""
-    carry = tuple(docs.columns)
+    """The rows of ``docs`` that are kept, unchanged, whatever their columns are called. The statistics are taken twice, so that no text is shuffled or stored."""
     stats = stored(statistics(docs), "statistics")
-    return judge(statistics(docs, carry), fit(stats)).where("kept").select(*carry)
+    # the columns travel in a struct, where no name can clash; a text that is a string stands beside them anyway
+    beside = docs.schema["text"].dataType == StringType()
+    inside = [c for c in docs.columns if not (beside and c == "text")]
+    held = docs.select("doc_id", "text", "lang", "source", F.struct(*(F.col(f"`{c}`") for c in inside)).alias("carried"))
+    good = judge(statistics(held, ("text", "carried") if beside else ("carried",)), fit(stats)).where("kept")
+    return good.select(*(F.col("text") if beside and c == "text" else F.col(f"carried.`{c}`") for c in docs.columns))

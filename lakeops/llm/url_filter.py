@@ -7,7 +7,7 @@ Up to ``MOST_RULES`` rules the trie is broadcast to the tasks. A longer list is
 rules' hosts in a shuffled join, and the longest fitting rule is aggregated.
 
 Rows: one per input row. A null URL, or one without ``://``, has an empty host and path, which no rule fits. Only A-Z are lower-cased.
-Ports and user names are part of the host as written. Columns other than page_id and url are ignored.
+Ports and user names are part of the host as written. A rule's host is not empty and in lower case, its path is empty or begins with a slash; other rules are errors. Columns other than page_id and url are ignored.
 """
 
 from __future__ import annotations
@@ -34,6 +34,16 @@ RULES: list[Rule] = [
 ]
 
 
+def checked(rules: Iterable[Rule]) -> list[Rule]:
+    """The rules, if all are well formed."""
+    rules = list(rules)
+    for rule in rules:
+        verdict, host, path = rule
+        if verdict not in ("allow", "block") or not host or any(c in UPPER or c in "/?#" for c in host) or path and not path.startswith("/") or any(c in path for c in "?#"):
+            raise ValueError(f"not a rule: {rule}")
+    return rules
+
+
 def host_of(url: Column) -> Column:
     return F.translate(F.coalesce(F.regexp_extract(url, r"(?s)^.*?://([^/?#]*)", 1), F.lit("")), UPPER, LOWER)
 
@@ -86,6 +96,7 @@ class Trie:
 
 def judge_urls(pages: DataFrame, rules: list[Rule], most_rules: int = MOST_RULES) -> DataFrame:
     """page_id, host, path, rule (the text of the longest that fits, else null) and verdict."""
+    rules = checked(rules)
     pages = pages.select("page_id", F.col("url").cast("string").alias("url")).select("page_id", host_of(F.col("url")).alias("host"), path_of(F.col("url")).alias("path"))
     if len(rules) > most_rules:
         return _joined(pages, rules)

@@ -152,3 +152,41 @@ def test_mutated_files_give_rows_or_errors(spark):
     got = gif_frames(spark.createDataFrame(files, "id long, media binary").repartition(4), "id", "media").select("id", "frame", "error").collect()
     assert {x.id for x in got} == {i for i, _ in files} and all((x.error is None) == (x.frame is not None) or x.error is None for x in got)
     assert all(next(x for x in got if x.id == i).error for i in (5000, 5001, 5002))
+
+
+def test_payloads_beyond_the_bound_for_strangers(spark, monkeypatch):
+    """The encoder's own files have no bound; here it is lowered, so that a short text passes it."""
+    monkeypatch.setattr("lakeops.llm.gif.MOST_PIXELS", 1 << 12)
+    data = bytes(i % 251 for i in range(1 << 14))
+    media = encode_gif(data)
+    with pytest.raises(ValueError, match="pixels"):
+        decode_gif(media, 1 << 12)
+    assert read_payload(decode_gif(media, None))[0] == data
+
+
+def test_a_payload_of_more_than_64_mebibytes():
+    import pyarrow as pa
+
+    from lakeops.llm.gif import _digests
+
+    text = "abcdefgh" * ((1 << 23) + 3)
+    (batch,) = _digests(iter([pa.RecordBatch.from_arrays([pa.array([1]), pa.array([text])], ["doc_id", "text"])]))
+    row = batch.to_pylist()[0]
+    padded = text.encode() + bytes(-len(text) % BLOCK)
+    assert (row["n_bytes"], row["payload_bytes"], row["payload_sha256"]) == (len(text), len(padded), hashlib.sha256(padded).hexdigest())
+
+
+def test_code_streams_that_end_early_are_errors(spark):
+    whole = made([(0, 0, 4, 4, 0, None, 1, False, [1] * 16)])
+    cut = made([(0, 0, 4, 4, 0, None, 1, False, [1, 2])])
+    rows = {r.key: r for r in gif_frames(spark.createDataFrame([("whole", bytearray(whole)), ("cut", bytearray(cut))], "key string, data binary"), "key", "data").collect()}
+    assert rows["whole"].error is None and "code stream" in rows["cut"].error and rows["cut"].rgba is None
+
+
+def test_canvases_have_a_budget_and_leave_one_after_another(spark, monkeypatch):
+    small = [(0, 0, 1, 1, 0, None, 1, False, [1])]
+    many = made(small * 400, (2000, 2000))
+    fits = made(small * 3, (2000, 2000))
+    rows = gif_frames(spark.createDataFrame([("many", bytearray(many)), ("fits", bytearray(fits))], "key string, data binary"), "key", "data").drop("rgba").collect()
+    assert [r.error for r in rows if r.key == "many"] == ["400 canvases of 2000 x 2000 pixels"]
+    assert sorted(r.frame for r in rows if r.key == "fits") == [0, 1, 2]

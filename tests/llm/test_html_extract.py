@@ -33,11 +33,29 @@ def test_silent_elements_without_end_tags_are_bounded():
     for head in ("<head><title>x</title><body>", "<head><meta charset=utf-8><title>x</title><style>p{}</style><noscript><p>no</p></noscript>", "<head><title>x<body>", "<head><template><p>no<body>", "<head><script>'</head><p>no'</script></head><body>"):
         assert texts(f"<html>{head}<p>one<p>two</html>") == ["one", "two"], head
     assert texts("<head><title>x</title>one<p>two") == ["one", "two"]
-    for tag in ("select", "object", "svg", "canvas", "audio", "video", "math"):
+    for tag in ("select", "object", "svg", "canvas", "audio", "video"):
         assert texts(f"<body><div>a<{tag}><div>no</div>no</div><p>b</p><section><{tag}><p>no</p></{tag}>c</section></body>") == ["a", "b", "c"], tag
     assert texts("<div><svg><g>no<svg>no</svg>no</svg>a</div>") == ["a"]
 
 
+def test_formulas_stay_in_their_sentence():
+    formula = "<math><semantics><mrow><mi>a</mi><mo>&lt;</mo><msup><mi>b</mi><mn>2</mn></msup></mrow><annotation encoding='application/x-tex'>a &lt; b^2</annotation></semantics></math>"
+    assert [t for _, t, _ in Page(f"<p>The area {formula} here.<p>Next").blocks] == ["The area a<b2 here.", "Next"]
+    assert [t for _, t, _ in Page("<p>open <math><mi>x</mi><p>next").blocks] == ["open x", "next"]
+
+
+@pytest.mark.parametrize("depth", [10, 100, 510, 600, 3000])
+def test_end_tags_of_deep_elements_close_no_others(depth):
+    p = Page('<div class="content">' + "<div>" * depth + "deep" + "</div>" * depth + "<p>after</p></div><p>outside</p>")
+    nodes = {t: n for n, t, _ in p.blocks}
+    assert list(nodes) == ["deep", "after", "outside"]
+    content = p.tokens.index(["content"])
+    assert p.parent[nodes["after"]] == content and p.parent[nodes["outside"]] == 0
+    # an outer element that ends takes all that is open inside with it
+    p = Page("<section>" + "<div>" * depth + "deep</section><p>after")
+    assert [p.parent[n] for n, t, _ in p.blocks if t == "after"] == [0]
+
+
 def test_reading_takes_time_in_proportion_to_the_page():
     pieces = ["<a ", "<!--", "<!", '"', "<a href=\"", "<a b='", "<a =", "<title>", "<svg><title>", "<div>", "<div></p>", "<svg><g></x>", "<svg><g><g></g>", "<table><div><td></td>", "<li><div>", "</", "&", "&#"]
     for piece in pieces:

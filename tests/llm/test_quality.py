@@ -1,3 +1,4 @@
+import itertools
 import math
 import random
 import re
@@ -52,7 +53,7 @@ def brute(rows):
         mad = np.median(abs(x[m] - centre), axis=0)
         for start, sd in enumerate((np.maximum(1.4826 * mad, floor), floor)):
             state[g, start] = (centre, np.diag(1 / sd**2), math.inf)
-    for step in range(quality.STEPS):
+    for step in itertools.count():
         falls = False
         for (g, start), (mean, precision, was) in state.items():
             y = x[members[g]]
@@ -119,6 +120,15 @@ def test_keep_good_keeps_rows_unchanged(spark):
     assert sorted(map(tuple, keep_good(docs).collect())) == sorted((*x, 7) for x in rows if x[0] in good)
 
 
+def test_keep_good_with_any_column_names(spark):
+    rows = corpus()
+    docs = spark.createDataFrame([(*x, 7, True, "g", [x[0]]) for x in rows], "doc_id long, text string, lang string, source string, n_words long, kept boolean, grp string, `odd name, x` array<long>")
+    good = {i for i, v in brute(rows).items() if v[6]}
+    got = keep_good(docs)
+    assert got.schema == docs.schema
+    assert sorted(map(tuple, got.collect())) == sorted((*x, 7, True, "g", [x[0]]) for x in rows if x[0] in good)
+
+
 def test_empty_table_and_all_failed(spark):
     schema = "doc_id long, text string, lang string, source string, n_words string, kept int"
     assert quality_verdicts(spark.createDataFrame([], schema)).count() == 0

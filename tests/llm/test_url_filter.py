@@ -1,5 +1,7 @@
 import random
 
+import pytest
+
 from lakeops.llm.url_filter import RULES, judge_urls
 
 
@@ -42,3 +44,10 @@ def test_empty_table_and_extra_columns(spark):
     rows = [(1, "http://x.org/es/", "h", "r"), (1, "http://x.org/es/", "h", "r"), (None, None, None, None)]
     got = judge_urls(spark.createDataFrame(rows, "page_id long, url string, host string, rule string"), RULES).collect()
     assert sorted((r.page_id or 0, r.rule, r.verdict) for r in got if r.rule) == [(1, "org/es/", "block")] * 2 and len(got) == 3
+
+
+@pytest.mark.parametrize("rule", [("block", "a.com", "en/"), ("block", "", "/en"), ("forbid", "a.com", ""), ("block", "A.com", ""), ("allow", "a.com/x", ""), ("allow", "a.com", "/x?y")])
+def test_malformed_rules_are_errors_in_both_forms(spark, rule):
+    for kw in ({}, {"most_rules": 0}):
+        with pytest.raises(ValueError, match="not a rule"):
+            judge_urls(spark.createDataFrame([(1, "http://a.com/en/x")], "page_id long, url string"), [rule], **kw)
