@@ -2,11 +2,15 @@
 
 from __future__ import annotations
 
+import json
+import time
+
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from lakeops.operators.timeseries import global_row_number
+from lakeops.scratch import create, delete, exists, read_text, rename, unique
 
 ROWS = T.StructType([T.StructField(n, T.LongType()) for n in ("read_valid", "read_invalid", "cast_valid", "cast_invalid", "quality_valid", "quality_invalid")])
 RUN = T.StructType([
@@ -46,3 +50,31 @@ def running_within(runs: DataFrame, now, seconds: int = 21_600) -> DataFrame:
     """Datasets with a run that started within the window and has not ended: a new run of them must wait."""
     state = latest_state(runs)
     return state.where((F.col("state") == RUNNING) & (F.unix_timestamp("started") >= F.unix_timestamp(F.lit(now).cast("timestamp")) - seconds)).groupBy("dataset").agg(F.count("*").alias("running"))
+
+
+def acquire(spark: SparkSession, path: str, owner: str, seconds: float = 21_600, now: float | None = None) -> bool:
+    """Takes the lease of a run: a file that only one of several starters can make. One that has run out is moved aside first, which again only one can do.
+    ``now``: the clock, for tests."""
+    now = time.time() if now is None else now
+    text = json.dumps({"owner": owner, "until": now + seconds})
+    if create(spark, path, text):
+        return True
+    try:
+        held = json.loads(read_text(spark, path) or "{}")
+    except Exception:  # it went meanwhile: someone else is faster
+        return False
+    if held.get("until", now) >= now:  # an empty file is one that is being written
+        return False
+    try:
+        rename(spark, path, f"{path}-expired-{unique()}")
+    except Exception:
+        return False
+    return create(spark, path, text)
+
+
+def release(spark: SparkSession, path: str, owner: str) -> bool:
+    """Gives the lease back, if ``owner`` has it."""
+    if not exists(spark, path) or json.loads(read_text(spark, path) or "{}").get("owner") != owner:
+        return False
+    delete(spark, path)
+    return True

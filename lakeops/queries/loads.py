@@ -158,7 +158,7 @@ def history_append(spark, sf_dir):
     path = scratch(spark, "history")
     for batch in _batches(spark, sf_dir):
         silver.write(spark, path, batch, LAST_CHANGES, ["user_id", "event_type"], "ts", keep_history=True)
-    return spark.read.parquet(f"{path}_historical").select("event_id", "user_id", "event_type")
+    return silver.read(spark, f"{path}_historical").select("event_id", "user_id", "event_type")
 
 
 @query("""

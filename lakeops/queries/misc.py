@@ -46,11 +46,11 @@ def variation_global(spark, sf_dir):
 @query("""
 with s as (select o_custkey as id, (make_date(year(o_orderdate)::int, (2 * ceil(month(o_orderdate) / 2))::int, 20) + case when o_custkey % 3 = 1 and year(o_orderdate) >= 1997 then interval 1 month else interval 0 month end)::date as d, count(*) as n from orders group by all),
 g as (select *, coalesce(year(d) * 12 + month(d) - lag(year(d) * 12 + month(d)) over (partition by id order by d), month(d)) as gap from s),
-r as (select * from g where gap = 2 or d = (select max(d) from g where gap <> 2))
+r as (select * from g where gap = 2 or d = (select max(d) from g x where x.gap <> 2 and x.id = g.id))
 select id, (d - k * interval 1 month)::date::varchar as d, n from r, unnest(generate_series(0, greatest(gap, 1) - 1)) t(k)
 """)
 def monthly_converter(spark, sf_dir):
-    """Orders of every customer by two months; those of every third customer come a month later from 1997 on, which leaves odd gaps."""
+    """Orders of every customer by two months; those of every third customer come a month later from 1997 on, which leaves odd gaps; customers' series end in different months."""
     o = table(spark, sf_dir, "orders")
     late = F.when((F.col("o_custkey") % 3 == 1) & (F.year("o_orderdate") >= 1997), 1).otherwise(0)
     d = F.add_months(F.make_date(F.year("o_orderdate"), (2 * F.ceil(F.month("o_orderdate") / 2)).cast("int"), F.lit(20)), late)

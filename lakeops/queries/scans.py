@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from lakeops.functions.casting import cast_split
-from lakeops.operators import partitions, validate, versions
+from lakeops.operators import partitions, silver, validate, versions
 from lakeops.plans import sqlsync
 from lakeops.registry import query, table
 from lakeops.schema import keep_declared, persisted_view, sensitive_as_string, sensitive_columns, stamp
@@ -140,12 +140,19 @@ def sql_mart_sync(spark, sf_dir):
     return got.toDF(*(c.lower() for c in got.columns)).withColumn("nations", F.col("nations").cast("long"))
 
 
-@query("select * from orders where not coalesce(o_orderstatus = 'F' and o_totalprice < 100000, false)")
+@query("""
+select o_orderkey, o_orderstatus, o_totalprice, case when year(o_orderdate) > 1994 then o_orderpriority end as o_orderpriority, year(o_orderdate)::varchar || '/' as o_year
+from orders where not coalesce(o_orderstatus = 'F' and o_totalprice < 100000, false)
+""")
 def delete_where(spark, sf_dir):
+    """From a table with partitions, whose later files have one more column."""
     path = scratch(spark, "orders")
-    table(spark, sf_dir, "orders").write.parquet(path)
+    o = table(spark, sf_dir, "orders").withColumn("o_year", F.concat(F.year("o_orderdate"), F.lit("/")))
+    old = o.where("year(o_orderdate) <= 1994").select("o_orderkey", "o_orderstatus", "o_totalprice", "o_year")
+    silver.append(old, path, ["o_year"])
+    silver.append(o.where("not coalesce(year(o_orderdate) <= 1994, false)").select("o_orderkey", "o_orderstatus", "o_totalprice", "o_orderpriority", "o_year"), path, ["o_year"])
     sqlsync.delete_where(spark, path, "o_orderstatus = 'F' and o_totalprice < 100000")
-    return spark.read.parquet(path)
+    return silver.read(spark, path, o).select("o_orderkey", "o_orderstatus", "o_totalprice", "o_orderpriority", "o_year")
 
 
 @query("select event_id, user_id, event_type, value from events where ts > (select max(ts) from events where ts < timestamp '2024-01-20')")

@@ -1,10 +1,11 @@
-"""Places for intermediate tables, and moves within Spark's file systems."""
+"""Places for intermediate tables, and files and folders on Spark's file systems."""
 
 from __future__ import annotations
 
 import tempfile
 import uuid
 
+from py4j.protocol import Py4JJavaError
 from pyspark.sql import SparkSession
 
 
@@ -44,29 +45,62 @@ def delete(spark: SparkSession, path: str) -> None:
     files.delete(place, True)
 
 
-def swap(spark: SparkSession, staged: str, path: str) -> None:
-    """Puts a finished table in the place of an old one, which goes only after the new one is there; if that fails, the old one is put back.
-    Between the two renames readers find no table: folders have no atomic exchange."""
-    files, new = _file_system(spark, staged)
-    others, old = _file_system(spark, path)
-    _, aside = _file_system(spark, f"{path.rstrip('/')}_old-{uuid.uuid4().hex}")
-    if files.getUri() != others.getUri():
-        raise ValueError(f"{staged} and {path} are on different file systems")
-    if not files.exists(new):
-        raise ValueError(f"there is no table at {staged}")
-    replaced = files.exists(old)
-    if replaced and not files.rename(old, aside):
-        raise OSError(f"{path} could not be moved aside")
+def unique(letters: int = 32) -> str:
+    return uuid.uuid4().hex[:letters]
+
+
+def rename(spark: SparkSession, source: str, target: str) -> None:
+    """Moves a file; folders on the way are made."""
+    files, old = _file_system(spark, source)
+    _, new = _file_system(spark, target)
+    files.mkdirs(new.getParent())
+    if not files.rename(old, new):
+        raise OSError(f"{source} could not be moved to {target}")
+
+
+def create(spark: SparkSession, path: str, text: str) -> bool:
+    """Makes a file with a text unless there is one; of several that try at once one succeeds, as far as the file system can tell (a local disk, HDFS)."""
+    files, place = _file_system(spark, path)
+    files.mkdirs(place.getParent())
+    if files.getUri().getScheme() == "file":
+        try:
+            with open(place.toUri().getPath(), "x", encoding="utf-8") as file:
+                file.write(text)
+            return True
+        except FileExistsError:
+            return False
+    try:
+        out = files.create(place, False)
+    except Py4JJavaError:
+        if files.exists(place):
+            return False
+        raise
     try:
-        done = files.rename(new, old)
-    except Exception:
-        done = False
-    if not done:
-        if replaced and not files.rename(aside, old):
-            raise OSError(f"{staged} could not be moved to {path}; the old table is at {aside}")
-        raise OSError(f"{staged} could not be moved to {path}; the old table is in its place")
-    if replaced:
-        files.delete(aside, True)
+        out.write(bytearray(text.encode()))
+    finally:
+        out.close()
+    return True
+
+
+def read_text(spark: SparkSession, path: str) -> str:
+    files, place = _file_system(spark, path)
+    stream = files.open(place)
+    try:
+        return bytes(stream.readAllBytes()).decode()
+    finally:
+        stream.close()
+
+
+def leaf_files(spark: SparkSession, path: str, deep: bool = True) -> list[str]:
+    """The names of the files in a folder, with the folders below it if ``deep``."""
+    files, place = _file_system(spark, path)
+    if not files.exists(place):
+        return []
+    root, found = files.resolvePath(place).toUri().getPath(), []
+    listed = files.listFiles(place, deep)
+    while listed.hasNext():
+        found.append(listed.next().getPath().toUri().getPath()[len(root) :].lstrip("/"))
+    return sorted(found)
 
 
 def folders(spark: SparkSession, path: str) -> list[str]:

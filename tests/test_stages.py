@@ -61,23 +61,38 @@ def test_write_modes(spark, tmp_path):
 
 def test_monthly_converter_gives_the_missing_months(spark):
     days = [(1, dt.date(2020, 7, 15)), (1, dt.date(2020, 6, 20)), (1, dt.date(2020, 9, 25))]
-    got = timeseries.monthly_converter(spark.createDataFrame(days, "id int, d date"), "id", "d", "bi-monthly")
+    got = timeseries.monthly_converter(spark.createDataFrame(days, "id int, d date"), "id", "d", "bi-monthly", ordered=True)
     assert [r.d for r in got.collect()] == [dt.date(2020, 7, 15), dt.date(2020, 8, 25), dt.date(2020, 9, 25)]
     on = spark.createDataFrame([(1, dt.date(2020, 2, 1)), (1, dt.date(2020, 4, 1))], "id int, d date")
     assert timeseries.monthly_converter(on, "id", "d", "bi-monthly").count() == 4
+    several = spark.createDataFrame([("u", dt.date(2020, m, 1)) for m in (2, 4, 5)] + [("v", dt.date(2020, m, 1)) for m in (2, 3)] + [("w", dt.date(2020, 2, 1))], "id string, d date")
+    got = timeseries.monthly_converter(several, "id", "d", "bi-monthly").collect()
+    assert sorted((r.id, r.d.month) for r in got) == [("u", 1), ("u", 2), ("u", 3), ("u", 4), ("u", 5), ("v", 1), ("v", 2), ("v", 3), ("w", 1), ("w", 2)]
     odd = spark.createDataFrame([(1, dt.date(2020, m, 10)) for m in (1, 3, 6)], "id int, d date")
-    assert [r.d.month for r in timeseries.monthly_converter(odd, "id", "d", "bi-monthly").collect()] == [2, 3, 4, 5, 6]
+    assert [r.d.month for r in timeseries.monthly_converter(odd, "id", "d", "bi-monthly", ordered=True).collect()] == [2, 3, 4, 5, 6]
 
 
-@pytest.mark.parametrize("ranges", [1, 3, 7])
-def test_global_variation_equals_one_window(spark, ranges):
-    df = spark.createDataFrame([(i * 7 % 101, float(i % 5)) for i in range(60)], "t int, x double")
+@pytest.mark.parametrize("ranges,periods,carried", [(1, 2, 1000), (3, 2, 1000), (7, 1, 1000), (20, 30, 1000), (7, 2, 1), (None, 5, 1000)])
+def test_global_variation_equals_one_window(spark, ranges, periods, carried, monkeypatch):
+    """Also with ranges of fewer rows than periods, with null times, and by row numbers beyond what is carried."""
     from pyspark.sql import Window
 
-    before = F.coalesce(F.lag("x", 2).over(Window.orderBy("t")), F.lit(0.0))
+    monkeypatch.setattr(timeseries, "MOST_CARRIED", carried)
+    df = spark.createDataFrame([(i * 7 % 101 if i % 20 else None, i, float(i % 5) if i % 11 else None) for i in range(100)], "t int, i int, x double").repartition(3)
+    before = F.coalesce(F.lag("x", periods).over(Window.orderBy("t", "i")), F.lit(0.0))
     want = df.withColumn("v", F.when(before == 0, 0.0).otherwise(F.col("x") - before))
-    got = timeseries.variation(df, "x", "t", "v", 2, ranges=ranges)
-    assert sorted(map(tuple, got.collect())) == sorted(map(tuple, want.collect()))
+    got = timeseries.variation(df, "x", "t", "v", periods, ranges=ranges, ties=["i"])
+    assert sorted(map(str, got.collect())) == sorted(map(str, want.collect()))
+    assert timeseries.variation(df.where("i < 0"), "x", "t", "v", periods, ranges=ranges, ties=["i"]).count() == 0
+
+
+def test_global_order_moves_rows_once(spark):
+    df = spark.range(1000).selectExpr("id as t", "id % 7 as x")
+    for got in (timeseries.variation(df, "x", "t", "v", 3), timeseries.global_row_number(df, ["t"], "n")):
+        plan = got._jdf.queryExecution().executedPlan().toString()
+        main = [line for line in plan.split("\n") if "Exchange hashpartitioning" in line and "_range" in line]
+        assert len(main) <= 2 and "SortMergeJoin" not in plan and "SinglePartition" not in plan.replace("Exchange SinglePartition, ENSURE_REQUIREMENTS", "", 1), plan
+    assert sorted(r.n for r in timeseries.global_row_number(df, ["t"], "n").collect()) == list(range(1, 1001))
 
 
 def test_percentages_of_the_current_or_previous_value(spark):
