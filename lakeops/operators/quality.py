@@ -1,17 +1,24 @@
 """Quality rules evaluated in one pass: every row gets the names of the rules that it fails.
 
 Uniqueness costs one shuffle a rule, integrity one join with the distinct keys (broadcast by the planner where their known size allows it);
-not-null and expression rules are plain columns. Nothing is unioned, subtracted or read twice.
+not-null and expression rules are plain columns. Nothing is unioned or subtracted.
+
+Keys with a large share of all rows (nulls, defaults) don't make a large task: a sample finds them, at most ``2 / HOT`` of them, and their first rows are aggregated, partially before
+the shuffle. Other rows of such a key have lost already; they are spread by a salt. What meets in one task of a hot key are copies of its first row, equal in every column.
 """
 
 from __future__ import annotations
 
 from dataclasses import dataclass
+from functools import reduce
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, Row, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 FAILED = "failed_rules"
+#: The share of rows that makes a key hot, the rows of the sample that finds it, and the parts that its rows are spread over.
+HOT, SAMPLED, SALTS = 0.005, 10_000, 256
 
 
 @dataclass(frozen=True)
@@ -61,6 +68,35 @@ def _missing(df: DataFrame, rule: NotNull) -> Column:
     return bad
 
 
+def hot_keys(df: DataFrame, columns: list[str], share: float = HOT, sampled: int = SAMPLED) -> list[Row]:
+    """Keys that have about ``share`` of all rows or more. One pass over their columns; a task sends at most ``sampled`` rows on."""
+    some = df.select(*columns).orderBy(F.rand(23)).limit(sampled).groupBy(*columns).agg(F.count("*").alias("_n"))
+    whole = some.withColumn("_of", F.sum("_n").over(Window.partitionBy()))  # of the sample
+    return whole.where((F.col("_n") >= share / 2 * F.col("_of")) & (F.col("_n") > 1)).select(*columns).collect()
+
+
+def _repeats(df: DataFrame, columns: list[str], order: list[Column], row: Column) -> Column:
+    """Whether a row is not the first one of its key."""
+    hot = hot_keys(df, columns)
+    if not hot:
+        return F.row_number().over(Window.partitionBy(*columns).orderBy(*order)) > 1
+
+    def is_key(key: Row) -> Column:
+        return reduce(lambda a, b: a & b, (F.col(f"`{c}`").eqNullSafe(F.lit(v).cast(df.schema[c].dataType)) for c, v in zip(columns, key, strict=True)))
+
+    number = reduce(lambda rest, i: F.when(is_key(hot[i]), F.lit(i)).otherwise(rest), range(len(hot)), F.lit(None).cast("int"))
+    place = F.struct(*(c.alias(f"o{i}") for i, c in enumerate(order)))
+    firsts = df.select(number.alias("_hot"), place.alias("_place")).where("_hot is not null").groupBy("_hot").agg(F.min("_place").alias("_place")).collect()  # a row a hot key
+    kinds = df.select(place.alias("p")).schema["p"].dataType
+    lost = reduce(lambda a, b: a | b, ((number == r["_hot"]) & ~_same(place, r["_place"], kinds) for r in firsts), F.lit(False))
+    salt = F.when(lost, F.pmod(row, F.lit(SALTS)) + 1).otherwise(F.lit(0))
+    return lost | (F.row_number().over(Window.partitionBy(*columns, salt).orderBy(*order)) > 1)
+
+
+def _same(place: Column, values: Row, kind: StructType) -> Column:
+    return reduce(lambda a, b: a & b, (place[f.name].eqNullSafe(F.lit(v).cast(f.dataType)) for f, v in zip(kind.fields, values, strict=True)))
+
+
 def apply_rules(df: DataFrame, rules: list) -> DataFrame:
     """Adds ``failed_rules``; rows are neither lost nor multiplied."""
     columns, flags = list(df.columns), []
@@ -68,8 +104,7 @@ def apply_rules(df: DataFrame, rules: list) -> DataFrame:
     for i, rule in enumerate(rules):
         flag = f"_failed_{i}"
         if isinstance(rule, Unique):
-            order = [F.col(c) for c in rule.order_by] + [row]
-            df = df.withColumn(flag, F.row_number().over(Window.partitionBy(*rule.columns).orderBy(*order)) > 1)
+            df = df.withColumn(flag, _repeats(df, list(rule.columns), [F.col(c) for c in rule.order_by] + [row], row))
         elif isinstance(rule, NotNull):
             df = df.withColumn(flag, _missing(df, rule))
         elif isinstance(rule, Integrity):

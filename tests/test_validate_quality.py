@@ -1,4 +1,5 @@
 import pytest
+from pyspark.sql import Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -25,6 +26,33 @@ def test_unique_rules_keep_the_first(spark):
     assert {r.Pais for r in quality.passing(flagged).collect()} == {"ES", "MX", "CO"}
 
 
+@pytest.mark.parametrize("hot", [0.0, 0.5, 0.97])
+def test_hot_keys_are_spread_and_rows_are_the_same(spark, hot):
+    n = 8000
+    df = spark.range(n).select(F.when(F.col("id") < n * hot, F.lit(None)).otherwise(F.col("id") % 3000).alias("k"), F.lit("x").alias("j"), (F.col("id") * 7919 % 101).cast("int").alias("t"), F.col("id").alias("v")).repartition(4)
+    df = df.unionByName(df.where("v % 1000 = 1"))  # some rows twice
+    kept = {k: spark.conf.get(k) for k in ("spark.sql.adaptive.enabled", "spark.sql.shuffle.partitions")}
+    try:
+        spark.conf.set("spark.sql.adaptive.enabled", "false")
+        spark.conf.set("spark.sql.shuffle.partitions", "8")
+        flagged = quality.apply_rules(df, [Unique(("k", "j"), ("t",))])
+        sizes = [r[1] for r in flagged.groupBy(F.spark_partition_id()).count().collect()]
+        assert max(sizes) <= 2 * sorted(sizes)[len(sizes) // 2] and len(sizes) == 8, sizes
+        got = sorted((r.k is None, r.k or 0, r.t, r.v) for r in quality.passing(flagged).collect())
+    finally:
+        for k, v in kept.items():
+            spark.conf.set(k, v)
+    row = F.xxhash64("k", "j", "t", "v")
+    want = df.withColumn("n", F.row_number().over(Window.partitionBy("k", "j").orderBy("t", row))).where("n = 1").collect()
+    assert got == sorted((r.k is None, r.k or 0, r.t, r.v) for r in want)
+
+
+def test_copies_of_one_row_keep_one(spark):
+    df = spark.createDataFrame([(None, None, float("nan"))] * 50 + [(1, None, 1.0)] * 50, "k int, t timestamp, x double")
+    assert quality.passing(quality.apply_rules(df, [Unique(("k",), ("t", "x"))])).count() == 2
+    assert quality.passing(quality.apply_rules(df.where("k > 1"), [Unique(("k",))])).count() == 0
+
+
 def test_integrity_and_expression_with_nulls(spark):
     reference = spark.createDataFrame([("a", 1), ("b", 2), ("b", 2)], "name string, id int")
     df = spark.createDataFrame([("a", 1), ("b", 1), ("b", 2), (None, 1)], "n string, k int")
