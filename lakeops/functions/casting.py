@@ -110,31 +110,37 @@ def cast_column(column: ColumnSpec, columns: tuple[ColumnSpec, ...] = (), text:
     return text.try_cast(kind)
 
 
-def cast_split(df: DataFrame, columns: tuple[ColumnSpec, ...], typed: bool = False) -> Split:
-    """Casts all declared columns in one select. Other columns stay. ``typed``: the source's columns are typed already, nothing is cast."""
+def cast_split(df: DataFrame, columns: tuple[ColumnSpec, ...], typed: bool = False, text: str | None = None) -> Split:
+    """Casts all declared columns in one select. Other columns stay. ``typed``: the source's columns are typed already, nothing is cast.
+    ``text``: a column of this name holds the source's declared columns of the rows that fail."""
     if typed:
         flagged = df.withColumn(BAD, F.array().cast("array<string>"))
+        flagged = flagged.withColumn(text, F.lit(None).cast("string")) if text else flagged
         return Split(flagged, df, flagged.where(F.lit(False)))
     top = [c for c in columns if c.parent is None]
     names = {c.name for c in top}
     raw = [F.col(f"`{n}`") for n in df.columns if n not in names]
     values, marks, simple, deep = [], [], [], []
     for i, c in enumerate(top):
-        text, mark = F.col(f"`{c.name}`"), f"_mark_{i}"
+        value, mark = F.col(f"`{c.name}`"), f"_mark_{i}"
+        there = value.isNotNull()
         if c.type in (ARRAY, STRUCT):
-            value, failed = nested(text, c, columns)
+            value, failed = nested(value, c, columns)
             marks.append(failed.alias(mark))
             deep.append(F.col(mark))
         else:
             value = cast_column(c, columns)
             if c.type != STRING:
-                marks.append(text.isNotNull().alias(mark))
-                simple.append(F.when(F.col(mark) & text.isNull(), F.lit(c.name)).otherwise(""))
+                marks.append(there.alias(mark))
+                simple.append(F.when(F.col(mark) & F.col(f"`{c.name}`").isNull(), F.lit(c.name)).otherwise(""))
         values.append(value.alias(c.name))
+    if text:
+        marks.append(F.to_json(F.struct(*(F.col(f"`{c.name}`") for c in top))).alias(text))
     # the rows come out of a generator: flags and filters on them would go below a select and cast everything again
     cast = df.select(F.inline(F.array(F.struct(*values, *raw, *marks))))
     # array_remove, unlike a lambda, stays inside generated code
     bad = F.array_remove(F.array(F.lit(""), *simple), "")
     bad = (F.concat(bad, *deep) if deep else bad).alias(BAD)
-    flagged = cast.select(*(F.col(f"`{c.name}`") for c in top), *raw, bad)
+    flagged = cast.select(*(F.col(f"`{c.name}`") for c in top), *raw, bad, *([F.col(text)] if text else []))
+    flagged = flagged.withColumn(text, F.when(F.size(BAD) > 0, F.col(text))) if text else flagged
     return Split(flagged, flagged.where(F.size(BAD) == 0).drop(BAD), flagged.where(F.size(BAD) > 0))

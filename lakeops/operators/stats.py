@@ -15,7 +15,7 @@ from lakeops.scratch import create, delete, exists, read_text, rename, unique
 ROWS = T.StructType([T.StructField(n, T.LongType()) for n in ("read_valid", "read_invalid", "cast_valid", "cast_invalid", "quality_valid", "quality_invalid")])
 RUN = T.StructType([
     T.StructField("run_id", T.StringType()), T.StructField("dataset", T.StringType()), T.StructField("state", T.StringType()), T.StructField("at", T.TimestampType()),
-    T.StructField("result", T.StringType()), T.StructField("rows", ROWS), T.StructField("messages", T.ArrayType(T.StringType())), T.StructField("day", T.StringType()),
+    T.StructField("result", T.StringType()), T.StructField("rows", ROWS), T.StructField("messages", T.ArrayType(T.StringType())), T.StructField("file", T.StringType()), T.StructField("day", T.StringType()),
 ])
 RUNNING, PENDING, DONE = "RUNNING", "PENDING", "DONE"
 

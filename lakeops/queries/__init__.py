@@ -1 +1,3 @@
-"""One registered query for each operator, over whole tables."""
+"""The registered queries; whichever module is imported first, the registry imports all of them in its order."""
+
+from lakeops import registry  # noqa: F401

@@ -26,4 +26,4 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-from lakeops.queries import casts, checks, gold, loads, misc, scans  # noqa: E402, F401  (they register themselves)
+from lakeops.queries import casts, checks, gold, ingests, loads, misc, scans  # noqa: E402, F401  (they register themselves)
