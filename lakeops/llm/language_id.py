@@ -139,10 +139,17 @@ def fit(docs: DataFrame, sample: int = SAMPLE, profile: int = PROFILE) -> DataFr
     sizes = stored(labelled.groupBy(F.col("lang").alias("of_lang")).agg(F.count("*").alias("docs")), "language-sizes")
     needed = sample + 6 * sample**0.5 + 36
     likely = labelled.join(sizes, F.col("lang") == F.col("of_lang")).where((F.col("docs") <= needed) | (F.col("order").cast("double") <= 2.0**64 * needed / F.col("docs") - 2.0**63))
+    # the hashes alone are sorted: the last one that is taken, and how many of the rows that have it (copies of one row) are
     place = F.row_number().over(Window.partitionBy("lang").orderBy("order"))
-    chosen = likely.withColumn("place", place).where(F.col("place") <= sample).repartition("order").select("lang", "text")
+    taken = likely.select("lang", "order").withColumn("place", place).where(F.col("place") <= sample).groupBy("lang", "order").agg(F.count("*").alias("copies"))
+    ends = stored(taken.groupBy(F.col("lang").alias("of_lang")).agg(F.max("order").alias("end"), F.max_by("copies", "order").alias("copies")), "sample-ends")
+    placed = labelled.join(ends, F.col("lang") == F.col("of_lang"))
+    copies = placed.where("order = end").groupBy("lang").agg(F.min("text").alias("text"), F.first("copies").alias("copies")).select("lang", "text", F.explode(F.sequence(F.lit(1), F.col("copies").cast("int")))).select("lang", "text")
+    chosen = placed.where("order < end").repartition("order").select("lang", "text").unionByName(copies)
     counts = chosen.mapInArrow(_profile_counts, "lang string, gram string, n long").groupBy("lang", "gram").agg(F.sum("n").alias("n"))
-    return counts.groupBy("lang").agg(F.slice(F.array_sort(F.collect_list(F.struct((-F.col("n")).alias("n"), F.col("gram")))), 1, profile).alias("grams")).select("lang", F.posexplode("grams.gram").alias("place", "gram"))
+    # of each language, a task sends only its own ``profile`` most frequent n-grams on
+    rank = F.row_number().over(Window.partitionBy("lang").orderBy(F.desc("n"), "gram"))
+    return counts.withColumn("place", rank - 1).where(F.col("place") < profile).select("lang", "place", "gram")
 
 
 def _nearest(profiles, last: bool, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

@@ -1,6 +1,7 @@
 """Toxicity by the nearest labelled examples: exact TF-IDF cosine over block-max inverted indexes.
 
-Fitting. At most ``SAMPLE`` labelled training rows are the examples (those with the smallest hash of their id; rows that share an id are one example).
+Fitting. At most ``SAMPLE`` labelled training rows are the examples (those with the smallest hash of their id; rows that share an id are one example). Together they have at most
+``POSTINGS`` different terms, counted in each example; one that would go beyond is left out, so that a few very long texts don't decide the index's size.
 Terms are lower-cased letter runs, and every term of an example is in the index; document frequencies are counted over all documents. A term's weight is
 (1 + ln tf) * idf * (``BASE`` + G), where G is the log-likelihood ratio between its presence and the label over the examples: the usual
 supervised scaling of TF-IDF. Without it the few telling words of a toxic text drown among its other words (the README has figures).
@@ -34,6 +35,7 @@ from lakeops.llm.storage import bounded_sample, stored
 from lakeops.llm.text import slices
 
 SAMPLE = 4096
+POSTINGS = 1 << 21
 BASE = 3.0
 BLOCK = 64
 FIRST = 4
@@ -198,7 +200,18 @@ def _scores(shared):
     return run
 
 
-def toxicity_scores(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> DataFrame:
+def _within(examples: DataFrame, postings: int) -> DataFrame:
+    """The examples, in the order of their hashes, whose terms fit into what those before have left."""
+    kept, left = [], postings
+    sizes = examples.select("doc_id", F.size("terms").alias("n")).orderBy(F.xxhash64("doc_id"), "doc_id").collect()  # a row an example
+    for doc, n in sizes:
+        if n <= left:
+            kept.append((doc,))
+            left -= n
+    return examples if len(kept) == len(sizes) else examples.join(F.broadcast(examples.sparkSession.createDataFrame(kept, "doc_id long")), "doc_id")
+
+
+def toxicity_scores(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE, postings: int = POSTINGS) -> DataFrame:
     """doc_id, held_out, score, predicted and evidence (ids of the nearest examples) of every row of ``docs``; ``labels`` has doc_id and toxic."""
     spark = docs.sparkSession
     docs = docs.select("doc_id", held_out(F.col("doc_id")).alias("held_out"), F.col("text").cast("string").alias("text"))
@@ -208,7 +221,8 @@ def toxicity_scores(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) ->
     chosen = stored(bounded_sample(known.withColumn("order", F.xxhash64("doc_id")), "order", sample).select("doc_id", "toxic"), "chosen-labels")
     texts = docs.join(F.broadcast(chosen), "doc_id").groupBy("doc_id", "toxic").agg(F.min("text").alias("text"))
     examples = stored(texts.mapInArrow(_words, "doc_id long, toxic int, terms array<string>, times array<int>"), "examples")
-    # the examples, and the vocabulary of their terms, are bounded by `sample` and come to the driver
+    examples = _within(examples, postings)
+    # the examples, and the vocabulary of their terms, are bounded by `sample` and `postings` and come to the driver
     uses = examples.select("toxic", F.explode("terms").alias("term")).groupBy("term").agg(F.sum("toxic").alias("toxic"), F.count("*").alias("uses")).toArrow().sort_by("term")
     terms = uses.column("term").to_pylist()
     table = examples.orderBy("doc_id").toArrow().combine_chunks()

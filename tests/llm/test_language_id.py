@@ -77,3 +77,26 @@ def test_blocks_of_languages_give_the_same(spark):
     whole = sorted(map(tuple, identify(docs, profiles).collect()))
     for block in (1, 2, 3):
         assert sorted(map(tuple, identify(docs, profiles, block=block).collect())) == whole
+
+
+def test_the_sample_is_the_rows_with_the_smallest_hashes(spark):
+    """Also where copies of one row stand at its end."""
+    from pyspark.sql import functions as F
+
+    rows = [(i, f"{'abc'[i % 3]}{chr(100 + i % 20)} x", "one" if i % 4 else "two") for i in range(80)] + [(5, "repeated zz", "one")] * 60 + [(6, "other yy", "two")] * 2
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string").repartition(3)
+    placed = docs.withColumn("order", F.xxhash64("doc_id", "text")).collect()
+    for sample in (1, 7, 30, 90, 1000):
+        want = {}
+        for lang in ("one", "two"):
+            total = Counter()
+            for r in sorted((r for r in placed if r.lang == lang), key=lambda r: r.order)[:sample]:
+                total.update(grams(r.text))
+            want |= {(lang, i): g for i, g in enumerate(ranked(total))}
+        assert {(r.lang, r.place): r.gram for r in fit(docs, sample).collect()} == want, sample
+
+
+def test_a_text_of_megabytes(spark):
+    rows = [(1, "abc " * 1000, "en"), (2, "жзи " * 1000, "ru"), (3, "abd " * 700_000, None), (4, "ж" * 2_000_000, None)]
+    got = {r.doc_id: r.lang_pred for r in language_predictions(spark.createDataFrame(rows, "doc_id long, text string, lang string")).collect()}
+    assert (got[3], got[4]) == ("en", "ru")

@@ -128,3 +128,15 @@ def test_without_two_classes_and_empty_tables(spark, labels):
 
 def test_terms_are_lower_cased_letter_runs():
     assert terms_of("Ab-ab_C3d É") == {"ab": 2, "c": 1, "d": 1, "é": 1} and not terms_of(None)
+
+
+def test_very_long_examples_do_not_fill_the_index(spark):
+    """An example with more different terms than there is room for is left out; the others decide."""
+    rows, labels = corpus()
+    r = random.Random(9)
+    long = " ".join("".join(r.choice("bcdfgh") for _ in range(9)) for _ in range(30_000))
+    rows, labels = rows + [(911, long)], labels + [(911, 0)]
+    frames = spark.createDataFrame(rows, "doc_id long, text string"), spark.createDataFrame(labels, "doc_id long, toxic int")
+    cut = {x.doc_id: x.score for x in toxicity_scores(*frames, postings=20_000).collect()}
+    assert cut == {x.doc_id: x.score for x in toxicity_scores(frames[0], spark.createDataFrame(labels[:-1], "doc_id long, toxic int"), postings=20_000).collect()}
+    assert toxicity_scores(*frames, postings=0).count() == len(rows)
