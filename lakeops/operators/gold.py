@@ -11,8 +11,12 @@ from contextlib import contextmanager
 from functools import reduce
 
 from pyspark import StorageLevel
+from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
+
+from lakeops.scratch import exists
 
 Stage = Callable[[DataFrame], DataFrame]
 JOINS = ("inner", "leftouter", "rightouter", "fullouter", "leftsemi", "leftanti", "cross")
@@ -122,14 +126,41 @@ def with_params(stages: list[Stage], params: dict[str, object]) -> list[Stage]:
     return [(lambda df, s=s: s(add(df))) for s in stages] + [lambda df: df.drop(*params)]
 
 
+def _stored_schema(spark: SparkSession, path: str | None, name: str | None) -> StructType | None:
+    """The columns of a table, none if it does not exist or has no files yet."""
+    if name:
+        return spark.table(name).schema if spark.catalog.tableExists(name) else None
+    if not exists(spark, path):
+        return None
+    try:
+        return spark.read.option("mergeSchema", "true").parquet(path).schema
+    except AnalysisException as empty:
+        if empty.getCondition() != "UNABLE_TO_INFER_SCHEMA":
+            raise
+        return None
+
+
 def write_table(df: DataFrame, mode: str, path: str | None = None, name: str | None = None, partition_by: str = "", merge_schema: bool = False) -> None:
-    """append, overwrite, truncate (the table stays registered, its rows go) or view; ``partition_by`` as "a/b"."""
+    """append, overwrite, truncate (the table stays registered, its rows go) or view; ``partition_by`` as "a/b".
+
+    An append with columns that the table lacks is an error, unless ``merge_schema``; a registered table then gets them, and readers of a path merge the files' schemas."""
     if mode == "view":
         return df.createOrReplaceTempView(name)
     if mode not in ("append", "overwrite", "truncate"):
         raise ValueError(f"unknown write mode {mode}")
-    writer = df.write.format("parquet").mode("append" if mode == "append" else "overwrite").option("mergeSchema", str(merge_schema).lower())
+    spark = df.sparkSession
+    if mode == "append":
+        there = _stored_schema(spark, path, name)
+        new = [f for f in df.schema.fields if there is not None and f.name not in there.names]
+        if new and not merge_schema:
+            raise ValueError(f"columns that the table lacks: {', '.join(f.name for f in new)}")
+        if new and name:
+            spark.sql(f"ALTER TABLE {name} ADD COLUMNS ({', '.join(f'`{f.name}` {f.dataType.simpleString()}' for f in new)})")
+        if name and there is not None:
+            order = spark.table(name).columns
+            df = df.select(*(F.col(f"`{c}`") if c in df.columns else F.lit(None).cast(there[c].dataType).alias(c) for c in order))
+    writer = df.write.format("parquet").mode("append" if mode == "append" else "overwrite")
     writer = writer.partitionBy(*partition_by.split("/")) if partition_by else writer
     if mode == "overwrite":
         writer = writer.option("partitionOverwriteMode", "static")
-    writer.saveAsTable(name, path=path) if name else writer.save(path)
+    writer.saveAsTable(name, **({"path": path} if path else {})) if name else writer.save(path)

@@ -8,7 +8,7 @@ from __future__ import annotations
 import re
 from datetime import datetime
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 _FIELD = re.compile(r"<([^>]+)>")
@@ -37,6 +37,19 @@ def matches_pattern(name: Column, pattern: str) -> Column:
     return name.rlike(regex_of(pattern))
 
 
+def landing_files(spark: SparkSession, path: str) -> DataFrame:
+    """file (the name), path, length and modified of every file below a landing folder. Spark's tasks list them; no content is read."""
+    found = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(path)
+    return found.select(F.element_at(F.split("path", "/"), -1).alias("file"), "path", "length", F.col("modificationTime").alias("modified"))
+
+
+def match_files(files: DataFrame, patterns: dict[str, str]) -> DataFrame:
+    """Adds ``dataset``, the one whose pattern a file's name matches, null for unknown files. A name that fits several datasets is an error."""
+    fits = F.filter(F.array(*(F.when(matches_pattern(F.col("file"), p), F.lit(d)) for d, p in patterns.items())), lambda d: d.isNotNull())
+    one = F.when(F.size(fits) > 1, F.raise_error(F.concat(F.lit("more than one dataset for "), "file", F.lit(": "), F.concat_ws(", ", fits)))).otherwise(F.get(fits, 0))
+    return files.withColumn("dataset", one)
+
+
 def from_file_name(df: DataFrame, name: Column, pattern: str, names: list[str] | None = None) -> DataFrame:
     """A string column for each field (of ``names``)."""
     return df.withColumns({p: F.substring(name, at, n) for p, at, n in fields_of(pattern) if names is None or p in names})

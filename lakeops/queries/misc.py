@@ -76,19 +76,13 @@ def feat_imputer_mean(spark, sf_dir):
     return features.impute(p, "holes", "price", "mean").select("p_partkey", F.round("price", 4).alias("price"))
 
 
-#: The median is approximate: a value of the column whose rank is within a thousandth of the rows from the middle.
-HOLES = "(select p_partkey, case when p_partkey % 3 <> 0 then p_retailprice end as holes from part)"
-
-
-@query(f"select p_partkey, holes as price, true as near_middle from {HOLES} where holes is not null union all select p_partkey, null, true from {HOLES} where holes is null")
+@query("""
+with h as (select p_partkey, case when p_partkey % 3 <> 0 then p_retailprice end as holes from part)
+select p_partkey, round(coalesce(holes, (select median(holes) from h)), 6) as price from h
+""")
 def feat_imputer_median(spark, sf_dir):
     p = table(spark, sf_dir, "part").select("p_partkey", F.when(F.col("p_partkey") % 3 != 0, F.col("p_retailprice")).alias("holes"))
-    filled = features.impute(p, "holes", "price", "median")
-    median = filled.where("holes is null").agg(F.max("price").alias("median"), F.count_distinct("price").alias("values"))  # one row
-    rank = filled.where("holes is not null").crossJoin(median).agg(F.count_if(F.col("holes") < F.col("median")).alias("under"), F.count_if(F.col("holes") <= F.col("median")).alias("upto"), F.count("*").alias("all"), F.max("values").alias("values"))
-    slack = 0.001 * F.col("all") + 1
-    near = rank.select(((F.col("values") == 1) & (F.col("under") <= F.col("all") / 2 + slack) & (F.col("upto") >= F.col("all") / 2 - slack)).alias("near_middle"))
-    return filled.crossJoin(near).select("p_partkey", F.col("holes").alias("price"), "near_middle")
+    return features.impute(p, "holes", "price", "median").select("p_partkey", F.round("price", 6).alias("price"))
 
 
 @query("""

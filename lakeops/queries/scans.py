@@ -14,9 +14,9 @@ from lakeops.operators import partitions, silver, validate, versions
 from lakeops.plans import sqlsync
 from lakeops.registry import query, table
 from lakeops.schema import keep_declared, persisted_view, sensitive_as_string, sensitive_columns, stamp
-from lakeops.scratch import scratch
+from lakeops.scratch import leaf_files, rename, scratch
 from lakeops.sources import api, files, jdbc, sinks
-from lakeops.spec import DOUBLE, LONG, ColumnSpec, DatasetSpec, from_jdbc_columns
+from lakeops.spec import DOUBLE, LONG, ColumnSpec, DatasetSpec
 from lakeops.streaming import topics
 
 EVENT = T.StructType([T.StructField("event_id", T.LongType()), T.StructField("event_type", T.StringType()), T.StructField("k", T.LongType())])
@@ -192,25 +192,43 @@ def load_stamp(spark, sf_dir):
     return stamp(table(spark, sf_dir, "nation").select("n_nationkey"), datetime(2024, 3, 5, 6, 7, 8), "run-1")
 
 
-FILE = "strftime(o_orderdate, '%Y%m%d') || case when o_orderkey % 3 = 0 then '_orders.csv' else '_other' || o_orderkey || '.csv' end"
+def landed_orders(spark, sf_dir) -> str:
+    """A landing folder with a CSV file of orders for each month, one of statuses for each year, and one that nobody knows."""
+    base, o = scratch(spark, "landing"), table(spark, sf_dir, "orders")
+    parts = (
+        (o.select(F.date_format("o_orderdate", "yyyyMM").alias("f"), "o_orderkey", "o_totalprice"), "{}_orders.csv"), (o.select(F.year("o_orderdate").alias("f"), "o_orderkey", "o_orderstatus"), "status_{}.csv"),
+        (o.select(F.lit("x").alias("f"), "o_orderkey"), "notes_{}.txt"),
+    )
+    for i, (rows, name) in enumerate(parts):
+        written = f"{base}-written/{i}"
+        rows.repartition("f").write.partitionBy("f").csv(written)
+        for file in leaf_files(spark, written):
+            if not file.startswith("_"):
+                rename(spark, f"{written}/{file}", f"{base}/{i}/{name.format(file.split('/')[0].split('=')[1])}")
+    return base
 
 
-def named_files(spark, sf_dir) -> DataFrame:
-    o = table(spark, sf_dir, "orders")
-    name = F.concat(F.date_format("o_orderdate", "yyyyMMdd"), F.when(F.col("o_orderkey") % 3 == 0, "_orders.csv").otherwise(F.concat(F.lit("_other"), "o_orderkey", F.lit(".csv"))))
-    return o.select("o_orderkey", name.alias("file"))
+PATTERNS = {"orders": "<yyyy><mm>_orders.csv", "status": "status_<yyyy>.csv"}
 
 
-@query(f"select o_orderkey, {FILE} as file, o_orderkey % 3 = 0 as matches from orders")
+@query("""
+select strftime(o_orderdate, '%Y%m') || '_orders.csv' as file, 'orders' as dataset from orders group by all
+union all select 'status_' || year(o_orderdate) || '.csv', 'status' from orders group by all
+union all select 'notes_x.txt', null
+""")
 def file_pattern_match(spark, sf_dir):
-    return named_files(spark, sf_dir).withColumn("matches", partitions.matches_pattern(F.col("file"), "<yyyy><mm><dd>_orders.csv"))
+    """Files of a landing folder, listed and matched with the datasets' patterns."""
+    return partitions.match_files(partitions.landing_files(spark, landed_orders(spark, sf_dir)), PATTERNS).select("file", "dataset")
 
 
-@query(f"select o_orderkey, {FILE} as file, strftime(o_orderdate, '%Y') as yyyy, strftime(o_orderdate, '%m') as mm, strftime(o_orderdate, '%d') as dd from orders where o_orderkey % 3 = 0")
+@query("select o_orderkey, o_totalprice, strftime(o_orderdate, '%Y') as yyyy, strftime(o_orderdate, '%m') as mm from orders")
 def partition_from_filename(spark, sf_dir):
-    pattern = "<yyyy><mm><dd>_orders.csv"
-    names = named_files(spark, sf_dir).where(partitions.matches_pattern(F.col("file"), pattern))
-    return partitions.from_file_name(names, F.col("file"), pattern)
+    """Rows of all files of a dataset, with the fields of the name of the file that each comes from."""
+    base = landed_orders(spark, sf_dir)
+    files_ = partitions.match_files(partitions.landing_files(spark, base), PATTERNS).where("dataset = 'orders'")
+    rows = spark.read.schema("o_orderkey long, o_totalprice double").csv(f"{base}/0").select("*", F.col("_metadata.file_name").alias("file"))
+    known = rows.join(files_.select("file"), "file", "left_semi")
+    return partitions.from_file_name(known, F.col("file"), PATTERNS["orders"]).drop("file")
 
 
 @query("select event_id, year(ts)::int as ts_yyyy, month(ts)::int as ts_mm, day(ts)::int as ts_dd, hour(ts)::int as ts_hh from events")
@@ -263,10 +281,14 @@ def sensitive_fields_as_text(spark, sf_dir):
     return text.select("c_custkey", F.col("person.name").alias("c_name"), F.col("person.nation").alias("c_nationkey"), F.col("person.segment").alias("c_mktsegment"))
 
 
-@query("select o_orderkey, o_custkey, o_totalprice, o_orderstatus from orders")
+@query("select o_orderkey, o_custkey, o_totalprice::decimal(12, 2)::varchar as o_totalprice, o_orderdate::date::varchar as o_orderdate, o_orderstatus, 12 as digits, 2 as decimals from orders")
 def spec_from_catalog(spark, sf_dir):
-    """Column specs from the type names of a database's catalog, applied to the rows as text."""
-    o = table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey", "o_totalprice", "o_orderstatus")
-    names = {"bigint": "BIGINT", "int": "INTEGER", "double": "DOUBLE", "string": "VARCHAR(20)"}
-    spec = from_jdbc_columns([(name, names[kind], None, None) for name, kind in o.dtypes], keys=("o_orderkey",))
-    return cast_split(o.select(*(F.col(c).cast("string").alias(c) for c in o.columns)), spec).valid
+    """A dataset's columns from the database's own description of a table that was just written there; the table's rows as text are cast by them."""
+    url, end = database(spark)
+    o = table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey", F.col("o_totalprice").cast("decimal(12, 2)").alias("o_totalprice"), F.col("o_orderdate").cast("date").alias("o_orderdate"), "o_orderstatus")
+    sqlsync.write_sql(o, url, f"described{end}")
+    columns = jdbc.described(spark, url, f"described{end}", keys=("o_orderkey",), date_pattern="yyyy-MM-dd")
+    price = next(c for c in columns if c.name == "o_totalprice")
+    text = o.select(*(F.col(c).cast("string").alias(c) for c in o.columns))
+    cast = cast_split(text, DatasetSpec("described", columns).columns).valid
+    return cast.withColumns({"o_totalprice": F.col("o_totalprice").cast("string"), "o_orderdate": F.col("o_orderdate").cast("string"), "digits": F.lit(price.precision), "decimals": F.lit(price.scale)})

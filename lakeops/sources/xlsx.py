@@ -27,12 +27,35 @@ def column_number(letters: str) -> int:
     return n - 1
 
 
+def column_letters(number: int) -> str:
+    letters = ""
+    while number >= 0:
+        letters, number = chr(65 + number % 26) + letters, number // 26 - 1
+    return letters
+
+
+def _elements(book: zipfile.ZipFile, name: str, tag: str) -> Iterator[ElementTree.Element]:
+    """The elements of a part one after another, each forgotten when the next one comes."""
+    with book.open(name) as part:
+        parents: list[ElementTree.Element] = []
+        for event, e in ElementTree.iterparse(part, ("start", "end")):
+            if event == "start":
+                parents.append(e)
+                continue
+            parents.pop()
+            if e.tag == tag:
+                yield e
+                if parents:
+                    parents[-1].remove(e)
+
+
 def _sheet_rows(data: bytes, sheet: str | None, area: str | None) -> Iterator[list[str | None]]:
+    """The rows of an area of a sheet. A row or cell without its address stands right after the one before it."""
     with zipfile.ZipFile(io.BytesIO(data)) as book:
         names = book.namelist()
         shared = []
         if "xl/sharedStrings.xml" in names:
-            shared = ["".join(t.text or "" for t in s.iter(f"{_MAIN}t")) for s in ElementTree.fromstring(book.read("xl/sharedStrings.xml")).iter(f"{_MAIN}si")]
+            shared = ["".join(t.text or "" for t in s.iter(f"{_MAIN}t")) for s in _elements(book, "xl/sharedStrings.xml", f"{_MAIN}si")]
         targets = {r.get("Id"): r.get("Target") for r in ElementTree.fromstring(book.read("xl/_rels/workbook.xml.rels"))}
         sheets = {s.get("name"): targets[s.get(f"{_REL}id")] for s in ElementTree.fromstring(book.read("xl/workbook.xml")).iter(f"{_MAIN}sheet")}
         target = sheets[sheet] if sheet else next(iter(sheets.values()))
@@ -40,13 +63,17 @@ def _sheet_rows(data: bytes, sheet: str | None, area: str | None) -> Iterator[li
         if area and (m := re.fullmatch(r"([A-Z]+)(\d+)(?::([A-Z]+)(\d+))?", area)):
             first, top = column_number(m[1]), int(m[2])
             last, bottom = (column_number(m[3]), int(m[4])) if m[3] else (None, None)
-        for row in ElementTree.fromstring(book.read(f"xl/{target.lstrip('/').removeprefix('xl/')}")).iter(f"{_MAIN}row"):
-            number = int(row.get("r"))
-            if number < top or bottom is not None and number > bottom:
+        number = 0
+        for row in _elements(book, f"xl/{target.lstrip('/').removeprefix('xl/')}", f"{_MAIN}row"):
+            number = int(row.get("r") or number + 1)
+            if bottom is not None and number > bottom:
+                break
+            if number < top:
                 continue
             cells: dict[int, str | None] = {}
+            at = -1
             for c in row.iter(f"{_MAIN}c"):
-                at = column_number(re.match("[A-Z]+", c.get("r"))[0])
+                at = column_number(re.match("[A-Z]+", c.get("r"))[0]) if c.get("r") else at + 1
                 value, inline = c.find(f"{_MAIN}v"), c.find(f"{_MAIN}is")
                 text = "".join(t.text or "" for t in inline.iter(f"{_MAIN}t")) if inline is not None else value.text if value is not None else None
                 cells[at] = shared[int(text)] if c.get("t") == "s" and text is not None else text
@@ -97,7 +124,7 @@ def read_xlsx(spark: SparkSession, path: str, sheet: str | None = None, area: st
 def workbook(rows: pd.DataFrame) -> bytes:
     """A workbook with the sheets Notes (empty) and Data, whose header stands in row 2 from column B on."""
     lines = [[*rows.columns], *rows.itertuples(index=False)]
-    cells = ("".join(f'<c r="{letter}{i}" t="inlineStr"><is><t xml:space="preserve">{escape(str(v))}</t></is></c>' for letter, v in zip("BCDEFG", line, strict=False)) for i, line in enumerate(lines, 2))
+    cells = ("".join(f'<c r="{letter}{i}" t="inlineStr"><is><t xml:space="preserve">{escape(str(v))}</t></is></c>' for letter, v in zip(map(column_letters, range(1, len(line) + 1)), line, strict=True)) for i, line in enumerate(lines, 2))
     data = "".join(f'<row r="{i}">{c}</row>' for i, c in enumerate(cells, 2))
     out = io.BytesIO()
     with zipfile.ZipFile(out, "w", zipfile.ZIP_DEFLATED) as z:

@@ -1,7 +1,9 @@
+import re
 import datetime as dt
 import io
 import zipfile
 
+import pandas as pd
 import pytest
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -55,6 +57,21 @@ def workbook() -> bytes:
     return out.getvalue()
 
 
+def test_workbooks_of_any_width_and_without_addresses(spark, tmp_path):
+    wide = pd.DataFrame([[f"{r}-{c}" for c in range(60)] for r in range(3)], columns=[f"c{c}" for c in range(60)])
+    assert [xlsx.column_number(xlsx.column_letters(i)) for i in range(2000)] == list(range(2000))
+    (tmp_path / "wide.xlsx").write_bytes(xlsx.workbook(wide))
+    (tmp_path / "again.xlsx").write_bytes(xlsx.workbook(wide))
+    got = xlsx.read_xlsx(spark, str(tmp_path / "*.xlsx"), "Data", "B2")
+    assert got.columns == list(wide.columns) and sorted(map(tuple, got.collect())) == sorted([*wide.itertuples(index=False, name=None)] * 2)
+    bare = re.sub(rb' r="[A-Z]*[0-9]+"', b"", zipfile.ZipFile(tmp_path / "wide.xlsx").read("xl/worksheets/sheet2.xml"))
+    with zipfile.ZipFile(tmp_path / "wide.xlsx") as old, zipfile.ZipFile(tmp_path / "bare.xlsx", "w") as new:
+        for name in old.namelist():
+            new.writestr(name, bare if name.endswith("sheet2.xml") else old.read(name))
+    got = xlsx.read_xlsx(spark, str(tmp_path / "bare.xlsx"), "Data", "A1")
+    assert got.columns == list(wide.columns) and sorted(map(tuple, got.collect())) == [*wide.itertuples(index=False, name=None)]
+
+
 def test_workbooks(spark, tmp_path):
     for i in (1, 2):
         (tmp_path / f"b{i}.xlsx").write_bytes(workbook())

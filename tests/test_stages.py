@@ -1,4 +1,5 @@
 import datetime as dt
+import statistics
 
 import pytest
 from pyspark.sql import functions as F
@@ -101,6 +102,37 @@ def test_percentages_of_the_current_or_previous_value(spark):
     assert values == {"current": [0.0, 50.0, None], "previous": [0.0, 100.0, -100.0]}
 
 
+@pytest.mark.parametrize("few", [1, 3, 1000])
+@pytest.mark.parametrize(
+    "values",
+    [[], [5.0], [1.0, 2.0], [3.0, 1.0, 2.0], [1.0, 1.0, 1.0, 9.0], [float(i * i % 97) for i in range(200)], [1e300, -1e300, 1e-300, 0.0, 7.0, 7.0], [float("inf"), 1.0, 2.0, 3.0], [float("-inf")] * 3 + [1.0] * 3, [1.7e308, -1.7e308] * 4 + [2.0]],
+)
+def test_exact_median(spark, values, few):
+    df = spark.createDataFrame([(v,) for v in values] + [(None,), (float("nan"),)], "x double")
+    got = features.median(df, "x", few, 4)
+    assert got == (statistics.median(values) if values else None)
+
+
+def test_medians_fill_holes(spark):
+    df = spark.createDataFrame([(None, 1.0), (float("nan"), None), (4.0, 3.0), (6.0, None)], "x double, y double")
+    assert [tuple(r) for r in features.impute(df, ["x", "y"], ["a", "b"], "median").select("a", "b").collect()] == [(5.0, 1.0), (5.0, 2.0), (4.0, 3.0), (6.0, 2.0)]
+
+
+def test_appends_with_new_columns_need_leave(spark, tmp_path):
+    path = str(tmp_path / "t")
+    a, b = spark.createDataFrame([(1,)], "k int"), spark.createDataFrame([(2, "x")], "k int, v string")
+    spark.sql("CREATE DATABASE IF NOT EXISTS merged")
+    for where in ({"path": path}, {"name": "merged.t"}):
+        gold.write_table(a, "append", **where)
+        with pytest.raises(ValueError, match="lacks: v"):
+            gold.write_table(b, "append", **where)
+        gold.write_table(b, "append", merge_schema=True, **where)
+        gold.write_table(a, "append", **where)
+        got = spark.read.option("mergeSchema", "true").parquet(path) if "path" in where else spark.table("merged.t")
+        assert sorted((r.k, r.v or "") for r in got.collect()) == [(1, ""), (1, ""), (2, "x")]
+    spark.sql("DROP DATABASE merged CASCADE")
+
+
 def test_features_fit_on_another_frame(spark):
     df, fit = spark.createDataFrame([(None, 1.0), (4.0, 0.0)], "x double, c double"), spark.createDataFrame([(8.0, 2.0), (10.0, 0.0)], "x double, c double")
     assert [r.y for r in features.impute(df, "x", "y", "mean", fit).collect()] == [9.0, 4.0]
