@@ -10,11 +10,10 @@ the shuffle. Other rows of such a key have lost already; they are spread by a sa
 from __future__ import annotations
 
 from dataclasses import dataclass
-from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Row, Window
 from pyspark.sql import functions as F
-from pyspark.sql.types import StructType
+from pyspark.sql.types import StructField, StructType
 
 FAILED = "failed_rules"
 #: The share of rows that makes a key hot, the rows of the sample that finds it, and the parts that its rows are spread over.
@@ -70,31 +69,28 @@ def _missing(df: DataFrame, rule: NotNull) -> Column:
 
 def hot_keys(df: DataFrame, columns: list[str], share: float = HOT, sampled: int = SAMPLED) -> list[Row]:
     """Keys that have about ``share`` of all rows or more. One pass over their columns; a task sends at most ``sampled`` rows on."""
-    some = df.select(*columns).orderBy(F.rand(23)).limit(sampled).groupBy(*columns).agg(F.count("*").alias("_n"))
-    whole = some.withColumn("_of", F.sum("_n").over(Window.partitionBy()))  # of the sample
-    return whole.where((F.col("_n") >= share / 2 * F.col("_of")) & (F.col("_n") > 1)).select(*columns).collect()
+    some = df.select(*columns).orderBy(F.rand(23)).limit(sampled).groupBy(*columns).agg(F.count("*").alias("_n")).collect()
+    of = sum(r["_n"] for r in some)
+    return [r[:-1] for r in some if r["_n"] > 1 and r["_n"] >= share / 2 * of]
 
 
-def _repeats(df: DataFrame, columns: list[str], order: list[Column], row: Column) -> Column:
-    """Whether a row is not the first one of its key."""
+def _repeats(df: DataFrame, columns: list[str], order: list[Column], row: Column, flag: str) -> DataFrame:
+    """Adds whether a row is not the first one of its key."""
     hot = hot_keys(df, columns)
     if not hot:
-        return F.row_number().over(Window.partitionBy(*columns).orderBy(*order)) > 1
-
-    def is_key(key: Row) -> Column:
-        return reduce(lambda a, b: a & b, (F.col(f"`{c}`").eqNullSafe(F.lit(v).cast(df.schema[c].dataType)) for c, v in zip(columns, key, strict=True)))
-
-    number = reduce(lambda rest, i: F.when(is_key(hot[i]), F.lit(i)).otherwise(rest), range(len(hot)), F.lit(None).cast("int"))
+        return df.withColumn(flag, F.row_number().over(Window.partitionBy(*columns).orderBy(*order)) > 1)
+    names = [f"_hot_{i}" for i in range(len(columns))]
+    keys = df.sparkSession.createDataFrame(hot, StructType([StructField(n, df.schema[c].dataType) for n, c in zip(names, columns, strict=True)]))
+    on = [F.col(f"`{c}`").eqNullSafe(F.col(n)) for c, n in zip(columns, names, strict=True)]
     place = F.struct(*(c.alias(f"o{i}") for i, c in enumerate(order)))
-    firsts = df.select(number.alias("_hot"), place.alias("_place")).where("_hot is not null").groupBy("_hot").agg(F.min("_place").alias("_place")).collect()  # a row a hot key
-    kinds = df.select(place.alias("p")).schema["p"].dataType
-    lost = reduce(lambda a, b: a | b, ((number == r["_hot"]) & ~_same(place, r["_place"], kinds) for r in firsts), F.lit(False))
+    # the hot keys, ``2 / HOT`` rows at most
+    firsts = df.withColumn("_place", place).join(F.broadcast(keys), on).groupBy(*names).agg(F.min("_place").alias("_place"))
+    held = df.join(F.broadcast(firsts), on, "left")
+    lost = F.col("_place").isNotNull() & ~F.col("_place").eqNullSafe(place)
     salt = F.when(lost, F.pmod(row, F.lit(SALTS)) + 1).otherwise(F.lit(0))
-    return lost | (F.row_number().over(Window.partitionBy(*columns, salt).orderBy(*order)) > 1)
-
-
-def _same(place: Column, values: Row, kind: StructType) -> Column:
-    return reduce(lambda a, b: a & b, (place[f.name].eqNullSafe(F.lit(v).cast(f.dataType)) for f, v in zip(kind.fields, values, strict=True)))
+    held = held.withColumn("_lost", lost).withColumn("_salt", salt)
+    number = F.row_number().over(Window.partitionBy(*columns, "_salt").orderBy(*order))
+    return held.withColumn(flag, F.col("_lost") | (number > 1)).drop(*names, "_place", "_lost", "_salt")
 
 
 def apply_rules(df: DataFrame, rules: list) -> DataFrame:
@@ -104,7 +100,7 @@ def apply_rules(df: DataFrame, rules: list) -> DataFrame:
     for i, rule in enumerate(rules):
         flag = f"_failed_{i}"
         if isinstance(rule, Unique):
-            df = df.withColumn(flag, _repeats(df, list(rule.columns), [F.col(c) for c in rule.order_by] + [row], row))
+            df = _repeats(df, list(rule.columns), [F.col(c) for c in rule.order_by] + [row], row, flag)
         elif isinstance(rule, NotNull):
             df = df.withColumn(flag, _missing(df, rule))
         elif isinstance(rule, Integrity):

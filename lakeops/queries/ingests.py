@@ -9,9 +9,10 @@ from pyspark.sql import functions as F
 
 from lakeops.functions.casting import BAD, cast_split
 from lakeops.functions.privacy import SensitiveSplit, rejoin
-from lakeops.operators import silver, stats
+from lakeops.operators import gold, silver, stats
 from lakeops.operators.quality import Expression, NotNull
 from lakeops.plans.ingest import SENSITIVE, Lake, Run, Secrets, run_batch
+from lakeops.plans.transform import transform
 from lakeops.queries.casts import BAD_LINE, LINE, WRONG_LINE, text_lines
 from lakeops.queries.scans import read_order_lines
 from lakeops.registry import query, table
@@ -117,6 +118,27 @@ def ingest_run_history(spark, sf_dir):
     return stats.latest_state(spark.read.schema(stats.RUN).parquet(f"{base}/history")).select("run_id", "state", "result", "file", "rows.*")
 
 
+@query("""
+with t as (select o_custkey, count(*) as orders, sum(o_totalprice) as spent from orders group by o_custkey),
+n as (select count(*) as rows, count(*) filter (orders > 12) as busy, count(*) filter (c_nationkey is null) as unknown from t left join customer on c_custkey = o_custkey)
+select 'report' as kind, case when busy > 0 then 'calm: ' || busy || ' of ' || rows || ' rows' end as message, null::bigint as "key", rows::bigint as n, case when busy > 0 then 'INGESTED_WITH_ERRORS' else 'INGESTED_WITHOUT_ERRORS' end as result from n
+union all select 'row', null, o_custkey, orders, null from t
+""")
+def gold_run_report(spark, sf_dir):
+    """A gold run with rules: what it wrote, and what its history tells of it."""
+    base = scratch(spark, "gold")
+    stages = [
+        gold.agg_stage(["o_custkey"], [("orders", "count", "o_orderkey"), ("spent", "sum", "o_totalprice")]),
+        gold.table_stage(table(spark, sf_dir, "customer").select("c_custkey", "c_nationkey"), "c", "leftouter", "current.o_custkey = c.c_custkey"),
+    ]
+    rules = [Expression("orders <= 12", "calm"), NotNull(("c_nationkey",), name="known")]
+    transform(spark, "spending", table(spark, sf_dir, "orders"), stages, {"mode": "overwrite", "path": f"{base}/table"}, rules, history=f"{base}/history", run_id="gold-1", at=AT)
+    run = stats.latest_state(spark.read.schema(stats.RUN).parquet(f"{base}/history"))
+    none = F.lit(None)
+    told = run.select(F.lit("report").alias("kind"), F.get("messages", F.lit(0)).alias("message"), none.cast("long").alias("key"), F.col("rows.read_valid").alias("n"), "result")
+    return told.unionByName(spark.read.parquet(f"{base}/table").select(F.lit("row").alias("kind"), none.cast("string").alias("message"), F.col("o_custkey").alias("key"), F.col("orders").alias("n"), none.cast("string").alias("result")))
+
+
 EVENT_TEXT = (ColumnSpec("event_id", LONG, primary_key=True), ColumnSpec("user_id", LONG), ColumnSpec("event_type"), ColumnSpec("ts", DATETIME, timestamp=True, partitionable=True), ColumnSpec("value", DOUBLE))
 
 
@@ -201,7 +223,7 @@ NESTED = (
 with e as (select event_id, user_id, value, (props->>'$.k')::int as k from events)
 select event_id, case when event_id % 7 <> 1 and event_id % 11 <> 2 then k end as k, case when event_id % 11 not in (2, 3) then user_id end as "user",
   case when event_id % 13 <> 4 and event_id % 17 <> 5 then value end as value,
-  concat_ws(',', case when event_id % 11 = 2 then 'props' else concat_ws(',', case when event_id % 7 = 1 then 'props.k' end, case when event_id % 11 = 3 then 'props.who' end) end,
+  concat_ws(',', case when event_id % 11 = 2 then 'props' else nullif(concat_ws(',', case when event_id % 7 = 1 then 'props.k' end, case when event_id % 11 = 3 then 'props.who' end), '') end,
     case when event_id % 17 = 5 then 'values' when event_id % 13 = 4 then 'values[]' end) as bad
 from e
 """)
@@ -213,5 +235,4 @@ def cast_nested_paths(spark, sf_dir):
     props = F.concat(F.lit("{"), k, F.lit(", "), who, F.when(F.col("event_id") % 11 == 2, "").otherwise("}"))
     values = F.when(F.col("event_id") % 17 == 5, F.lit("[1")).when(F.col("event_id") % 13 == 4, F.lit('["x"]')).otherwise(F.concat(F.lit("["), F.col("value").cast("string"), F.lit("]")))
     flagged = cast_split(e.select(F.col("event_id").cast("string").alias("event_id"), props.alias("props"), values.alias("values")), NESTED).flagged
-    bad = F.concat_ws(",", F.array_sort(F.filter(BAD, lambda p: p.startswith("props"))), F.filter(BAD, lambda p: p.startswith("values")))
-    return flagged.select("event_id", F.col("props.k").alias("k"), F.col("props.who.user").alias("user"), F.col("values")[0].alias("value"), bad.alias("bad"))
+    return flagged.select("event_id", F.col("props.k").alias("k"), F.col("props.who.user").alias("user"), F.col("values")[0].alias("value"), F.concat_ws(",", BAD).alias("bad"))

@@ -3,9 +3,10 @@ import datetime as dt
 import pytest
 from pyspark.sql import functions as F
 
-from lakeops.operators import silver, stats
+from lakeops.operators import gold, silver, stats
 from lakeops.operators.quality import Expression, Unique
 from lakeops.plans.ingest import AlreadyRunning, Lake, Run, Secrets, run_batch
+from lakeops.plans.transform import transform
 from lakeops.spec import INCREMENTAL, PERMISSIVE, ColumnSpec, DatasetSpec
 from lakeops.streaming import topics
 
@@ -92,3 +93,15 @@ def test_a_streamed_batch_that_fails_after_its_append_comes_again_without_copies
     assert table.count() == 30 and rows(table.select("load_yyyy", "load_hh").distinct(), "load_yyyy", "load_hh") == [(2024, 6)]
     key = topics.batch_key(str(tmp_path / "mark"), 0)
     assert spark.read.json(f"{lake.rejects}/{key}/quality").count() == 10
+
+
+def test_gold_runs_report_and_record_failures(spark, tmp_path):
+    df = spark.createDataFrame([(1, 5), (2, None), (3, 50)], "k int, v int")
+    target, history = {"mode": "overwrite", "path": str(tmp_path / "t")}, str(tmp_path / "h")
+    messages = transform(spark, "g", df, [gold.column_stage("w", "v + p")], target, [Expression("v < 10", "small"), Expression("k < 9", "few")], {"p": 2}, history=history, run_id="1", at=AT)
+    assert messages == ["small: 2 of 3 rows"] and rows(spark.read.parquet(target["path"]).na.fill(-1), "k", "w") == [(1, 7), (2, -1), (3, 52)]
+    assert transform(spark, "g", df, [], target, history=history, run_id="2", at=AT) == []
+    with pytest.raises(Exception):
+        transform(spark, "g", df, [gold.column_stage("w", "raise_error('no')")], target, history=history, run_id="3", at=AT)
+    runs = {r.run_id: (r.result, r.messages, r["rows"] and tuple(r["rows"])) for r in spark.read.schema(stats.RUN).parquet(history).collect()}
+    assert runs["1"] == ("INGESTED_WITH_ERRORS", ["small: 2 of 3 rows"], (3, 0, 3, 0, 1, 2)) and runs["2"][0] == "INGESTED_WITHOUT_ERRORS" and runs["3"][1]
