@@ -53,7 +53,7 @@ def partition_columns(spark: SparkSession, path: str) -> list[str]:
 def publish(df: DataFrame, path: str, partition_by: list[str] | None = None, keep: int = KEEP) -> str:
     """Writes the next state of a table. ``df`` may be made from the table itself."""
     spark = df.sparkSession
-    before = folders(spark, path)
+    before, plain = folders(spark, path), not states(spark, path)
     number = max((int(m[1]) for f in before if (m := _VERSION.fullmatch(f))), default=0) + 1
     place = f"{path}/v{number:08d}-{unique(8)}"
     df.write.partitionBy(*(partition_by or [])).parquet(place)
@@ -61,9 +61,9 @@ def publish(df: DataFrame, path: str, partition_by: list[str] | None = None, kee
     oldest = int(_VERSION.fullmatch(whole[max(0, len(whole) - keep)])[1])
     for f in before:
         m = _VERSION.fullmatch(f)
-        if m and int(m[1]) < oldest or not m and not f.startswith("_"):  # what came before the first state is not a state any more
+        if m and int(m[1]) < oldest or plain and not m and not f.startswith("_"):  # what came before the first state is not a state any more
             delete(spark, f"{path}/{f}")
-    for f in leaf_files(spark, path, deep=False):
+    for f in leaf_files(spark, path, deep=False) if plain else ():
         if not f.startswith("_"):
             delete(spark, f"{path}/{f}")
     return place

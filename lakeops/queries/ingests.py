@@ -158,6 +158,17 @@ def ingest_stamped_partitions(spark, sf_dir):
     return got.select("event_id", F.date_format("ts", "yyyy-MM-dd HH:mm:ss").alias("ts"), "ts_yyyy", "ts_mm", "ts_dd", F.date_format("datalake_load_date", "yyyy-MM-dd HH:mm:ss").alias("loaded"), F.col("datalake_ingestion_uuid").alias("run_id"))
 
 
+@query("select o_orderkey, o_custkey, o_totalprice, strftime(o_orderdate, '%Y-%m-%d %H:%M:%S') as o_orderdate, 'INGESTED_WITHOUT_ERRORS' as outcome from orders")
+def ingest_typed_source(spark, sf_dir):
+    """Rows of a format that has types are loaded as they are; nothing is cast."""
+    path, o = scratch(spark, "typed"), table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey", "o_totalprice", "o_orderdate")
+    spec = DatasetSpec("typed", (ColumnSpec("o_orderkey", LONG, primary_key=True), ColumnSpec("o_custkey", LONG), ColumnSpec("o_totalprice", DOUBLE), ColumnSpec("o_orderdate", DATETIME)))
+    result = run_batch(spark, o, spec, Lake(path), typed=True)
+    got = silver.read(spark, path)
+    assert dict(got.dtypes) == dict(o.dtypes)
+    return got.withColumns({"o_orderdate": F.date_format("o_orderdate", "yyyy-MM-dd HH:mm:ss"), "outcome": F.lit(result.outcome)})
+
+
 @query("""
 with e as (select event_id, case when ts < timestamp '2024-01-15' then 1 else 2 end as half, value from events)
 select event_id, case when half = 1 then -value else value end as value, case when half = 1 then 'again' else 'second' end as run_id from e

@@ -167,7 +167,8 @@ def flagship_pipeline(spark, sf_dir):
     text = l.select(F.col("l_orderkey").cast("string"), F.col("l_linenumber").cast("string"), F.when(F.col("l_suppkey") % 10 != 0, F.col("l_suppkey").cast("string")).alias("l_suppkey"), number.alias("l_quantity"), F.translate(F.format_string("%.2f", "l_extendedprice"), ".", ",").alias("l_extendedprice"), F.date_format("l_shipdate", "dd-MM-yyyy").alias("l_shipdate"))
     batch = prepare(text, LINES)
     ruled = quality.passing(quality.apply_rules(batch.rows, [NotNull(("l_suppkey",)), Integrity(("l_suppkey",), table(spark, sf_dir, "supplier"), ("s_suppkey",)), Expression("l_quantity < 45")]))
-    latest = silver.latest_per_key(ruled, ["l_orderkey", "l_linenumber"], "l_shipdate", ["l_suppkey", "l_extendedprice", "l_quantity"])
+    # dealt by order once: the window by line and the join by order both find their rows together
+    latest = silver.latest_per_key(ruled.repartition("l_orderkey"), ["l_orderkey", "l_linenumber"], "l_shipdate", ["l_suppkey", "l_extendedprice", "l_quantity"])
     stages = [
         gold.table_stage(table(spark, sf_dir, "orders"), "o", "inner", "current.l_orderkey = o.o_orderkey"),
         gold.table_stage(table(spark, sf_dir, "customer"), "c", "inner", "current.o_custkey = c.c_custkey"),
