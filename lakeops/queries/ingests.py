@@ -98,7 +98,8 @@ def ingest_stored_rejects(spark, sf_dir):
         out = part if out is None else out.unionByName(part)
     for i in (3, 4):
         rows = spark.read.schema("row string, failed_rules array<string>").json(f"{base}/rejects/{i}/quality")
-        key, line = (F.get_json_object("row", f"$.{c}").cast("long") for c in ("l_orderkey", "l_linenumber"))
+        row = F.from_json("row", "l_orderkey long, l_linenumber long")
+        key, line = row["l_orderkey"], row["l_linenumber"]
         out = out.unionByName(rows.select(F.lit(i).alias("batch"), F.lit("quality").alias("reason"), key.alias("key"), line.alias("line"), F.concat_ws("|", "failed_rules").alias("detail")))
     for i in (5, 6):
         lines = spark.read.text(f"{base}/rejects/{i}/schema_mismatch")

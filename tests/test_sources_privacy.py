@@ -45,6 +45,15 @@ def test_compressed_files_and_rejects(spark, tmp_path):
     assert spark.read.csv(path, header=True).first().bad == "a|b"
 
 
+def test_rejects_are_gzip_files_of_bounded_rows(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(sinks, "REJECT_ROWS", 2)
+    df = spark.range(5).coalesce(1)
+    for fmt, read in (("csv", lambda p: spark.read.csv(p, header=True)), ("json", spark.read.json)):
+        path = sinks.write_rejects(df, str(tmp_path), fmt, fmt)
+        assert len(list((tmp_path / fmt).glob(f"part-*.{fmt}.gz"))) == 3
+        assert sorted(int(r.id) for r in read(path).collect()) == [0, 1, 2, 3, 4]
+
+
 def workbook() -> bytes:
     out = io.BytesIO()
     head = '<?xml version="1.0"?>'
