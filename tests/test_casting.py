@@ -1,6 +1,9 @@
 import datetime as dt
+import json
+import re
 
 import pytest
+from pyspark.sql import functions as F
 
 from lakeops.functions.casting import BAD, cast_split
 from lakeops.functions.catalog import CATALOG, function, register
@@ -99,3 +102,19 @@ def test_casts_are_evaluated_once(spark):
     df = spark.createDataFrame([("1", "x")], "a string, b string")
     plan = cast_split(df, (ColumnSpec("a", "decimal", precision=7, scale=3),)).valid._jdf.queryExecution().optimizedPlan().toString()
     assert plan.lower().count("as decimal(7,3)") == 1, plan
+
+
+def test_placeholders_are_not_cast_and_only_failed_rows_become_json(spark):
+    texts = ["7", " +7 ", "-7", "\t7", "\x7f7", "N/A", "null", "", " ", "7a", "1.5", "-", "\u00a07", None]
+    columns = (ColumnSpec("a", "long"), ColumnSpec("p", "decimal", precision=7, scale=3))
+    df = spark.createDataFrame([(t, t) for t in texts], "a string, p string")
+    split = cast_split(df, columns, text="_text")
+    plain = df.select(F.trim("a").try_cast("long").alias("a"), F.trim("p").try_cast("decimal(7,3)").alias("p"), F.struct("a", "p").alias("t"))
+    want = [(r.a, r.p, [c for c in ("a", "p") if r.t[c] is not None and r[c] is None], r.t) for r in plain.collect()]
+    got = split.flagged.collect()
+    assert [(r.a, r.p, r[BAD]) for r in got] == [w[:3] for w in want]
+    assert [r["_text"] and json.loads(r["_text"]) for r in got] == [w[3].asDict() if w[2] else None for w in want]
+    plan = split.flagged._jdf.queryExecution().executedPlan().toString()
+    made = [line for line in plan.split("\n") if "StructsToJson" in line]
+    assert made and all(re.search(r"CASE WHEN \(size\([^)]*\) > 0\) THEN [^ ]*StructsToJson", line.replace("invoke(", "")) for line in made), plan
+    assert plan.count("try_cast(trim(") == 2 and " < :)" in plan, plan
